@@ -10,6 +10,7 @@ from ..operators import joins as J
 from ..operators import ordered as O
 from ..operators import student_year as SY
 from ..plans import transcript as T
+from ..sources.tables import cut_lineage
 from . import views as V
 from .q_checks import clean_sp, clean_tr
 from .registry import query
@@ -20,8 +21,9 @@ def by_school(t):
 
 
 def student_year(t):
-    sp = clean_sp(t)
-    return SY.collapse_years(sp, SY.home_school(SY.spells_by_school(sp)))
+    """The student-year table, stored because the queries read it several times."""
+    sp = cut_lineage(clean_sp(t))
+    return cut_lineage(SY.collapse_years(sp, SY.home_school(SY.spells_by_school(sp))))
 
 
 def universe(sy):
@@ -149,7 +151,7 @@ def _(t):
 
 @query("c06_duration_sensitivity", "crow", """
 SELECT threshold_days::INT AS threshold_days, round_even(100e0 * threshold_days / 333, 1) AS pct_of_window, count(*) FILTER (y = 4 AND k = 4) AS students_passing FROM (
-  SELECT threshold_days, D_stu_id, count(*) AS y, count(*) FILTER (M_days_enrolled_year >= threshold_days) AS k FROM crow, (VALUES (5), (10), (20), (40), (80)) v(threshold_days) GROUP BY 1, 2) GROUP BY 1""")
+  SELECT threshold_days, D_stu_id, count(*) AS y, count(*) FILTER (M_days_enrolled_year >= threshold_days) AS k FROM crow, (VALUES (5), (10), (20), (40), (80)) v(threshold_days) GROUP BY 1, 2) GROUP BY ALL""")
 def _(t):
     sy = student_year(t)
     return C.duration_sensitivity(crow(sy), [5, 10, 20, 40, 80], "all_years", V.TR.years, universe(sy))

@@ -74,10 +74,10 @@ def tr_raw(t: Tables) -> DataFrame:
     earn = F.when(F.col("l_discount") == 0.09, F.lit(None)).when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 0.5).when(
         F.col("l_tax") == 0.08, 3.0).otherwise(1.0)
     d = d.select(
-        F.col("o_custkey").alias("D_stu_id"), school_year_of("o_orderdate").alias("D_year"), course.alias("D_course_id"), name.alias("nm"), "first_year",
+        F.col("o_custkey").alias("D_stu_id"), school_year_of("l_shipdate").alias("D_year"), course.alias("D_course_id"), name.alias("nm"), "first_year",
         F.when(F.col("l_discount") != 0.1, F.col("l_quantity") * 2.3).alias("g"), earn.alias("e"), F.when(F.col("l_discount") == 0, 0.0).otherwise(0.5).alias("p"))
     return d.groupBy("D_stu_id", "D_year", "D_course_id").agg(
-        F.min("nm").alias("D_course_name"), F.least(F.lit(12), 9 + F.col("D_year") - F.min("first_year")).cast("int").alias("D_stu_grade_level_transcript"),
+        F.min("nm").alias("D_course_name"), F.greatest(F.lit(9), F.least(F.lit(12), 9 + F.col("D_year") - F.min("first_year"))).cast("int").alias("D_stu_grade_level_transcript"),
         F.min("g").alias("D_stu_grade"), F.min("e").alias("D_creds_earn"), F.min("p").alias("D_creds_possible"))
 
 
@@ -209,9 +209,9 @@ def cte(name: str, deps: str, body: str) -> None:
 
 cte("stu_first", "", f"SELECT o_custkey, min({_SY.format('o_orderdate')}) AS first_year FROM orders GROUP BY 1")
 cte("tr_raw", "stu_first", f"""
-SELECT D_stu_id, D_year, D_course_id, min(nm) AS D_course_name, least(12, 9 + D_year - min(first_year))::INT AS D_stu_grade_level_transcript,
+SELECT D_stu_id, D_year, D_course_id, min(nm) AS D_course_name, greatest(9, least(12, 9 + D_year - min(first_year)))::INT AS D_stu_grade_level_transcript,
        min(g) AS D_stu_grade, min(e) AS D_creds_earn, min(p) AS D_creds_possible
-FROM (SELECT o_custkey AS D_stu_id, {_SY.format('o_orderdate')} AS D_year, first_year,
+FROM (SELECT o_custkey AS D_stu_id, {_SY.format('l_shipdate')} AS D_year, first_year,
         CASE WHEN l_linenumber = 7 AND l_tax = 0 THEN NULL ELSE 'C' || l_partkey || CASE l_linenumber WHEN 1 THEN 'S1' WHEN 3 THEN '-S1' WHEN 2 THEN 'S2'
              WHEN 4 THEN 'S2' WHEN 5 THEN 'DA' WHEN 6 THEN 'DB' ELSE '' END END AS D_course_id,
         p_name || CASE WHEN l_linenumber = 7 AND l_linestatus = 'F' THEN ' S2' ELSE '' END || CASE WHEN l_returnflag = 'R' THEN ' *' ELSE '' END AS nm,
@@ -425,7 +425,7 @@ SELECT *, CASE WHEN C_met_years AND C_met_duration AND C_met_progression AND C_m
 FROM (SELECT D_stu_id, count(*) = 4 AS C_met_years, count(*) = 4 AND count(*) FILTER (M_days_enrolled_year >= 20) = 4 AS C_met_duration,
         count(*) = 4 AND count(*) FILTER (on_grade) = 4 AS C_met_progression, bool_or(C_home_school_in_scope) AS C_met_school FROM crow GROUP BY 1)""")
 cte("coh", "crow crit ent", """
-SELECT s.D_stu_id, C_home_school_id AS C_cohort_school_id, C_home_school_name AS C_cohort_school_name, n AS C_multiple_home_schools, n > 1 AS C_multiple_home_schools_flag,
+SELECT s.D_stu_id, s.C_home_school_id AS C_cohort_school_id, s.C_home_school_name AS C_cohort_school_name, n AS C_multiple_home_schools, n > 1 AS C_multiple_home_schools_flag,
   ent.C_stu_race, ent.C_stu_ell_flag, ent.C_stu_swd_flag, ent.C_stu_poverty_flag, 1996 AS C_cohort_entry_year, true AS C_cohort_include
 FROM (SELECT D_stu_id, C_home_school_id, C_home_school_name, row_number() OVER (PARTITION BY D_stu_id ORDER BY C_home_school_days DESC, D_year) AS rn FROM crow) s
 JOIN (SELECT D_stu_id, count(DISTINCT C_home_school_id) AS n FROM crow GROUP BY 1) USING (D_stu_id) JOIN ent USING (D_stu_id)

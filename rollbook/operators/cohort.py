@@ -119,19 +119,32 @@ def school_rule(rows: DataFrame, rule: str, years, entry_year: int, out: str = "
     raise ValueError(f"unknown school rule: {rule}")
 
 
-def criteria_table(universe: DataFrame, verdicts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+def verdicts(rows: DataFrame, specs: dict[str, tuple]) -> DataFrame:
+    """Several year rules at once: column -> (condition, rule, years), one grouping of the rows.
+
+    ``rows`` holds one row per student and year. ``rule`` may also be ``any``: ok in at least one year.
+    """
+    aggs = []
+    for name, (ok, rule, years) in specs.items():
+        need = sorted(set(years)) if rule == "any" else required_years(rule, years)
+        inside = F.col(YEAR).isin(need) if need else F.lit(False)
+        if rule == "any":
+            aggs.append(F.bool_or(flag(ok) & inside).alias(name))
+        else:
+            aggs.append((F.count_if(inside & flag(ok)) == len(need)).alias(name))
+    return rows.groupBy(ID).agg(*aggs)
+
+
+def criteria_table(universe: DataFrame, met: DataFrame, reasons: dict[str, str]) -> DataFrame:
     """One row per entrant: every verdict (missing is false), include / exclude, first failed criterion.
 
-    ``verdicts``: column -> (table of id and ``passes``, reason when failed), in funnel order.
+    ``reasons``: verdict column -> text when it failed, in funnel order.
     """
-    out = universe.select(ID).distinct()
-    reason, include = F.lit(None).cast("string"), F.lit(True)
-    for name, (table, why) in verdicts.items():
-        out = join_same(out, table.select(ID, F.col("passes").alias(name)), ID).withColumn(name, flag(name))
-    for name, (_, why) in reversed(list(verdicts.items())):
-        reason = F.when(~F.col(name), F.lit(why)).otherwise(reason)
-        include = F.col(name) & include
-    return out.withColumns({"C_stu_cohort": F.when(include, "include").otherwise("exclude"), "C_cohort_exclusion_reason": reason})
+    out = join_same(universe.select(ID).distinct(), met.select(ID, *reasons), ID).withColumns({c: flag(c) for c in reasons})
+    reason = F.lit(None).cast("string")
+    for c, why in reversed(list(reasons.items())):
+        reason = F.when(~F.col(c), F.lit(why)).otherwise(reason)
+    return out.withColumns({"C_stu_cohort": F.when(reason.isNull(), "include").otherwise("exclude"), "C_cohort_exclusion_reason": reason})
 
 
 def attribute_school(student_year: DataFrame, ids: DataFrame, years, rule: str = "most_days") -> DataFrame:

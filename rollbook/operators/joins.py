@@ -152,9 +152,12 @@ def included_ids(crosswalk: DataFrame) -> DataFrame:
     return crosswalk.filter("included").select("location_id").distinct()
 
 
-def canonical_names(df: DataFrame, id_col: str, name_col: str, out: str = "C_location_name_canonical") -> DataFrame:
-    """Give each id its most frequent name; equal counts go to the first name in text order."""
-    counts = df.groupBy(id_col, name_col).agg(F.count(F.lit(1)).alias("n"))
+def canonical_names(df: DataFrame, id_col: str, name_col: str, out: str = "C_location_name_canonical", weight: str | None = None) -> DataFrame:
+    """Give each id its most frequent name; equal counts go to the first name in text order.
+
+    ``weight`` is the number of rows each input row stands for, when the input is already counted.
+    """
+    counts = df.groupBy(id_col, name_col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     best = top_row(counts, id_col, [-F.col("n")], [name_col]).withColumnRenamed(name_col, out)
     return join_same(df, best, id_col)
 
@@ -163,7 +166,7 @@ def count_renamed(df: DataFrame, name_col: str, canonical: str = "C_location_nam
     return df.agg(count_where(F.col(name_col) != F.col(canonical)).alias("n_renamed"))
 
 
-def merge_plan(df: DataFrame, id_col: str, name_col: str, year_col: str, merges) -> DataFrame:
+def merge_plan(df: DataFrame, id_col: str, name_col: str, year_col: str, merges, weight: str | None = None) -> DataFrame:
     """One row per absorbed name: survivor ids, absorbed ids, shared years, rows remapped.
 
     ``merges``: ``[{"name", "absorbs": [...], "allow_overlap"}]``. ``result`` is FAIL when the survivor is
@@ -173,7 +176,7 @@ def merge_plan(df: DataFrame, id_col: str, name_col: str, year_col: str, merges)
     plan = df.sparkSession.createDataFrame(pairs, "survivor string, absorbed string, allow_overlap boolean")
     names = sorted({x for p in pairs for x in p[:2]})
     seen = df.filter(is_in(name_col, names)).groupBy(F.col(name_col).alias("nm"), F.col(id_col).alias("id"), F.col(year_col).alias("yr")).agg(
-        F.count(F.lit(1)).alias("n"))
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     per_name = seen.groupBy("nm").agg(F.array_sort(F.collect_set("id")).alias("ids"),
                                       F.array_sort(F.collect_set("yr")).alias("years"), F.sum("n").alias("n"))
     s = per_name.select(F.col("nm").alias("survivor"), F.col("ids").alias("s_ids"), F.col("years").alias("s_years"))

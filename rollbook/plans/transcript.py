@@ -14,6 +14,7 @@ from ..operators import joins as J
 from ..operators import scope
 from ..operators import student_year as SY
 from ..operators.ordered import mobility
+from ..sources.tables import cut_lineage
 
 # Term markers, tried on the course id and then on the course name.
 TERM_RULES = ((r"S1\s*\*?\s*$", "Semester 1"), (r"S2\s*\*?\s*$", "Semester 2"), (r"DA\s*\*?\s*$", "Semester 1"), (r"DB\s*\*?\s*$", "Semester 2"))
@@ -52,20 +53,30 @@ class TranscriptParams:
         return sorted(self.progression)
 
 
+def location_table(raw: DataFrame, p: TranscriptParams) -> DataFrame:
+    """Everything derived about a reported location, one row per (location id, reported name).
+
+    The spells are counted per location, name and year first, so cleaning, merging, canonical names and
+    scope work on a table as small as the list of schools.
+    """
+    d = raw.groupBy("D_location_id", "D_location_name", "D_year").agg(F.count(F.lit(1)).alias("n"))
+    d = d.withColumn("C_location_name", text.clean_location_name("D_location_name", p.strip_prefix, p.strip_suffix, p.aliases))
+    if p.merges:
+        d = J.apply_merges(d, J.merge_plan(d, "D_location_id", "C_location_name", "D_year", p.merges, "n"), "D_location_id", "C_location_name")
+    else:
+        d = d.withColumns({"C_location_id": F.col("D_location_id"), "C_location_name_merged": F.col("C_location_name")})
+    d = J.canonical_names(d, "C_location_id", "C_location_name_merged", weight="n")
+    d = scope.member_flag(d, d.filter(is_in("C_location_name_merged", p.schools)).select("C_location_id"), "C_location_id", "C_school_in_scope")
+    return d.drop("n", "D_year").distinct()
+
+
 def clean_spells(raw: DataFrame, p: TranscriptParams) -> DataFrame:
     """Raw spells -> dates, days in the school-year window, cleaned and merged locations, recoded fields."""
     d = raw.withColumns({c: dates.parse_date(c, p.date_formats) for c in ("D_stu_enter_date", "D_stu_exit_date")})
     d = d.withColumn("C_exit_date_imputed", F.col("D_stu_exit_date").isNull())
     d = d.withColumn("D_stu_exit_date", dates.fill_date("D_stu_exit_date", dates.year_date("D_year", 6, 30)))
     d = dates.negative_days(dates.enrolment_days(d), p.negative_days)
-    d = d.withColumn("C_location_name", text.clean_location_name("D_location_name", p.strip_prefix, p.strip_suffix, p.aliases))
-    if p.merges:
-        d = J.apply_merges(d, J.merge_plan(d, "D_location_id", "C_location_name", "D_year", p.merges), "D_location_id", "C_location_name")
-    else:
-        d = d.withColumns({"C_location_id": F.col("D_location_id"), "C_location_name_merged": F.col("C_location_name")})
-    d = J.canonical_names(d, "C_location_id", "C_location_name_merged")
-    scope_ids = d.filter(is_in("C_location_name_merged", p.schools)).select("C_location_id")
-    d = scope.member_flag(d, scope_ids, "C_location_id", "C_school_in_scope")
+    d = join_same(d, cut_lineage(location_table(raw, p)), ["D_location_id", "D_location_name"])
     d = scope.recode(d, "D_stu_race", p.race_map, "C_stu_race")
     return d.withColumnsRenamed({"D_stu_ell": "C_stu_ell_flag", "D_stu_swd": "C_stu_swd_flag", "D_stu_frl": "C_stu_poverty_flag"})
 
@@ -83,39 +94,43 @@ def clean_transcript(raw: DataFrame, p: TranscriptParams) -> DataFrame:
     return scope.apply_scope(d, ["D_course_id"])
 
 
+# Criteria in funnel order: verdict column, reason when failed.
+REASONS = {"C_met_years": "Not enrolled in all required years", "C_met_duration": "Did not meet duration",
+           "C_met_progression": "Did not progress on grade", "C_met_school": "Left the in-scope schools"}
+FUNNEL = {"enrolled in all years": "C_met_years", "duration": "C_met_duration", "grade progression": "C_met_progression", "home school in scope": "C_met_school"}
+
+
 def select_cohort(student_year: DataFrame, p: TranscriptParams):
-    """(entrants, criteria per entrant, cohort table)."""
+    """(entrants, criteria per entrant, cohort table). ``student_year`` should be a stored table."""
     universe = C.entrants(student_year, p.entry_year, p.entry_grade, p.universe_rule)
     rows = C.with_expected_grade(C.cohort_rows(student_year, universe, p.years), p.progression)
-    verdicts = {
-        "C_met_years": (C.presence(rows, len(p.years)), "Not enrolled in all required years"),
-        "C_met_duration": (C.year_rule(rows, C.duration_ok("days", p.duration_min_days), p.duration_rule, p.years), "Did not meet duration"),
-        "C_met_progression": (C.year_rule(rows, F.col("on_grade"), p.progression_rule, p.years), "Did not progress on grade"),
-        "C_met_school": (C.school_rule(rows, p.school_rule, p.years, p.entry_year), "Left the in-scope schools")}
-    criteria = C.criteria_table(universe, verdicts)
+    in_scope = F.col("C_home_school_in_scope")
+    school = {"in_scope_all_years": (in_scope, "all_years", p.years), "in_scope_entry_year": (in_scope, "bookends", [p.entry_year]),
+              "in_scope_any_year": (in_scope, "any", p.years)}[p.school_rule]
+    met = C.verdicts(rows, {
+        "C_met_years": (F.lit(True), "all_years", p.years), "C_met_duration": (C.duration_ok("days", p.duration_min_days), p.duration_rule, p.years),
+        "C_met_progression": (F.col("on_grade"), p.progression_rule, p.years), "C_met_school": school})
+    criteria = C.criteria_table(universe, met, REASONS)
     ids = criteria.filter("C_stu_cohort = 'include'").select(C.ID)
     cohort = C.cohort_table(C.attribute_school(student_year, ids, p.years), universe, p.entry_year)
     return universe, criteria, cohort
 
 
-FUNNEL = {"enrolled in all years": "C_met_years", "duration": "C_met_duration", "grade progression": "C_met_progression", "home school in scope": "C_met_school"}
-
-
-def build(raw_spells: DataFrame, raw_transcript: DataFrame, coding: DataFrame, p: TranscriptParams, stage=lambda name, df: df) -> dict[str, DataFrame]:
-    """All tables of the analysis. ``stage(name, df)`` is called on the three tables that many later steps
-    read, so a caller can write them to storage and hand back what it wrote."""
-    spells = stage("stu_cleaned", clean_spells(raw_spells, p))
-    transcript = stage("transcript_cleaned", clean_transcript(raw_transcript, p))
+def build(raw_spells: DataFrame, raw_transcript: DataFrame, coding: DataFrame, p: TranscriptParams) -> dict[str, DataFrame]:
+    """All tables of the analysis. The tables that many later steps read are stored once."""
+    spells = cut_lineage(clean_spells(raw_spells, p))
+    transcript = cut_lineage(clean_transcript(raw_transcript, p))
     by_school = SY.spells_by_school(spells)
     home = SY.home_school(by_school)
-    sy = stage("student_year", SY.collapse_years(spells, home))
+    sy = cut_lineage(SY.collapse_years(spells, home))
     reconciled = scope.member_flag(transcript, spells, SY.ID_YEAR, "C_has_enrolment_record")
     joined = J.join_checked(reconciled, sy, SY.ID_YEAR, "student-year onto transcript")
     coded = C.credit_recovery(J.code_courses(joined, coding)).withColumns({
         "C_course_failed": ranges.course_failed(), "C_grade_pct_rollup": ranges.bucket_down("D_stu_grade", p.grade_buckets),
         "C_course_marked_repeat": F.col("C_course_name_starred")})
     moves = mobility(sy)
-    universe, criteria, cohort = select_cohort(sy, p)
+    _, criteria, cohort = select_cohort(sy, p)
+    criteria, cohort = cut_lineage(criteria), cut_lineage(cohort)
     snap = C.snapshot_table(sy, transcript, p.snapshot_year, p.snapshot_grades, "days", p.snapshot_min_days)
     out = scope.member_flag(join_same(coded, moves, C.ID), cohort, C.ID, "C_cohort_include")
     out = scope.member_flag(out, snap.filter("selected"), C.ID, "C_stu_snapshot_include").withColumn(
