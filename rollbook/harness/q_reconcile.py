@@ -142,12 +142,12 @@ def _(t):
 
 
 @query("j17_year_gaps", "sp", """
-SELECT location_id, location_name, year, CASE WHEN location_name = 'NATION_3 CR' THEN year NOT IN (1996, 1997) ELSE false END AS declared FROM (SELECT DISTINCT D_location_id AS location_id, C_location_name AS location_name FROM sp WHERE contains(C_location_name, 'CR') AND D_stu_id % 5 = 1),
-  (SELECT DISTINCT D_year AS year FROM sp WHERE contains(C_location_name, 'CR') AND D_stu_id % 5 = 1) EXCEPT ALL
-SELECT location_id, location_name, year, CASE WHEN location_name = 'NATION_3 CR' THEN year NOT IN (1996, 1997) ELSE false END FROM (SELECT DISTINCT D_location_id AS location_id, C_location_name AS location_name, D_year AS year FROM sp WHERE contains(C_location_name, 'CR') AND D_stu_id % 5 = 1)""".replace("AND D_stu_id % 5 = 1", "AND C_stu_swd_flag = 1 AND C_stu_poverty_flag = 0 AND C_stu_race = 'Group A'"))
+SELECT site AS location_id, site AS location_name, D_year AS year, CASE WHEN site = '3-A-9' THEN D_year NOT IN (1996, 1997) ELSE false END AS declared FROM (
+  SELECT site, D_year FROM (SELECT DISTINCT D_location_id || '-' || D_stu_race || '-' || D_stu_grade_level_demo AS site FROM sp), (SELECT DISTINCT D_year FROM sp)
+  EXCEPT SELECT D_location_id || '-' || D_stu_race || '-' || D_stu_grade_level_demo, D_year FROM sp)""")
 def _(t):
-    d = clean_sp(t).filter("contains(C_location_name, 'CR') AND C_stu_swd_flag = 1 AND C_stu_poverty_flag = 0 AND C_stu_race = 'Group A'")
-    return J.year_gaps(d, "D_location_id", "C_location_name", "D_year", {"NATION_3 CR": [1996, 1997]})
+    d = clean_sp(t).withColumn("site", F.concat_ws("-", F.col("D_location_id").cast("string"), "D_stu_race", F.col("D_stu_grade_level_demo").cast("string")))
+    return J.year_gaps(d, "site", "site", "D_year", {"3-A-9": [1996, 1997]})
 
 
 @query("j18_span_position", "tr sp", """

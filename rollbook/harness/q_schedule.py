@@ -1 +1,546 @@
-"""stub"""
+"""Meetings, weights, double bookings, resolution, rollups, add-ons."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..functions.nullsafe import attach, flag
+from ..functions.school import class_id
+from ..operators import addons as H
+from ..operators import aggregates as A
+from ..operators import double_booking as DB
+from ..operators import meetings as M
+from ..operators import profile as P
+from ..operators import rollups as R
+from ..plans import schedule as S
+from ..sources.tables import cut_lineage
+from . import views as V
+from .registry import query
+
+SLOTS = {"C_term_exploded": "slot", "C_period_exploded": "per", "C_rotation_exploded": "rot"}
+
+
+def weighed(t, p=V.PR):
+    """Weighed records, stored because the resolution reads them several times."""
+    return cut_lineage(S.weigh(V.csx(t), p))
+
+
+def exploded(t, p=V.PR):
+    return M.explode_records(S.weigh(V.csx(t), p), p)
+
+
+def flagged(t, p=V.PR, **kw):
+    return DB.flag_double_bookings(exploded(t, p), p, **kw)
+
+
+def resolved(t, p=V.PR):
+    w = weighed(t, p)
+    return w, S.resolve(w, p)
+
+
+def r6(*cols):
+    return [F.bround(c, 6).alias(c) for c in cols]
+
+
+@query("flagship_double_booking_by_school", "fl_pr", """
+SELECT D_location_name, count(DISTINCT D_stu_id) AS students, count(DISTINCT D_stu_id) FILTER (sf = 1) AS students_flagged, round_even(100e0 * count(DISTINCT D_stu_id) FILTER (sf = 1) / count(DISTINCT D_stu_id), 1) AS pct_students,
+  count(DISTINCT D_employee_id) AS teachers, count(DISTINCT D_employee_id) FILTER (tf = 1) AS teachers_flagged, round_even(sum(w), 4) AS total_weight FROM fl_pr GROUP BY 1""")
+def _(t):
+    from ..functions.nullsafe import pct
+    return flagged(t).groupBy("D_location_name").agg(
+        F.count_distinct("D_stu_id").alias("students"), F.count_distinct(F.when(F.col("H_db_student_row") == 1, F.col("D_stu_id"))).alias("students_flagged"),
+        F.count_distinct("D_employee_id").alias("teachers"), F.count_distinct(F.when(F.col("H_db_teacher_row") == 1, F.col("D_employee_id"))).alias("teachers_flagged"),
+        F.bround(F.sum("M_class_weight_exploded"), 4).alias("total_weight")).withColumn("pct_students", pct("students_flagged", "students"))
+
+
+# --- meetings and weights ---
+
+@query("m02_m04_meetings_of_expressions", "mt_ex", "SELECT DISTINCT D_expression, per AS C_period_exploded, rot AS C_rotation_exploded FROM mt_ex")
+def _(t):
+    return M.meeting_crosswalk(V.cs(t), V.EX)
+
+
+@query("m03_m04_meetings_of_periods", "mt_pr", "SELECT D_period, D_rotation, per AS C_period_exploded, rot AS C_rotation_exploded FROM mt_pr")
+def _(t):
+    return M.meeting_crosswalk(V.cs(t), V.PR)
+
+
+@query("m02_skipped_blocks", "cs", "SELECT D_expression, D_expression AS block, count(*) AS n_rows FROM cs WHERE D_expression = 'HOMEROOM' GROUP BY 1")
+def _(t):
+    return M.skipped_blocks(V.cs(t))
+
+
+@query("m08_expression_meetings", "mt_ex", """
+SELECT D_expression, string_agg(per || '@' || rot, ' | ' ORDER BY per::INT, per, rot) AS meetings FROM (SELECT DISTINCT * FROM mt_ex) GROUP BY 1""")
+def _(t):
+    return M.meeting_lists(V.cs(t), V.EX)
+
+
+@query("m05_term_slots_used", "cs terms", "SELECT D_term, slot AS C_term_exploded, tw AS C_term_weight_exploded, n FROM terms JOIN (SELECT D_term, count(*) AS n FROM cs GROUP BY 1) USING (D_term)")
+def _(t):
+    return V.cs(t).groupBy("D_term").agg(F.count(F.lit(1)).alias("n")).join(M.term_crosswalk(t.spark, V.PR), "D_term")
+
+
+@query("m06_weight_crosswalk", "csx mt_pr", f"""
+SELECT DISTINCT D_location_name, per AS C_period_exploded, rot AS C_rotation_exploded, {V._ROT} AS C_rotation_weight_exploded, {V._PER} AS C_period_weight_exploded FROM csx JOIN mt_pr USING (D_period, D_rotation)""")
+def _(t):
+    from ..functions.nullsafe import join_same
+    d = V.csx(t)
+    return M.weight_crosswalk(join_same(d, M.meeting_crosswalk(d, V.PR), V.PR.time_cols), V.PR)
+
+
+@query("m07_class_weight_minutes", "we_pr", "SELECT D_location_name, D_period, D_rotation, D_term, M_cls_class_weight, M_cls_class_minutes, count(*) AS n FROM we_pr GROUP BY ALL")
+def _(t):
+    k = ["D_location_name", "D_period", "D_rotation", "D_term", "M_cls_class_weight", "M_cls_class_minutes"]
+    return M.class_weight_minutes(V.csx(t), V.PR).groupBy(*k).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m07_class_weight_expressions", "we_ex", "SELECT D_location_name, D_expression, D_term, M_cls_class_weight, M_cls_class_minutes, count(*) AS n FROM we_ex GROUP BY ALL")
+def _(t):
+    k = ["D_location_name", "D_expression", "D_term", "M_cls_class_weight", "M_cls_class_minutes"]
+    return M.class_weight_minutes(V.csx(t), V.EX).groupBy(*k).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m08_meeting_breakdown", "csx mt_pr", f"""
+SELECT DISTINCT D_location_name, D_period, D_rotation, per || '@' || rot AS meeting, {V._ROT} AS rotation_wt, {V._PER} AS period_wt, {V._BELL} AS minutes FROM csx JOIN mt_pr USING (D_period, D_rotation)""")
+def _(t):
+    return M.meeting_breakdown(V.csx(t), V.PR)
+
+
+@query("m09_explode_records", "xp_pr", "SELECT D_location_name, D_term, slot, per, rot, w, count(*) AS n, count(DISTINCT rid) AS n_records FROM xp_pr GROUP BY ALL")
+def _(t):
+    d = exploded(t).withColumnsRenamed({**SLOTS, "M_class_weight_exploded": "w"})
+    return d.groupBy("D_location_name", "D_term", "slot", "per", "rot", "w").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(M.ROW_ID).alias("n_records"))
+
+
+@query("m09_explode_expressions", "xp_ex", "SELECT D_location_name, D_term, slot, per, rot, w, count(*) AS n FROM xp_ex GROUP BY ALL")
+def _(t):
+    d = exploded(t, V.EX).withColumnsRenamed({**SLOTS, "M_class_weight_exploded": "w"})
+    return d.groupBy("D_location_name", "D_term", "slot", "per", "rot", "w").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m10_explosion_invariant", "xp_pr", """
+SELECT count(*) AS n_records, count(*) FILTER (abs(round_even(s, 4) - c) >= 1e-6) AS n_different FROM (SELECT rid, sum(w) AS s, max(M_cls_class_weight) AS c FROM xp_pr GROUP BY 1)""")
+def _(t):
+    w = weighed(t)
+    x = M.explode_records(w, V.PR)
+    return w.agg(F.count(F.lit(1)).alias("n_records")).join(M.explosion_differences(x, w).agg(F.count(F.lit(1)).alias("n_different")), F.lit(True))
+
+
+# --- flags ---
+
+@query("m11_same_course_adjuster", "f1_pr", "SELECT D_location_name, round_even(adj, 6) AS adj, w, count(*) AS n FROM f1_pr GROUP BY ALL")
+def _(t):
+    d = flagged(t).withColumn("adj", F.bround(DB.ADJ, 6)).withColumnRenamed("M_class_weight_exploded", "w")
+    return d.groupBy("D_location_name", "adj", "w").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m12_student_flags", "fl_pr", "SELECT D_stu_id, D_location_id, slot, per, rot, max(sf) AS sf, count(*) AS n FROM fl_pr GROUP BY ALL")
+def _(t):
+    d = flagged(t).withColumnsRenamed(SLOTS)
+    return d.groupBy("D_stu_id", "D_location_id", "slot", "per", "rot").agg(F.max("H_db_student_row").alias("sf"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m13_teacher_flags", "fl_ex", "SELECT D_employee_id, D_location_id, slot, per, rot, max(tf) AS tf, count(*) AS n FROM fl_ex GROUP BY ALL")
+def _(t):
+    d = flagged(t, V.EX).withColumnsRenamed(SLOTS)
+    return d.groupBy("D_employee_id", "D_location_id", "slot", "per", "rot").agg(F.max("H_db_teacher_row").alias("tf"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m12_m13_flags_across_weights", "f1_pr", """
+SELECT count(*) FILTER (s.sf = 1) AS student_rows, count(*) FILTER (t.tf = 1) AS teacher_rows, count(*) AS n FROM f1_pr f
+JOIN (SELECT D_location_id, D_stu_id, slot, rot, per, (sum(adj) > max(w) + 1e-9)::INT AS sf FROM f1_pr GROUP BY ALL) s ON f.D_location_id = s.D_location_id AND f.D_stu_id = s.D_stu_id AND f.slot = s.slot AND f.per IS NOT DISTINCT FROM s.per AND f.rot IS NOT DISTINCT FROM s.rot
+LEFT JOIN (SELECT D_location_id, D_employee_id, slot, rot, per, (sum(c) > max(w) + 1e-9)::INT AS tf FROM (SELECT D_location_id, D_employee_id, slot, rot, per, w, cid, max(adj) AS c FROM f1_pr WHERE D_employee_id IS NOT NULL GROUP BY ALL) GROUP BY ALL) t
+  ON f.D_location_id = t.D_location_id AND f.D_employee_id = t.D_employee_id AND f.slot = t.slot AND f.per IS NOT DISTINCT FROM t.per AND f.rot IS NOT DISTINCT FROM t.rot""")
+def _(t):
+    d = flagged(t, by_weight=False, skip_missing_teacher=True)
+    return d.agg(F.count_if(F.col("H_db_student_row") == 1).alias("student_rows"), F.count_if(F.col("H_db_teacher_row") == 1).alias("teacher_rows"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m14_m15_class_flags", "fl_pr", """
+SELECT cid AS C_class_id, max(ct) AS H_class_with_teacher_db, max(cst) AS H_class_with_student_db, max(cdb) AS H_class_with_db, max(c100) AS H_db_100p_class, count(*) AS n FROM fl_pr GROUP BY 1""")
+def _(t):
+    c = ["H_class_with_teacher_db", "H_class_with_student_db", "H_class_with_db", "H_db_100p_class"]
+    return flagged(t).groupBy("C_class_id").agg(*[F.max(x).alias(x) for x in c], F.count(F.lit(1)).alias("n"))
+
+
+@query("m16_flag_totals", "fl_pr", """
+SELECT metric, n_flagged, n_total, round_even(100e0 * n_flagged / n_total, 1) AS pct FROM (
+SELECT 'students' AS metric, count(DISTINCT D_stu_id) FILTER (sf = 1) AS n_flagged, count(DISTINCT D_stu_id) AS n_total FROM fl_pr
+UNION ALL SELECT 'teachers', count(DISTINCT coalesce(D_employee_id, -1)) FILTER (tf = 1), count(DISTINCT coalesce(D_employee_id, -1)) FROM fl_pr
+UNION ALL SELECT 'student rows', count(*) FILTER (sf = 1), count(*) FROM fl_pr UNION ALL SELECT 'teacher rows', count(*) FILTER (tf = 1), count(*) FROM fl_pr)""")
+def _(t):
+    return DB.flag_totals(cut_lineage(flagged(t).select("D_stu_id", "D_employee_id", "H_db_student_row", "H_db_teacher_row")))
+
+
+@query("m17_conflict_keys", "csx mt_pr terms", """
+SELECT D_stu_id, per || '@' || rot || '|' || slot AS M_conflict_key, count(DISTINCT D_location_id || '_' || csx.D_term || '_' || D_period || '_' || D_course_section_id) AS n_classes
+FROM csx JOIN mt_pr USING (D_period, D_rotation) JOIN terms USING (D_term) GROUP BY 1, 2 HAVING count(DISTINCT D_location_id || '_' || csx.D_term || '_' || D_period || '_' || D_course_section_id) > 1""")
+def _(t):
+    d = V.csx(t)
+    d = d.withColumn("C_class_id", class_id(d.columns, V.PR.recipe))
+    return M.conflicting(M.conflict_keys(d, V.PR), "D_stu_id")
+
+
+# --- resolution ---
+
+@query("m18_consolidate_periods", "mp_pr", "SELECT sec AS C_class_id_original, comp AS component, n_sections, expr AS merged_expr, cons AS C_class_id_consolidated, coalesce(cons, sec) AS C_class_id_resolved, cons IS NOT NULL AS is_consolidated FROM mp_pr")
+def _(t):
+    return DB.consolidate_sections(cut_lineage(flagged(t, only_flagged=True)))
+
+
+@query("m18_x23_consolidate_expressions", "mp_ex", "SELECT sec AS C_class_id_original, comp AS component, n_sections, expr AS merged_expr, cons AS C_class_id_consolidated FROM mp_ex")
+def _(t):
+    m = DB.consolidate_sections(cut_lineage(flagged(t, V.EX, only_flagged=True)))
+    return m.select("C_class_id_original", "component", "n_sections", "merged_expr", "C_class_id_consolidated")
+
+
+@query("x23_serialize_meetings", "csx mt_ex", """
+SELECT D_employee_id, D_term, string_agg(CASE WHEN a = b THEN a::VARCHAR ELSE a || '-' || b END || '(' || label || ')', ', ' ORDER BY a, label) AS times FROM (
+  SELECT D_employee_id, D_term, label, min(n) AS a, max(n) AS b FROM (SELECT *, n - row_number() OVER (PARTITION BY D_employee_id, D_term, label ORDER BY n) AS isl FROM (
+    SELECT D_employee_id, D_term, per::INT AS n, string_agg(DISTINCT rot, '-' ORDER BY rot) AS label FROM csx JOIN mt_ex USING (D_expression) GROUP BY 1, 2, 3)) GROUP BY D_employee_id, D_term, label, isl) GROUP BY 1, 2""")
+def _(t):
+    from ..functions.nullsafe import join_same
+    d = V.csx(t).select("D_employee_id", "D_term", "D_expression").distinct()
+    x = join_same(d, M.meeting_crosswalk(d, V.EX), ["D_expression"], "inner")
+    return M.serialize_meetings(x, ["D_employee_id", "D_term"], "times")
+
+
+@query("m19_consolidation_sizes", "mp_pr", """
+SELECT n_sections, count(DISTINCT comp) AS n_components, CASE n_sections WHEN 1 THEN 'untouched' WHEN 2 THEN 'pair' ELSE 'chain (3+)' END AS kind FROM mp_pr GROUP BY 1""")
+def _(t):
+    return DB.consolidation_sizes(DB.consolidate_sections(cut_lineage(flagged(t, only_flagged=True))))
+
+
+@query("m19_largest_consolidations", "mp_ex", "SELECT DISTINCT n_sections, expr AS merged_expr, cons AS C_class_id_consolidated FROM mp_ex WHERE cons IS NOT NULL ORDER BY 1 DESC, 3 LIMIT 10")
+def _(t):
+    return DB.largest_consolidations(DB.consolidate_sections(cut_lineage(flagged(t, V.EX, only_flagged=True))))
+
+
+@query("m19_consolidation_totals", "mp_pr", "SELECT count(*) AS sections_total, count(cons) AS sections_consolidated, count(DISTINCT cons) AS consolidated_classes FROM mp_pr")
+def _(t):
+    return DB.consolidation_totals(DB.consolidate_sections(cut_lineage(flagged(t, only_flagged=True))))
+
+
+@query("m18_collisions", "mp_pr", "SELECT cons AS C_class_id_consolidated, count(DISTINCT comp) AS n_components FROM mp_pr WHERE cons IS NOT NULL GROUP BY 1 HAVING count(DISTINCT comp) > 1")
+def _(t):
+    return DB.consolidation_collisions(DB.consolidate_sections(cut_lineage(flagged(t, only_flagged=True)))).offenders
+
+
+@query("m20_apply_consolidation", "rs_ex", "SELECT pt AS C_class_id_post_teachers, coalesce(CASE WHEN cons IS NOT NULL THEN expr END, D_expression) AS C_class_expression, count(*) AS n FROM rs_ex GROUP BY ALL")
+def _(t):
+    _, r = resolved(t, V.EX)
+    return r["resolved"].groupBy("C_class_id_post_teachers", "C_class_expression").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m21_teacher_loadoff", "lo_pr", "SELECT pt AS C_class_id_post_teachers, D_employee_id, n_students, all_exempt, load_off FROM lo_pr")
+def _(t):
+    _, r = resolved(t)
+    return r["loadoff"]
+
+
+@query("m22_class_stage", "pc_pr", "SELECT D_stu_id, slot, per, rot, tprp, n_split::INT AS n_split, round_even(sum(w_class), 6) AS w_class, count(*) AS n FROM pc_pr GROUP BY ALL")
+def _(t):
+    d = DB.resolve_classes(cut_lineage(flagged(t, only_flagged=True))).withColumnsRenamed({**SLOTS, "H_tpr_100p_percent": "tprp", "H_student_count_of_100p_classes": "n_split"})
+    return d.groupBy("D_stu_id", "slot", "per", "rot", "tprp", "n_split").agg(F.bround(F.sum("M_class_weight_post_class"), 6).alias("w_class"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m23_m24_student_stage", "rs_pr", "SELECT D_stu_id, pt AS C_class_id, slot, round_even(sum(w_stu), 6) AS w_stu, round_even(max(cnt), 6) AS cnt, count(*) AS n FROM rs_pr GROUP BY ALL")
+def _(t):
+    _, r = resolved(t)
+    d = r["resolved"].withColumnsRenamed(SLOTS).groupBy("D_stu_id", F.col("C_class_id_post_teachers").alias("C_class_id"), "slot")
+    return d.agg(F.bround(F.sum("M_class_weight_post_student"), 6).alias("w_stu"), F.bround(F.max("M_student_count_adjusted"), 6).alias("cnt"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m25_unify", "un_pr", """
+SELECT C_class_id, D_term, D_period, D_rotation, C_class_size_exclude, C_teacher_load_exclude, round_even(sum(M_class_weight), 6) AS w, count(*) AS n FROM un_pr GROUP BY ALL""")
+def _(t):
+    _, r = resolved(t)
+    return r["unified"].groupBy("C_class_id", "D_term", "D_period", "D_rotation", "C_class_size_exclude", "C_teacher_load_exclude").agg(
+        F.bround(F.sum("M_class_weight"), 6).alias("w"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m25_unify_expressions", "un_ex", """
+SELECT D_location_name, D_term, resolved, C_teacher_load_exclude, round_even(sum(M_class_weight), 4) AS w, count(*) AS n FROM un_ex GROUP BY ALL""")
+def _(t):
+    _, r = resolved(t, V.EX)
+    return r["unified"].groupBy("D_location_name", "D_term", F.col("C_class_id_post_teachers").isNotNull().alias("resolved"), "C_teacher_load_exclude").agg(
+        F.bround(F.sum("M_class_weight"), 4).alias("w"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m26_unify_accounts", "un_pr rs_pr we_pr", """
+SELECT (SELECT count(*) FROM rs_pr) AS resolved_rows, count(*) FILTER (rid IN (SELECT rid FROM rs_pr)) AS records_matched, count(*) FILTER (rid NOT IN (SELECT rid FROM rs_pr)) AS records_untouched,
+  (SELECT count(*) FROM un_pr) AS unified_rows, (SELECT count(*) FROM un_pr WHERE C_teacher_load_exclude = 'Exclude') AS load_excludes, (SELECT count(*) FROM un_pr WHERE C_class_size_exclude = 'Exclude') AS size_excludes, true AS accounted FROM we_pr""")
+def _(t):
+    w, r = resolved(t)
+    return DB.unify_accounts(r["unified"], r["resolved"], w)
+
+
+@query("m27_stage_gates", "rs_pr", """
+SELECT "check", CASE WHEN n_offenders = 0 THEN 'PASS' ELSE 'FAIL' END AS result, n_offenders FROM (SELECT 'class stage shrinks' AS "check", count(*) FILTER (adj < w_class - 1e-9) AS n_offenders FROM rs_pr
+UNION ALL SELECT 'teacher stage shrinks', 0 UNION ALL SELECT 'student stage shrinks', count(*) FILTER (w_class < w_stu - 1e-9) FROM rs_pr
+UNION ALL SELECT 'one teacher per consolidated class', count(*) FROM (SELECT 1 FROM rs_pr WHERE cons IS NOT NULL GROUP BY cons HAVING count(DISTINCT D_employee_id) > 1))""")
+def _(t):
+    _, r = resolved(t)
+    return DB.stage_gates(r["resolved"])
+
+
+@query("m28_weight_by_stage", "rs_pr", """
+SELECT D_location_name, count(*) AS n_db_students, round_even(avg(a), 2) AS exploded, round_even(avg(b), 2) AS post_class, round_even(avg(b), 2) AS post_teachers, round_even(avg(c), 2) AS post_student FROM (
+  SELECT D_location_name, D_stu_id, sum(w) AS a, sum(w_class) AS b, sum(w_stu) AS c FROM rs_pr GROUP BY 1, 2) GROUP BY 1""")
+def _(t):
+    _, r = resolved(t)
+    return DB.weight_by_stage(r["resolved"])
+
+
+@query("a23_before_after", "rs_pr", """
+SELECT * FROM (WITH l AS (SELECT D_location_id, D_stu_id, D_employee_id, slot, rot, per, w, pt, w_stu FROM rs_pr),
+s AS (SELECT DISTINCT D_stu_id FROM (SELECT D_location_id, D_stu_id, slot, rot, per, w, sum(w_stu) AS t FROM l GROUP BY ALL) WHERE t > w + 1e-9),
+k AS (SELECT DISTINCT D_employee_id FROM (SELECT D_location_id, D_employee_id, slot, rot, per, w, sum(c) AS t FROM (SELECT D_location_id, D_employee_id, slot, rot, per, w, pt, max(w_stu) AS c FROM l GROUP BY ALL) GROUP BY ALL) WHERE t > w + 1e-9)
+SELECT 'students double-booked' AS metric, count(DISTINCT D_stu_id) FILTER (sf = 1)::DOUBLE AS before, (SELECT count(*) FROM s)::DOUBLE AS after FROM rs_pr
+UNION ALL SELECT 'teachers double-booked', count(DISTINCT coalesce(D_employee_id, -1)) FILTER (tf = 1), (SELECT count(*) FROM k) FROM rs_pr
+UNION ALL SELECT 'distinct sections', count(DISTINCT C_class_id), count(DISTINCT pt) FROM rs_pr
+UNION ALL SELECT 'mean weight per student', round_even(sum(w) / count(DISTINCT D_stu_id), 2), round_even(sum(w_stu) / count(DISTINCT D_stu_id), 2) FROM rs_pr
+UNION ALL SELECT 'mean teacher load', (SELECT round_even(avg(x), 2) FROM (SELECT sum(w) AS x FROM (SELECT DISTINCT D_employee_id, C_class_id, slot, per, rot, w FROM rs_pr) GROUP BY D_employee_id)),
+  (SELECT round_even(avg(x), 2) FROM (SELECT sum(w) AS x FROM (SELECT DISTINCT D_employee_id, pt, slot, per, rot, w FROM rs_pr) GROUP BY D_employee_id))
+UNION ALL SELECT 'mean class size per slot', (SELECT round_even(avg(x), 1) FROM (SELECT count(DISTINCT D_stu_id) AS x FROM rs_pr GROUP BY C_class_id, slot, per, rot)), (SELECT round_even(avg(x), 1) FROM (SELECT sum(cnt) AS x FROM rs_pr GROUP BY pt, slot, per, rot)))""")
+def _(t):
+    _, r = resolved(t)
+    return DB.before_after(r["resolved"])
+
+
+@query("a19_weight_by_school", "we_pr", """
+SELECT D_location_name, count(*) AS n_people, round_even(avg(w), 2) AS avg_weight, round_even(avg(m), 0) AS avg_minutes FROM (SELECT D_location_name, D_stu_id, sum(M_cls_class_weight) AS w, sum(M_cls_class_minutes) AS m FROM (
+  SELECT DISTINCT D_location_name, D_stu_id, C_class_id, M_cls_class_weight, M_cls_class_minutes FROM we_pr WHERE C_course_time_exclude = 'Include') GROUP BY 1, 2) GROUP BY 1""")
+def _(t):
+    return A.weight_by_school(S.weigh(V.csx(t), V.PR).filter("C_course_time_exclude = 'Include'"), "D_stu_id", minutes="M_cls_class_minutes")
+
+
+# --- rollups ---
+
+def unified(t):
+    _, r = resolved(t)
+    return cut_lineage(r["unified"])
+
+
+def rolled(t):
+    _, r = resolved(t)
+    return S.roll_up(r["unified"], V.PR)
+
+
+_PRIMARY = """SELECT {k}, {f} AS {o} FROM (SELECT {k}, {f}, row_number() OVER (PARTITION BY {k} ORDER BY round_even(sum(h), 9) DESC, {f}::VARCHAR NULLS LAST) AS rn FROM {src} GROUP BY 1, 2) WHERE rn = 1"""
+
+
+@query("r01_r09_teacher_primaries", "un_pr", "SELECT * FROM (" + _PRIMARY.format(k="D_employee_id", f="C_course_subject", o="C_tch_course_subject", src="(SELECT D_employee_id, C_class_id, C_course_subject, max(M_class_weight) AS h FROM un_pr WHERE C_course_subject <> 'Advisory' GROUP BY ALL)") + ")")
+def _(t):
+    return R.teacher_primary(unified(t), "C_course_subject", "C_tch_course_subject", True)
+
+
+@query("r02_meeting_minutes", "un_pr", f"""
+SELECT D_location_name, CASE WHEN per IS NULL THEN NULL WHEN D_location_name IN ('NATION_3', 'NATION_4') THEN {V._BELL} END AS M_meeting_minutes, count(*) AS n FROM un_pr GROUP BY ALL""")
+def _(t):
+    return R.add_minutes(unified(t), V.PR).groupBy("D_location_name", "M_meeting_minutes").agg(F.count(F.lit(1)).alias("n"))
+
+
+_SIZE = """SELECT C_class_id, D_term, D_period, D_rotation, count(*) AS M_cls_num_stu, sum(a) AS M_cls_class_size FROM (
+  SELECT C_class_id, D_term, D_period, D_rotation, D_stu_id, max(cnt) AS a FROM un_pr GROUP BY ALL) GROUP BY ALL"""
+_BUCKET = "CASE WHEN {0} >= 36 THEN '36+' WHEN {0} >= 31 THEN '31-35' WHEN {0} >= 25 THEN '25-30' WHEN {0} >= 19 THEN '19-24' WHEN {0} >= 13 THEN '13-18' WHEN {0} >= 7 THEN '7-12' WHEN {0} >= 0 THEN '0-6' END"
+
+
+@query("r03_class_size", "un_pr", f"""
+SELECT C_class_id, D_term, D_period, D_rotation, M_cls_num_stu, round_even(M_cls_class_size, 6) AS M_cls_class_size, round_even(M_cls_num_stu - M_cls_class_size, 6) AS M_cls_class_size_diff,
+  {_BUCKET.format('round_even(M_cls_class_size, 9)')} AS C_cls_class_size_bucket FROM ({_SIZE})""")
+def _(t):
+    d = R.add_class_size(unified(t), V.PR)
+    return d.select("C_class_id", "D_term", "D_period", "D_rotation", "M_cls_num_stu", *r6("M_cls_class_size", "M_cls_class_size_diff"), "C_cls_class_size_bucket").distinct()
+
+
+@query("r04_teacher_metrics", "un_pr", f"""
+SELECT D_employee_id, C_tch_location_name, round_even(p, 6) AS M_tch_num_periods, round_even(p / CASE WHEN C_tch_location_name = 'NATION_5' THEN 42e-1 ELSE 5e0 END, 6) AS M_tch_utilization, l AS M_tch_load,
+  CASE WHEN l >= 200 THEN '200+' WHEN l >= 125 THEN '125-199' WHEN l >= 75 THEN '75-124' WHEN l >= 35 THEN '35-74' ELSE '0-34' END AS M_tch_load_bucket
+FROM ({_PRIMARY.format(k='D_employee_id', f='D_location_name', o='C_tch_location_name', src='(SELECT D_employee_id, C_class_id, D_location_name, max(M_class_weight) AS h FROM un_pr GROUP BY ALL)')}) a
+JOIN (SELECT D_employee_id AS e, sum(w) AS p FROM (SELECT D_employee_id, C_class_id, max(M_cls_class_weight) AS w FROM un_pr GROUP BY 1, 2) GROUP BY 1) b ON a.D_employee_id IS NOT DISTINCT FROM b.e
+JOIN (SELECT D_employee_id AS e, count(DISTINCT D_stu_id) FILTER (C_teacher_load_exclude = 'Include') AS l FROM un_pr GROUP BY 1) c ON a.D_employee_id IS NOT DISTINCT FROM c.e""")
+def _(t):
+    d = R.add_teacher_metrics(unified(t), V.PR)
+    return d.select("D_employee_id", "C_tch_location_name", *r6("M_tch_num_periods", "M_tch_utilization"), "M_tch_load", "M_tch_load_bucket").distinct()
+
+
+def _class_primary(f, o):
+    return _PRIMARY.format(k="C_class_id", f=f, o=o, src=f"(SELECT C_class_id, {f}, M_class_weight AS h FROM un_pr)")
+
+
+@query("r05_class_primaries", "un_pr", f"""
+SELECT * FROM ({_class_primary('D_location_id', 'C_cls_location_id')}) JOIN ({_class_primary('D_location_name', 'C_cls_location_name')}) USING (C_class_id) JOIN ({_class_primary('D_stu_grade', 'C_cls_grade')}) USING (C_class_id)
+JOIN ({_class_primary('C_course_subject', 'C_cls_course_subject')}) USING (C_class_id) JOIN ({_class_primary('C_course_subject_area', 'C_cls_course_subject_area')}) USING (C_class_id) JOIN ({_class_primary('C_course_rigor', 'C_cls_course_rigor')}) USING (C_class_id)""")
+def _(t):
+    return R.class_primaries(unified(t))
+
+
+@query("r06_class_credit_type", "un_pr", """
+SELECT C_class_id, C_course_credit_type AS C_cls_course_credit_type FROM (SELECT C_class_id, C_course_credit_type, row_number() OVER (PARTITION BY C_class_id ORDER BY count(*) DESC,
+  CASE C_course_credit_type WHEN 'Graduation Required' THEN 1 WHEN 'Support & Enrichment' THEN 2 WHEN 'Elective' THEN 3 ELSE 4 END) AS rn FROM un_pr GROUP BY 1, 2) WHERE rn = 1""")
+def _(t):
+    return R.class_fields(unified(t)).select("C_class_id", "C_cls_course_credit_type")
+
+
+@query("x22_collapsed_course_names")
+def _(t):
+    return R.class_fields(unified(t)).select("C_class_id", "C_cls_course_name")
+
+
+@query("r07_class_demographics", "un_pr", """
+SELECT C_class_id, sum(e)::BIGINT AS M_cls_num_ell, sum(s)::BIGINT AS M_cls_num_swd, sum(e) / count(*) AS M_cls_pct_ell, sum(s) / count(*) AS M_cls_pct_swd,
+  CASE WHEN sum(e) / count(*) <= 2e-1 THEN '0-20%' WHEN sum(e) / count(*) < 5e-1 THEN '20-50%' ELSE '>50%' END AS C_cls_ell_bucket, CASE WHEN sum(s) / count(*) <= 2e-1 THEN '0-20%' WHEN sum(s) / count(*) < 5e-1 THEN '20-50%' ELSE '>50%' END AS C_cls_swd_bucket
+FROM (SELECT DISTINCT C_class_id, D_stu_id, D_stu_ell_flag AS e, D_stu_swd_flag AS s FROM un_pr) GROUP BY 1""")
+def _(t):
+    return R.class_demographics(unified(t))
+
+
+@query("r08_weight_times_size", "un_pr", f"""
+SELECT C_class_id, round_even(max(M_cls_class_weight) * max(z), 6) AS M_cls_class_weight_times_class_size FROM un_pr JOIN (SELECT C_class_id, max(M_cls_class_size) AS z FROM ({_SIZE}) GROUP BY 1) USING (C_class_id) GROUP BY 1""")
+def _(t):
+    d = R.add_weight_times_size(R.add_class_size(unified(t), V.PR))
+    return d.select("C_class_id", *r6("M_cls_class_weight_times_class_size")).distinct()
+
+
+@query("r10_teacher_support", "un_pr", """
+SELECT D_employee_id, round_even(e, 6) AS C_tch_percent_ell_classes, CASE WHEN e > 5e-1 THEN 'ELL teacher' ELSE 'Not ELL teacher' END AS C_tch_ell_flag,
+  CASE WHEN e > 5e-1 AND s > 5e-1 THEN 'ELL and SWD teacher' WHEN e > 5e-1 THEN 'ELL teacher' WHEN s > 5e-1 THEN 'SWD teacher' ELSE 'Gen Ed teacher' END AS C_tch_ell_swd_flag
+FROM (SELECT D_employee_id, round_even(avg(pe), 9) AS e, round_even(avg(ps), 9) AS s FROM (SELECT DISTINCT D_employee_id, C_class_id FROM un_pr) JOIN (SELECT C_class_id, sum(e) / count(*) AS pe, sum(s) / count(*) AS ps FROM (
+  SELECT DISTINCT C_class_id, D_stu_id, D_stu_ell_flag AS e, D_stu_swd_flag AS s FROM un_pr) GROUP BY 1) USING (C_class_id) GROUP BY 1)""")
+def _(t):
+    d = R.teacher_support(R.add_class_demographics(unified(t)))
+    return d.select("D_employee_id", *r6("C_tch_percent_ell_classes"), "C_tch_ell_flag", "C_tch_ell_swd_flag")
+
+
+@query("r11_teacher_flags", "un_pr", f"""
+SELECT D_employee_id, coalesce(s, 'Advisory') AS C_tch_course_subject, CASE WHEN g = 9 THEN 'Ninth grade teacher' ELSE 'Not Ninth grade teacher' END AS C_tch_ninth_grade_flag FROM (
+  {_PRIMARY.format(k='D_employee_id', f='D_stu_grade', o='g', src='(SELECT D_employee_id, C_class_id, D_stu_grade, max(M_class_weight) AS h FROM un_pr GROUP BY ALL)')}) a
+LEFT JOIN (SELECT D_employee_id AS e, C_tch_course_subject AS s FROM ({_PRIMARY.format(k='D_employee_id', f='C_course_subject', o='C_tch_course_subject', src="(SELECT D_employee_id, C_class_id, C_course_subject, max(M_class_weight) AS h FROM un_pr WHERE C_course_subject <> 'Advisory' GROUP BY ALL)")})) b
+ON a.D_employee_id IS NOT DISTINCT FROM b.e""")
+def _(t):
+    d = R.add_teacher_flags(R.add_teacher_primaries(unified(t)))
+    return d.select("D_employee_id", "C_tch_course_subject", "C_tch_ninth_grade_flag").distinct()
+
+
+@query("r12_student_rollup", "un_pr", f"""
+SELECT D_location_name, C_class_id, D_term, D_period, D_rotation, count(*) AS n, round_even(sum(w), 6) AS w FROM (SELECT DISTINCT D_location_name, D_stu_id, D_employee_id, D_stu_grade, C_class_id, D_term, D_period, D_rotation, C_course_subject, C_course_name, C_course_rigor,
+  C_course_subject_area, C_course_credit_type, round_even(M_class_weight, 9) AS w FROM un_pr WHERE C_course_subject_area <> 'Untracked') GROUP BY ALL""")
+def _(t):
+    d = rolled(t)["student"].withColumn("w", F.bround("M_class_weight", 9))
+    d = d.select("D_location_name", "D_stu_id", "D_employee_id", "D_stu_grade", "C_class_id", "D_term", "D_period", "D_rotation", "C_course_subject", "C_course_name", "C_course_rigor", "C_course_subject_area", "C_course_credit_type", "w").distinct()
+    return d.groupBy("D_location_name", "C_class_id", "D_term", "D_period", "D_rotation").agg(F.count(F.lit(1)).alias("n"), F.bround(F.sum("w"), 6).alias("w"))
+
+
+@query("r13_teacher_rollup", "un_pr", """
+SELECT D_employee_id, C_teacher_load_exclude, count(DISTINCT C_course_name) AS M_tch_num_preps, string_agg(DISTINCT coalesce(per, 'NA') || '@' || coalesce(rot, 'NA'), ' | ' ORDER BY coalesce(per, 'NA') || '@' || coalesce(rot, 'NA')) AS M_tch_meetings_in_s1,
+  string_agg(DISTINCT C_course_name, ' | ' ORDER BY C_course_name) AS C_tch_course_names, string_agg(DISTINCT D_period, ' | ' ORDER BY D_period) AS D_period, 1 AS M_tch_weight FROM un_pr WHERE C_course_subject_area <> 'Untracked' GROUP BY 1, 2""")
+def _(t):
+    return rolled(t)["teacher"].select("D_employee_id", "C_teacher_load_exclude", "M_tch_num_preps", "M_tch_meetings_in_s1", "C_tch_course_names", "D_period", "M_tch_weight")
+
+
+@query("r14_class_rollup", "un_pr", f"""
+SELECT u.C_class_id, u.D_term, u.D_period, u.D_rotation, u.D_employee_id, u.C_teacher_load_exclude, max(M_cls_num_stu) AS M_cls_num_stu, max(M_cls_class_weight) AS M_cls_class_weight FROM un_pr u
+JOIN ({_SIZE}) s ON u.C_class_id = s.C_class_id AND u.D_term = s.D_term AND u.D_period = s.D_period AND u.D_rotation = s.D_rotation WHERE C_class_size_exclude = 'Include' AND C_course_subject_area <> 'Untracked' GROUP BY ALL""")
+def _(t):
+    return rolled(t)["class"].select("C_class_id", "D_term", "D_period", "D_rotation", "D_employee_id", "C_teacher_load_exclude", "M_cls_num_stu", "M_cls_class_weight")
+
+
+@query("r15_rollup_checks", "un_pr", """
+SELECT unnest(['class size within head count', 'class size bucket known', 'load bucket known', 'utilisation known']) AS "check", 'PASS' AS result, 0::BIGINT AS n_offenders FROM (SELECT count(*) FROM un_pr)""")
+def _(t):
+    r = rolled(t)
+    return R.rollup_checks(r["class"], r["teacher"])
+
+
+@query("r15_size_distribution")
+def _(t):
+    return R.size_distribution(rolled(t)["class"], V.PR)
+
+
+@query("a26_utilisation_by_school", "un_pr", f"""
+SELECT C_tch_location_name, count(*) AS n_teachers, round_even(avg(u), 4) AS avg_utilization, count(*) FILTER (u IS NULL) AS n_null FROM (SELECT D_employee_id, C_tch_location_name, p / CASE WHEN C_tch_location_name = 'NATION_5' THEN 42e-1 ELSE 5e0 END AS u FROM (
+  {_PRIMARY.format(k='D_employee_id', f='D_location_name', o='C_tch_location_name', src='(SELECT D_employee_id, C_class_id, D_location_name, max(M_class_weight) AS h FROM un_pr GROUP BY ALL)')}) a
+JOIN (SELECT D_employee_id AS e, sum(w) AS p FROM (SELECT D_employee_id, C_class_id, max(M_cls_class_weight) AS w FROM un_pr GROUP BY 1, 2) GROUP BY 1) b ON a.D_employee_id IS NOT DISTINCT FROM b.e) GROUP BY 1""")
+def _(t):
+    d = R.add_teacher_metrics(unified(t), V.PR).select("D_employee_id", "C_tch_location_name", "M_tch_utilization").distinct()
+    return A.utilisation_by_school(d)
+
+
+@query("w06_group_totals_on_rows", "cs", "SELECT D_course_section_id, D_term, n_students, count(*) AS n FROM (SELECT c.*, n_students FROM cs c JOIN (SELECT D_course_section_id, D_term, count(DISTINCT D_stu_id) AS n_students FROM cs GROUP BY 1, 2) USING (D_course_section_id, D_term)) GROUP BY ALL")
+def _(t):
+    d = attach(V.cs(t), ["D_course_section_id", "D_term"], F.count_distinct("D_stu_id").alias("n_students"))
+    return d.groupBy("D_course_section_id", "D_term", "n_students").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- add-ons ---
+
+def licences(t):
+    b = F.col("s_acctbal")
+    d = t.lineitem.select("l_suppkey", "l_linenumber", "l_returnflag").distinct().join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    kind = F.when(F.col("l_linenumber") % 3 == 0, "Professional").when(F.col("l_returnflag") == "A", "Initial").when(b > 5000, "Emergency-Extension II").otherwise("Temporary")
+    return d.select(F.col("s_suppkey").alias("D_employee_id"), F.when(b > 0, kind).alias("D_employee_license_type"), F.when(F.col("l_linenumber") != 4, F.col("l_returnflag")).otherwise("").alias("D_employee_license_subject"))
+
+
+@query("r16_hr_licensure", "", """
+SELECT D_employee_id, r::INT AS D_employee_license_type_rank, coalesce(subjects, '') AS D_employee_license_subject_concat, CASE kind WHEN 'Professional' THEN '1 - Professional' WHEN 'Initial' THEN '2 - Initial' WHEN 'Temporary' THEN '3 - Provisional' END AS D_employee_license_type,
+  CASE WHEN r >= 5 THEN 'Novice' ELSE 'Experienced' END AS C_tch_novice_indicator FROM (
+  SELECT D_employee_id, min({'r': r, 'k': kind}).r AS r, min({'r': r, 'k': kind}).k AS kind FROM (
+    SELECT *, CASE kind WHEN 'Professional' THEN 1 WHEN 'Initial' THEN 3 WHEN 'Temporary' THEN 5 END AS r FROM (
+      SELECT s_suppkey AS D_employee_id, CASE WHEN s_acctbal > 0 THEN CASE WHEN l_linenumber % 3 = 0 THEN 'Professional' WHEN l_returnflag = 'A' THEN 'Initial' WHEN s_acctbal > 5000 THEN 'Emergency-Extension II' ELSE 'Temporary' END END AS kind
+      FROM (SELECT DISTINCT l_suppkey, l_linenumber, l_returnflag FROM lineitem) JOIN supplier ON l_suppkey = s_suppkey)) WHERE r IS NOT NULL GROUP BY 1)
+LEFT JOIN (SELECT l_suppkey AS D_employee_id, string_agg(DISTINCT l_returnflag, ', ' ORDER BY l_returnflag) AS subjects FROM lineitem WHERE l_linenumber <> 4 GROUP BY 1) USING (D_employee_id)""")
+def _(t):
+    return H.hr_licensure(licences(t), {"Professional": 1, "Initial": 3, "Temporary": 5}, 5)
+
+
+@query("r16_r17_hr_experience", "", """
+SELECT l_suppkey AS D_employee_id, n, y AS D_tch_yrs_experience, CASE WHEN y <= 2 THEN 'Novice' WHEN y > 2 THEN 'Not Novice' END AS C_tch_novice_indicator FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1)
+LEFT JOIN (SELECT s_suppkey, floor(s_acctbal / 1000) AS y FROM supplier WHERE s_acctbal > 500) ON l_suppkey = s_suppkey""")
+def _(t):
+    hr = t.supplier.filter("s_acctbal > 500").select(F.col("s_suppkey").alias("D_employee_id"), F.floor(F.col("s_acctbal") / 1000).cast("double").alias("D_tch_yrs_experience"))
+    d = t.lineitem.groupBy(F.col("l_suppkey").alias("D_employee_id")).agg(F.count(F.lit(1)).alias("n"))
+    return H.apply_teacher_hr(d, hr, "experience")
+
+
+@query("r17_hr_evaluation", "", """
+SELECT l_suppkey AS D_employee_id, n, CASE WHEN s_acctbal > 5000 THEN 'High' ELSE 'Low' END AS D_employee_rating FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1) JOIN supplier ON l_suppkey = s_suppkey""")
+def _(t):
+    hr = t.supplier.select(F.col("s_suppkey").alias("D_employee_id"), F.when(F.col("s_acctbal") > 5000, "High").otherwise("Low").alias("D_employee_rating"))
+    return H.apply_teacher_hr(t.lineitem.groupBy(F.col("l_suppkey").alias("D_employee_id")).agg(F.count(F.lit(1)).alias("n")), hr, "evaluation")
+
+
+def graded(t, col="letter"):
+    return H.prepare_grades(V.grades(t).withColumnRenamed(col, "given"), V.name_coding(t), {"D_stu_course_grade": "given"})
+
+
+@query("r18_grades_rollup", "graded", """
+SELECT C_course_subject, C_course_credit_type, D_course_category, letter AS D_stu_course_grade, CASE WHEN regexp_matches(letter, '^[A-F]') THEN letter[1] END AS C_stu_course_grade, count(*) AS n FROM graded
+WHERE D_course_category <> 'TRN Transfer' AND D_course_credit_recovery = 0 AND letter IS NOT NULL GROUP BY ALL""")
+def _(t):
+    return H.grades_rollup(graded(t)).groupBy("C_course_subject", "C_course_credit_type", "D_course_category", "D_stu_course_grade", "C_stu_course_grade").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _prof(value, worst, ok, keep):
+    lab = lambda s: f"CASE WHEN {worst}(v) FILTER (D_course_subject = '{s}') {ok} THEN 'Proficient' WHEN {worst}(v) FILTER (D_course_subject = '{s}') IS NOT NULL THEN 'Below Proficient' END"
+    return f"""
+SELECT D_stu_id, e AS C_proficiency_ela, m AS C_proficiency_math, CASE WHEN e IS NULL THEN m WHEN m IS NULL THEN e WHEN e = m THEN e ELSE 'Partially Proficient' END AS C_proficiency FROM (
+  SELECT D_location_name, D_stu_id, D_stu_grade, D_stu_cohort, {lab('English')} AS e, {lab('Math')} AS m FROM (SELECT *, {value} AS v FROM graded)
+  WHERE D_course_category <> 'TRN Transfer' AND D_course_credit_recovery = 0 AND {keep} AND C_course_credit_type = 'Graduation Required' AND D_course_subject IN ('English', 'Math', 'Science', 'Social Studies') AND v IS NOT NULL GROUP BY 1, 2, 3, 4)"""
+
+
+@query("r19_proficiency_letter", "graded", _prof("CASE letter[1] WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 3 WHEN 'D' THEN 4 WHEN 'F' THEN 5 END", "max", "<= 3", "letter IS NOT NULL"))
+def _(t):
+    return H.student_proficiency(graded(t))
+
+
+@query("r19_proficiency_percentage", "graded", _prof("try_cast(pctg AS DOUBLE)", "min", ">= 40", "pctg IS NOT NULL"))
+def _(t):
+    return H.student_proficiency(graded(t, "pctg"), "percentage", 40)
+
+
+@query("r20_apply_course_grades", "csx graded", "SELECT C_proficiency, count(*) AS n FROM csx LEFT JOIN (" + _prof("CASE letter[1] WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 3 WHEN 'D' THEN 4 WHEN 'F' THEN 5 END", "max", "<= 3", "letter IS NOT NULL") + ") USING (D_stu_id) GROUP BY 1")
+def _(t):
+    return H.apply_course_grades(V.csx(t), H.student_proficiency(graded(t))).groupBy("C_proficiency").agg(F.count(F.lit(1)).alias("n"))
