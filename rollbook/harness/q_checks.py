@@ -19,11 +19,11 @@ _RES = "CASE WHEN n_offenders = 0 THEN 'PASS' ELSE 'FAIL' END AS result, n_offen
 
 
 def clean_tr(t):
-    return T.clean_transcript(V.tr_raw(t), V.TR)
+    return t.stored("tr", lambda: T.clean_transcript(V.tr_raw(t), V.TR))
 
 
 def clean_sp(t):
-    return T.clean_spells(V.sp_raw(t), V.TR)
+    return t.stored("sp", lambda: T.clean_spells(V.sp_raw(t), V.TR))
 
 
 # --- sources ---

@@ -10,7 +10,6 @@ from ..operators import joins as J
 from ..operators import ordered as O
 from ..operators import student_year as SY
 from ..plans import transcript as T
-from ..sources.tables import cut_lineage
 from . import views as V
 from .q_checks import clean_sp, clean_tr
 from .registry import query
@@ -22,8 +21,8 @@ def by_school(t):
 
 def student_year(t):
     """The student-year table, stored because the queries read it several times."""
-    sp = cut_lineage(clean_sp(t))
-    return cut_lineage(SY.collapse_years(sp, SY.home_school(SY.spells_by_school(sp))))
+    sp = clean_sp(t)
+    return t.stored("student_year", lambda: SY.collapse_years(sp, SY.home_school(SY.spells_by_school(sp))))
 
 
 def universe(sy):
@@ -35,7 +34,8 @@ def crow(sy):
 
 
 def built(t):
-    return T.build(V.sp_raw(t), V.tr_raw(t), V.coding(t), V.TR)
+    keep = ("transcript_out", "student_year_export")
+    return t.stored("transcript_analysis", lambda: {k: d for k, d in T.build(V.sp_raw(t), V.tr_raw(t), V.coding(t), V.TR).items() if k in keep})
 
 
 @query("a07_spells_by_school", "bys", "SELECT * FROM bys")

@@ -9,7 +9,6 @@ from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import ordered as O
 from ..plans import transcript as T
-from ..sources.tables import cut_lineage
 from . import views as V
 from .q_checks import clean_sp, clean_tr
 from .registry import query
@@ -180,7 +179,7 @@ SELECT *, round_even(100e0 * ids_found / n_ids, 2) AS pct_ids_found, round_even(
     count(DISTINCT (D_stu_id, D_year)) FILTER ((D_stu_id, D_year) IN (SELECT (D_stu_id, D_year) FROM sp)) AS id_years_found FROM tr),
   (SELECT count(*) AS n_compared, count(*) FILTER (diff = 0) AS n_agree FROM ({_AGREE}))""")
 def _(t):
-    tr, sp = cut_lineage(clean_tr(t)), cut_lineage(clean_sp(t))
+    tr, sp = clean_tr(t), clean_sp(t)
     return J.reconcile(tr, sp, J.grade_agreement(tr, sp))
 
 

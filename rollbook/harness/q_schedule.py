@@ -21,22 +21,29 @@ from .registry import query
 SLOTS = {"C_term_exploded": "slot", "C_period_exploded": "per", "C_rotation_exploded": "rot"}
 
 
+def tag(p):
+    return p.time_format
+
+
 def weighed(t, p=V.PR):
-    """Weighed records, stored because the resolution reads them several times."""
-    return cut_lineage(S.weigh(V.csx(t), p))
+    return t.stored(f"weighed {tag(p)}", lambda: S.weigh(V.csx(t), p))
 
 
 def exploded(t, p=V.PR):
-    return M.explode_records(S.weigh(V.csx(t), p), p)
+    return M.explode_records(M.engine_columns(weighed(t, p), p), p)
 
 
 def flagged(t, p=V.PR, **kw):
     return DB.flag_double_bookings(exploded(t, p), p, **kw)
 
 
+def flagged_only(t, p=V.PR):
+    return t.stored(f"flagged {tag(p)}", lambda: flagged(t, p, only_flagged=True))
+
+
 def resolved(t, p=V.PR):
     w = weighed(t, p)
-    return w, S.resolve(w, p)
+    return w, t.stored(f"resolved {tag(p)}", lambda: S.resolve(w, p))
 
 
 def r6(*cols):
@@ -187,12 +194,12 @@ def _(t):
 
 @query("m18_consolidate_periods", "mp_pr", "SELECT sec AS C_class_id_original, comp AS component, n_sections, expr AS merged_expr, cons AS C_class_id_consolidated, coalesce(cons, sec) AS C_class_id_resolved, cons IS NOT NULL AS is_consolidated FROM mp_pr")
 def _(t):
-    return DB.consolidate_sections(cut_lineage(flagged(t, only_flagged=True)))
+    return DB.consolidate_sections(flagged_only(t))
 
 
 @query("m18_x23_consolidate_expressions", "mp_ex", "SELECT sec AS C_class_id_original, comp AS component, n_sections, expr AS merged_expr, cons AS C_class_id_consolidated FROM mp_ex")
 def _(t):
-    m = DB.consolidate_sections(cut_lineage(flagged(t, V.EX, only_flagged=True)))
+    m = DB.consolidate_sections(flagged_only(t, V.EX))
     return m.select("C_class_id_original", "component", "n_sections", "merged_expr", "C_class_id_consolidated")
 
 
@@ -210,22 +217,22 @@ def _(t):
 @query("m19_consolidation_sizes", "mp_pr", """
 SELECT n_sections, count(DISTINCT comp) AS n_components, CASE n_sections WHEN 1 THEN 'untouched' WHEN 2 THEN 'pair' ELSE 'chain (3+)' END AS kind FROM mp_pr GROUP BY 1""")
 def _(t):
-    return DB.consolidation_sizes(DB.consolidate_sections(cut_lineage(flagged(t, only_flagged=True))))
+    return DB.consolidation_sizes(DB.consolidate_sections(flagged_only(t)))
 
 
 @query("m19_largest_consolidations", "mp_ex", "SELECT DISTINCT n_sections, expr AS merged_expr, cons AS C_class_id_consolidated FROM mp_ex WHERE cons IS NOT NULL ORDER BY 1 DESC, 3 LIMIT 10")
 def _(t):
-    return DB.largest_consolidations(DB.consolidate_sections(cut_lineage(flagged(t, V.EX, only_flagged=True))))
+    return DB.largest_consolidations(DB.consolidate_sections(flagged_only(t, V.EX)))
 
 
 @query("m19_consolidation_totals", "mp_pr", "SELECT count(*) AS sections_total, count(cons) AS sections_consolidated, count(DISTINCT cons) AS consolidated_classes FROM mp_pr")
 def _(t):
-    return DB.consolidation_totals(DB.consolidate_sections(cut_lineage(flagged(t, only_flagged=True))))
+    return DB.consolidation_totals(DB.consolidate_sections(flagged_only(t)))
 
 
 @query("m18_collisions", "mp_pr", "SELECT cons AS C_class_id_consolidated, count(DISTINCT comp) AS n_components FROM mp_pr WHERE cons IS NOT NULL GROUP BY 1 HAVING count(DISTINCT comp) > 1")
 def _(t):
-    return DB.consolidation_collisions(DB.consolidate_sections(cut_lineage(flagged(t, only_flagged=True)))).offenders
+    return DB.consolidation_collisions(DB.consolidate_sections(flagged_only(t))).offenders
 
 
 @query("m20_apply_consolidation", "rs_ex", "SELECT pt AS C_class_id_post_teachers, coalesce(CASE WHEN cons IS NOT NULL THEN expr END, D_expression) AS C_class_expression, count(*) AS n FROM rs_ex GROUP BY ALL")
@@ -242,7 +249,7 @@ def _(t):
 
 @query("m22_class_stage", "pc_pr", "SELECT D_stu_id, slot, per, rot, tprp, n_split::INT AS n_split, round_even(sum(w_class), 6) AS w_class, count(*) AS n FROM pc_pr GROUP BY ALL")
 def _(t):
-    d = DB.resolve_classes(cut_lineage(flagged(t, only_flagged=True))).withColumnsRenamed({**SLOTS, "H_tpr_100p_percent": "tprp", "H_student_count_of_100p_classes": "n_split"})
+    d = DB.resolve_classes(flagged_only(t)).withColumnsRenamed({**SLOTS, "H_tpr_100p_percent": "tprp", "H_student_count_of_100p_classes": "n_split"})
     return d.groupBy("D_stu_id", "slot", "per", "rot", "tprp", "n_split").agg(F.bround(F.sum("M_class_weight_post_class"), 6).alias("w_class"), F.count(F.lit(1)).alias("n"))
 
 
@@ -314,19 +321,17 @@ def _(t):
 SELECT D_location_name, count(*) AS n_people, round_even(avg(w), 2) AS avg_weight, round_even(avg(m), 0) AS avg_minutes FROM (SELECT D_location_name, D_stu_id, sum(M_cls_class_weight) AS w, sum(M_cls_class_minutes) AS m FROM (
   SELECT DISTINCT D_location_name, D_stu_id, C_class_id, M_cls_class_weight, M_cls_class_minutes FROM we_pr WHERE C_course_time_exclude = 'Include') GROUP BY 1, 2) GROUP BY 1""")
 def _(t):
-    return A.weight_by_school(S.weigh(V.csx(t), V.PR).filter("C_course_time_exclude = 'Include'"), "D_stu_id", minutes="M_cls_class_minutes")
+    return A.weight_by_school(weighed(t).filter("C_course_time_exclude = 'Include'"), "D_stu_id", minutes="M_cls_class_minutes")
 
 
 # --- rollups ---
 
 def unified(t):
-    _, r = resolved(t)
-    return cut_lineage(r["unified"])
+    return resolved(t)[1]["unified"]
 
 
 def rolled(t):
-    _, r = resolved(t)
-    return S.roll_up(r["unified"], V.PR)
+    return t.stored("rollups", lambda: S.roll_up(unified(t), V.PR))
 
 
 _PRIMARY = """SELECT {k}, {f} AS {o} FROM (SELECT {k}, {f}, row_number() OVER (PARTITION BY {k} ORDER BY round_even(sum(h), 9) DESC, {f}::VARCHAR NULLS LAST) AS rn FROM {src} GROUP BY 1, 2) WHERE rn = 1"""

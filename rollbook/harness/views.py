@@ -13,6 +13,7 @@ from ..functions.nullsafe import join_same
 from ..operators.meetings import ScheduleParams
 from ..operators.scope import apply_exclusions
 from ..plans.transcript import TranscriptParams
+from ..sources.tables import cut_lineage
 
 
 class Tables:
@@ -21,6 +22,21 @@ class Tables:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    _kept: dict = {}
+
+    def stored(self, key: str, build):
+        """A table (or a dict of tables) that many queries start from: written once per session and
+        directory, then read back. :meth:`forget` drops the references."""
+        k = (self.spark.sparkContext.applicationId, self.path, key)
+        if k not in Tables._kept:
+            made = build()
+            Tables._kept[k] = {n: cut_lineage(d) for n, d in made.items()} if isinstance(made, dict) else cut_lineage(made)
+        return Tables._kept[k]
+
+    @staticmethod
+    def forget() -> None:
+        Tables._kept.clear()
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
@@ -147,7 +163,7 @@ def cs(t: Tables) -> DataFrame:
 
 
 def csx(t: Tables) -> DataFrame:
-    return apply_exclusions(cs(t), EXCLUSIONS)
+    return t.stored("csx", lambda: apply_exclusions(cs(t), EXCLUSIONS))
 
 
 def roster(t: Tables) -> DataFrame:

@@ -20,16 +20,16 @@ def connected_components(members: DataFrame, node: str, group: str, out: str = "
     members = members.select(F.col(node).alias("n"), F.col(group).alias("g")).distinct()
     linking = members.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
     edges = cut_lineage(members.join(linking, "g", "left_semi"))
-    labels = cut_lineage(edges.groupBy("n").agg(F.min("n").alias("label")))
+    labels = edges.groupBy("n").agg(F.min("n").alias("label"))
     while True:
-        via = edges.join(labels, "n").groupBy("g").agg(F.min("label").alias("label"))
-        near = edges.join(via, "g").groupBy("n").agg(F.min("label").alias("label"))
-        jump = near.select(F.col("n").alias("at"), F.col("label").alias("further"))
-        step = near.join(jump, near["label"] == jump["at"], "left").select("n", F.least("label", "further").alias("label"))
-        fresh = cut_lineage(step)
-        moved = fresh.join(labels.withColumnRenamed("label", "old"), "n").filter("label <> old").limit(1).count()
-        labels = fresh
-        if not moved:
+        at = edges.join(labels, "n")
+        via = at.groupBy("g").agg(F.min("label").alias("via"))
+        near = at.join(via, "g").groupBy("n").agg(F.min("via").alias("near"), F.min("label").alias("old"))
+        jump = labels.select(F.col("n").alias("near"), F.col("label").alias("further"))
+        step = near.join(jump, "near", "left").select("n", F.least("near", "further").alias("label"), "old")
+        step = cut_lineage(step)
+        labels = step.select("n", "label")
+        if step.filter("label <> old").isEmpty():
             break
     nodes = members.select("n").distinct().join(labels, "n", "left")
     return nodes.select(F.col("n").alias(node), F.coalesce("label", "n").alias(out))

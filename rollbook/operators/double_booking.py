@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.nullsafe import (attach, col, count_where, flag, flag_int, is_in, join_same, n_distinct, n_distinct_if,
                                   paste, pct)
 from ..functions.school import SLOT, slot_class_id
+from ..sources.tables import cut_lineage
 from .checks import Check
 from .components import connected_components
 from .meetings import PERIOD, ROTATION, ROW_ID, TERM, ScheduleParams, serialize_meetings
@@ -30,25 +31,16 @@ def _slot_flag(sums: DataFrame, who: list[str], total: str, out: str) -> DataFra
     return sums.groupBy(*who, *SLOT).agg(F.max(over).alias(out))
 
 
-def flag_students(df: DataFrame, by_weight: bool = True) -> DataFrame:
-    """A student's adjusted weights in a slot add up to more than one class.
-
-    Sums are kept apart per weight value; ``by_weight=False`` compares the slot total with its largest
-    single weight instead.
-    """
+def _student_sums(df: DataFrame, by_weight: bool) -> DataFrame:
     who = ["D_location_id", "D_stu_id"]
     if by_weight:
         sums = df.groupBy(*who, *SLOT, WEIGHT).agg(F.sum(ADJ).alias("__t"))
     else:
         sums = df.groupBy(*who, *SLOT).agg(F.sum(ADJ).alias("__t"), F.max(WEIGHT).alias(WEIGHT))
-    return _join_flag(df, _slot_flag(sums, who, "__t", "H_db_student_row"), who, "H_db_student_row")
+    return _slot_flag(sums, who, "__t", "H_db_student_row")
 
 
-def flag_teachers(df: DataFrame, by_weight: bool = True, skip_missing: bool = False) -> DataFrame:
-    """As for students, after reducing each class to its largest adjusted weight.
-
-    Rows without a teacher form one group unless ``skip_missing``.
-    """
+def _teacher_sums(df: DataFrame, by_weight: bool, skip_missing: bool) -> DataFrame:
     who = ["D_location_id", "D_employee_id"]
     src = df.filter(F.col("D_employee_id").isNotNull()) if skip_missing else df
     per_class = src.groupBy(*who, *SLOT, WEIGHT, "C_class_id").agg(F.max(ADJ).alias("__w"))
@@ -56,7 +48,30 @@ def flag_teachers(df: DataFrame, by_weight: bool = True, skip_missing: bool = Fa
         sums = per_class.groupBy(*who, *SLOT, WEIGHT).agg(F.sum("__w").alias("__t"))
     else:
         sums = per_class.groupBy(*who, *SLOT).agg(F.sum("__w").alias("__t"), F.max(WEIGHT).alias(WEIGHT))
-    return _join_flag(df, _slot_flag(sums, who, "__t", "H_db_teacher_row"), who, "H_db_teacher_row")
+    return _slot_flag(sums, who, "__t", "H_db_teacher_row")
+
+
+def flag_students(df: DataFrame, by_weight: bool = True) -> DataFrame:
+    """A student's adjusted weights in a slot add up to more than one class.
+
+    Sums are kept apart per weight value; ``by_weight=False`` compares the slot total with its largest
+    single weight instead.
+    """
+    return _join_flag(df, _student_sums(df, by_weight), ["D_location_id", "D_stu_id"], "H_db_student_row")
+
+
+def flag_teachers(df: DataFrame, by_weight: bool = True, skip_missing: bool = False) -> DataFrame:
+    """As for students, after reducing each class to its largest adjusted weight.
+
+    Rows without a teacher form one group unless ``skip_missing``.
+    """
+    return _join_flag(df, _teacher_sums(df, by_weight, skip_missing), ["D_location_id", "D_employee_id"], "H_db_teacher_row")
+
+
+def flag_people(df: DataFrame, by_weight: bool = True, skip_missing: bool = False) -> DataFrame:
+    """Both flags; each is summed from the same input, so the rows are read three times and not four."""
+    out = _join_flag(df, _student_sums(df, by_weight), ["D_location_id", "D_stu_id"], "H_db_student_row")
+    return _join_flag(out, _teacher_sums(df, by_weight, skip_missing), ["D_location_id", "D_employee_id"], "H_db_teacher_row")
 
 
 def _join_flag(df, flags, who, out):
@@ -72,10 +87,15 @@ def class_flags(df: DataFrame) -> DataFrame:
 
 def flag_double_bookings(exploded: DataFrame, p: ScheduleParams, only_flagged: bool = False, by_weight: bool = True,
                          skip_missing_teacher: bool = False) -> DataFrame:
-    """Flags for the rows that count in both metrics. ``only_flagged`` keeps the classes with a flag."""
+    """Flags for the rows that count in both metrics. ``only_flagged`` keeps the classes with a flag.
+
+    Every step sums a table and joins the sums back to it, so the two tables in between are stored;
+    otherwise each step would double the reads of everything before it.
+    """
     df = exploded.filter(is_in(EXCLUDES[0], ["Include"]) & is_in(EXCLUDES[1], ["Include"]))
     df = df.withColumn("C_class_id_original", F.col("C_class_id")).withColumn("C_class_id", slot_class_id(df.columns, p.recipe))
-    df = class_flags(flag_teachers(flag_students(same_course_adjuster(df), by_weight), by_weight, skip_missing_teacher))
+    df = cut_lineage(flag_people(cut_lineage(same_course_adjuster(df)), by_weight, skip_missing_teacher))
+    df = class_flags(df)
     return df.filter("H_class_with_db = 1") if only_flagged else df
 
 
@@ -201,8 +221,14 @@ def resolve_double_bookings(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 # --- unification ------------------------------------------------------------------
 
 def unify(resolved: DataFrame, records: DataFrame, loadoff: DataFrame | None = None, load_col: str = EXCLUDES[1]) -> DataFrame:
-    """Resolved slot rows plus the records that needed no resolution, with one set of final columns."""
-    rest = join_same(records, resolved.select(ROW_ID).distinct(), ROW_ID, "left_anti")
+    """Resolved slot rows plus the records that needed no resolution, with one set of final columns.
+
+    Record columns that the resolved rows did not carry are joined back by row id.
+    """
+    absent = [c for c in records.columns if c not in resolved.columns]
+    if absent:
+        resolved = resolved.join(records.select(ROW_ID, *absent), ROW_ID)
+    rest = records.join(resolved.select(ROW_ID), ROW_ID, "left_anti")
     as_text = lambda d: d.withColumns({c: F.col(c).cast("string") for c in ("D_term", "D_period", "D_rotation") if c in d.columns})
     u = as_text(resolved).unionByName(as_text(rest), allowMissingColumns=True)
     pick = lambda new, old: F.coalesce(new, old) if old in u.columns else F.col(new)
@@ -254,7 +280,7 @@ def before_after(resolved: DataFrame) -> DataFrame:
     """Headline figures before and after, with the flags raised again on the resolved weights."""
     again = resolved.withColumns({"C_class_id": F.col("C_class_id_post_teachers"), ADJ: F.col("M_class_weight_post_student")}).drop(
         "H_db_student_row", "H_db_teacher_row")
-    again = flag_teachers(flag_students(again))
+    again = flag_people(again)
     def db(d):
         return d.agg(n_distinct_if("D_stu_id", F.col("H_db_student_row") == 1).alias("s"), n_distinct_if("D_employee_id", F.col("H_db_teacher_row") == 1).alias("t"))
     def load(class_col):

@@ -204,6 +204,16 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return rows.withColumn(ROW_ID, F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})))
 
 
+ENGINE_COLUMNS = (ROW_ID, "D_stu_id", "D_employee_id", "D_location_id", "D_location_name", "C_class_id", "D_term", "D_period", "D_rotation", "D_expression",
+                  "C_course_subject_area", "C_course_time_exclude", "C_class_size_and_teacher_load_exclude", "M_cls_class_weight")
+
+
+def engine_columns(df: DataFrame, p: ScheduleParams) -> DataFrame:
+    """The columns double-booking work needs. The others stay with the record and are joined back by row
+    id at the end, so the exploded rows that get shuffled are narrow."""
+    return df.select(*[c for c in df.columns if c in ENGINE_COLUMNS or c in p.recipe])
+
+
 def explode_records(df: DataFrame, p: ScheduleParams, school="D_location_name") -> DataFrame:
     """Record -> one row per meeting and term slot, with the slot's weight. Needs :func:`with_row_id`."""
     out = join_same(df, meeting_crosswalk(df, p), p.time_cols)

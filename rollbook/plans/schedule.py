@@ -23,7 +23,7 @@ def weigh(records: DataFrame, p: M.ScheduleParams) -> DataFrame:
 def resolve(weighed: DataFrame, p: M.ScheduleParams, stage=cut_lineage) -> dict[str, DataFrame]:
     """Explode, flag, resolve, unify. The flagged and resolved tables feed several steps, so ``stage``
     writes them once."""
-    flagged = stage(DB.flag_double_bookings(M.explode_records(weighed, p), p, only_flagged=True))
+    flagged = stage(DB.flag_double_bookings(M.explode_records(M.engine_columns(weighed, p), p), p, only_flagged=True))
     resolved, mapping = DB.resolve_double_bookings(flagged)
     resolved, mapping = stage(resolved), stage(mapping)
     loadoff = DB.teacher_loadoff(resolved, p)
