@@ -79,28 +79,24 @@ def natural_sort(arr) -> Column:
     return F.transform(F.array_sort(keyed), lambda s: s["v"])
 
 
-def collapse_names(names) -> Column:
-    """One label for an array of course names.
+def collapse_names(df, names: str, out: str):
+    """One label from an array column of course names, which is replaced by ``out``.
 
     Names that are whole-word parts of another are dropped; a shared leading run of words is written
-    once, followed by the differing endings joined with `` / ``.
+    once, followed by the differing endings joined with `` / ``. Each stage is its own column, so Spark
+    evaluates it once per row.
     """
-    uniq = F.array_distinct(F.filter(F.transform(names, squish), lambda x: x.isNotNull() & (x != "")))
-    def inside(a, b):
-        return (a != b) & F.contains(F.concat(F.lit(" "), b, F.lit(" ")), F.concat(F.lit(" "), a, F.lit(" ")))
-    kept = natural_sort(F.filter(uniq, lambda a: ~F.exists(uniq, lambda b: inside(a, b))))
-    words = F.transform(kept, lambda x: F.split(x, " "))
-    first = words[0]
-    shortest = F.array_min(F.transform(words, F.size))
-    positions = F.sequence(F.lit(1), F.greatest(shortest, F.lit(1)))
-    agree = F.filter(positions, lambda n: F.forall(
-        words, lambda w: F.slice(w, 1, n) == F.slice(first, 1, n)))
-    n_common = F.size(agree)
-    common = F.array_join(F.slice(first, 1, n_common), " ")
-    ends = F.filter(F.transform(words, lambda w: F.array_join(
-        F.slice(w, n_common + 1, F.greatest(F.size(w) - n_common, F.lit(0))), " ")), lambda x: x != "")
-    merged = squish(F.concat(common, F.lit(" "), F.array_join(natural_sort(ends), " / ")))
-    return (F.when(F.size(kept) == 0, F.lit(None).cast("string"))
-             .when(F.size(kept) == 1, kept[0])
-             .when(n_common == 0, F.array_join(kept, " / "))
-             .otherwise(merged))
+    pad = lambda x: F.concat(F.lit(" "), x, F.lit(" "))
+    df = df.withColumn("__u", F.array_distinct(F.filter(F.transform(names, squish), lambda x: x.isNotNull() & (x != ""))))
+    df = df.withColumn("__k", natural_sort(F.filter("__u", lambda a: ~F.exists("__u", lambda b: (a != b) & F.contains(pad(b), pad(a))))))
+    df = df.withColumn("__w", F.transform("__k", lambda x: F.split(x, " ")))
+    df = df.withColumn("__s", F.coalesce(F.array_min(F.transform("__w", F.size)), F.lit(0)))
+    first = F.get("__w", F.lit(0))
+    agree = F.filter(F.sequence(F.lit(1), F.greatest("__s", F.lit(1))), lambda n: F.forall("__w", lambda w: F.slice(w, F.lit(1), n) == F.slice(first, F.lit(1), n)))
+    df = df.withColumn("__n", F.least(F.size(agree), F.col("__s")))
+    ends = F.filter(F.transform("__w", lambda w: F.array_join(F.slice(w, F.col("__n") + 1, F.greatest(F.size(w) - F.col("__n"), F.lit(0))), " ")), lambda x: x != "")
+    label = (F.when(F.size("__k") == 0, F.lit(None).cast("string"))
+              .when(F.size("__k") == 1, F.get("__k", F.lit(0)))
+              .when(F.col("__n") == 0, F.array_join("__k", " / "))
+              .otherwise(squish(F.concat(F.array_join(F.slice(first, F.lit(1), F.col("__n")), " "), F.lit(" "), F.array_join(natural_sort(ends), " / ")))))
+    return df.withColumn(out, label).drop(names, "__u", "__k", "__w", "__s", "__n")

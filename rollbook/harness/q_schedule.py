@@ -269,11 +269,11 @@ def _(t):
 
 
 @query("m25_unify_expressions", "un_ex", """
-SELECT D_location_name, D_term, resolved, C_teacher_load_exclude, round_even(sum(M_class_weight), 4) AS w, count(*) AS n FROM un_ex GROUP BY ALL""")
+SELECT D_location_name, D_term, resolved, C_teacher_load_exclude, round_even(sum(M_class_weight), 7) AS w, count(*) AS n FROM un_ex GROUP BY ALL""")
 def _(t):
     _, r = resolved(t, V.EX)
     return r["unified"].groupBy("D_location_name", "D_term", F.col("C_class_id_post_teachers").isNotNull().alias("resolved"), "C_teacher_load_exclude").agg(
-        F.bround(F.sum("M_class_weight"), 4).alias("w"), F.count(F.lit(1)).alias("n"))
+        F.bround(F.sum("M_class_weight"), 7).alias("w"), F.count(F.lit(1)).alias("n"))
 
 
 @query("m26_unify_accounts", "un_pr rs_pr we_pr", """

@@ -55,21 +55,25 @@ def add_class_size(u: DataFrame, p: ScheduleParams) -> DataFrame:
         "C_cls_class_size_bucket": bucketize(F.bround("M_cls_class_size", 9), p.size_buckets)})
 
 
-def add_teacher_metrics(u: DataFrame, p: ScheduleParams) -> DataFrame:
-    """Primary school, periods, utilisation, load and load bucket per teacher."""
-    if "C_tch_location_name" not in u.columns:
-        u = join_same(u, teacher_primary(u, "D_location_name", "C_tch_location_name"), "D_employee_id")
-    key = ["C_tch_location_name", "D_employee_id"]
-    periods = u.groupBy(*key, "C_class_id").agg(F.max("M_cls_class_weight").alias("w")).groupBy(*key).agg(
+def teacher_metrics(u: DataFrame, p: ScheduleParams) -> DataFrame:
+    """Primary school, periods, utilisation, load and load bucket, one row per teacher.
+
+    A teacher has a single primary school, so the school follows the teacher.
+    """
+    school = teacher_primary(u, "D_location_name", "C_tch_location_name")
+    periods = u.groupBy("D_employee_id", "C_class_id").agg(F.max("M_cls_class_weight").alias("w")).groupBy("D_employee_id").agg(
         F.coalesce(F.sum("w"), F.lit(0.0)).alias("M_tch_num_periods"))
-    load = u.groupBy(*key).agg(n_distinct_if("D_stu_id", F.col("C_teacher_load_exclude") == "Include").alias("M_tch_load"))
+    load = u.groupBy("D_employee_id").agg(n_distinct_if("D_stu_id", F.col("C_teacher_load_exclude") == "Include").alias("M_tch_load"))
     total = F.lit(p.utilization_default).cast("double")
-    for school, v in p.utilization_by_school.items():
-        total = F.when(F.col("C_tch_location_name") == school, F.lit(float(v))).otherwise(total)
-    per = join_same(periods, load, key).withColumn("C_school_total_periods", total)
-    per = per.withColumns({"M_tch_utilization": ratio("M_tch_num_periods", "C_school_total_periods"),
-                           "M_tch_load_bucket": bucketize("M_tch_load", p.load_buckets)})
-    return join_same(u, per, key)
+    for name, v in p.utilization_by_school.items():
+        total = F.when(F.col("C_tch_location_name") == name, F.lit(float(v))).otherwise(total)
+    per = join_same(join_same(school, periods, "D_employee_id"), load, "D_employee_id").withColumn("C_school_total_periods", total)
+    return per.withColumns({"M_tch_utilization": ratio("M_tch_num_periods", "C_school_total_periods"),
+                            "M_tch_load_bucket": bucketize("M_tch_load", p.load_buckets)})
+
+
+def add_teacher_metrics(u: DataFrame, p: ScheduleParams) -> DataFrame:
+    return join_same(u.drop("C_tch_location_name"), teacher_metrics(u, p), "D_employee_id")
 
 
 def class_primaries(u: DataFrame) -> DataFrame:
@@ -86,8 +90,8 @@ def add_class_primaries(u: DataFrame) -> DataFrame:
 
 def class_fields(u: DataFrame) -> DataFrame:
     """Collapsed course name and most common credit type (then by priority) per class."""
-    names = u.select("C_class_id", "C_course_name").distinct().groupBy("C_class_id").agg(
-        collapse_names(F.collect_list("C_course_name")).alias("C_cls_course_name"))
+    names = collapse_names(u.select("C_class_id", "C_course_name").distinct().groupBy("C_class_id").agg(
+        F.collect_list("C_course_name").alias("names")), "names", "C_cls_course_name")
     rank = F.lit(len(CREDIT_PRIORITY))
     for i, c in reversed(list(enumerate(CREDIT_PRIORITY))):
         rank = F.when(F.col("C_course_credit_type") == c, F.lit(i)).otherwise(rank)
@@ -115,15 +119,38 @@ def add_class_demographics(u: DataFrame) -> DataFrame:
     return join_same(u, class_demographics(u), "C_class_id")
 
 
+def weight_times_size(u: DataFrame) -> DataFrame:
+    return u.groupBy("C_class_id").agg((F.max("M_cls_class_weight") * F.max("M_cls_class_size")).alias("M_cls_class_weight_times_class_size"))
+
+
 def add_weight_times_size(u: DataFrame) -> DataFrame:
-    return attach(u, "C_class_id", (F.max("M_cls_class_weight") * F.max("M_cls_class_size")).alias("M_cls_class_weight_times_class_size"))
+    return join_same(u, weight_times_size(u), "C_class_id")
 
 
-def add_teacher_primaries(u: DataFrame) -> DataFrame:
+def class_table(u: DataFrame) -> DataFrame:
+    """Everything derived per class, one row per class. ``u`` should be a stored table with class sizes."""
+    parts = [class_primaries(u), class_fields(u), weight_times_size(u)]
+    if {"D_stu_ell_flag", "D_stu_swd_flag"} <= set(u.columns):
+        parts.append(class_demographics(u))
+    return reduce(lambda a, b: join_same(a, b, "C_class_id"), parts)
+
+
+def teacher_primaries(u: DataFrame) -> DataFrame:
     todo = [(f, o, s) for f, (o, s) in TEACHER_PRIMARIES.items() if f in u.columns and o not in u.columns]
-    teachers = u.select("D_employee_id").distinct()
-    per = reduce(lambda a, t: join_same(a, teacher_primary(u, *t), "D_employee_id"), todo, teachers)
-    return join_same(u, per, "D_employee_id")
+    return reduce(lambda a, t: join_same(a, teacher_primary(u, *t), "D_employee_id"), todo, u.select("D_employee_id").distinct())
+
+
+def add_teacher_primaries(u: DataFrame) -> DataFrame:
+    return join_same(u, teacher_primaries(u), "D_employee_id")
+
+
+def teacher_table(u: DataFrame, classes: DataFrame, p: ScheduleParams) -> DataFrame:
+    """Everything derived per teacher, one row per teacher. ``classes`` is :func:`class_table`."""
+    out = add_teacher_flags(join_same(teacher_metrics(u, p), teacher_primaries(u), "D_employee_id"))
+    if "M_cls_pct_ell" in classes.columns:
+        taught = u.select("D_employee_id", "C_class_id").distinct()
+        out = join_same(out, teacher_support(join_same(taught, classes.select("C_class_id", "M_cls_pct_ell", "M_cls_pct_swd"), "C_class_id")), "D_employee_id")
+    return out
 
 
 def teacher_support(u: DataFrame) -> DataFrame:

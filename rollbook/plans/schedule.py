@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.nullsafe import join_same
 from ..functions.school import class_id
 from ..operators import addons, meetings as M
 from ..operators import double_booking as DB
@@ -32,14 +33,17 @@ def resolve(weighed: DataFrame, p: M.ScheduleParams, stage=cut_lineage) -> dict[
 
 def roll_up(unified: DataFrame, p: M.ScheduleParams, hr: DataFrame | None = None, hr_mode: str = "experience",
             proficiency: DataFrame | None = None, stage=cut_lineage) -> dict[str, DataFrame]:
-    """Class, teacher and student rollups with the optional add-ons."""
-    u = stage(unified)
-    u = R.add_class_size(R.add_minutes(u, p), p)
-    u = R.add_weight_times_size(R.add_class_fields(R.add_class_primaries(u)))
-    u = R.add_teacher_support(R.add_class_demographics(u))
-    u = R.add_teacher_flags(R.add_teacher_primaries(R.add_teacher_metrics(u, p)))
+    """Class, teacher and student rollups with the optional add-ons.
+
+    Fields per class and per teacher are worked out as small tables from the stored rows and joined to
+    them once.
+    """
+    u = stage(R.add_class_size(R.add_minutes(unified, p), p))
+    classes = stage(R.class_table(u))
+    people = stage(R.teacher_table(u, classes, p))
     if hr is not None:
-        u = addons.apply_teacher_hr(u, hr, hr_mode)
+        people = addons.apply_teacher_hr(people, hr, hr_mode)
+    u = join_same(join_same(u, classes, "C_class_id"), people, "D_employee_id")
     if proficiency is not None:
         u = addons.apply_course_grades(u, proficiency)
     u = stage(u)
