@@ -34,8 +34,7 @@ def crow(sy):
 
 
 def built(t):
-    keep = ("transcript_out", "student_year_export")
-    return t.stored("transcript_analysis", lambda: {k: d for k, d in T.build(V.sp_raw(t), V.tr_raw(t), V.coding(t), V.TR).items() if k in keep})
+    return t.stored("transcript_analysis", lambda: T.build(V.sp_raw(t), V.tr_raw(t), V.coding(t), V.TR))
 
 
 @query("a07_spells_by_school", "bys", "SELECT * FROM bys")

@@ -29,8 +29,8 @@ class Tables:
         directory, then read back. :meth:`forget` drops the references."""
         k = (self.spark.sparkContext.applicationId, self.path, key)
         if k not in Tables._kept:
-            made = build()
-            Tables._kept[k] = {n: cut_lineage(d) for n, d in made.items()} if isinstance(made, dict) else cut_lineage(made)
+            made = build()  # the end-to-end plans store their own tables
+            Tables._kept[k] = made if isinstance(made, dict) else cut_lineage(made)
         return Tables._kept[k]
 
     @staticmethod

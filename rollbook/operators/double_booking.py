@@ -137,7 +137,7 @@ def consolidate_sections(flagged: DataFrame) -> DataFrame:
     when untouched) and resolved id. Sections without a teacher link to nothing.
     """
     sec = "C_class_id_original"
-    slots = flagged.select(sec, "D_employee_id", "D_location_id", "D_term", *SLOT).distinct()
+    slots = cut_lineage(flagged.select(sec, "D_employee_id", "D_location_id", "D_term", *SLOT).distinct())
     key = F.when(_has_teacher(), paste("|", "D_employee_id", *SLOT)).otherwise(F.concat(F.lit("none|"), F.col(sec)))
     comp = connected_components(slots.select(sec, key.alias("slot")), sec, "slot")
     tagged = join_same(slots, comp, sec)
@@ -211,9 +211,12 @@ def resolve_students(applied: DataFrame) -> DataFrame:
 
 
 def resolve_double_bookings(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(resolved rows, section mapping): class stage, teacher stage, student stage."""
-    post_class = resolve_classes(flagged)
-    mapping = consolidate_sections(post_class)
+    """(resolved rows, section mapping): class stage, teacher stage, student stage.
+
+    ``flagged`` should be a stored table; the class stage and the mapping are stored here.
+    """
+    post_class = cut_lineage(resolve_classes(flagged))
+    mapping = cut_lineage(consolidate_sections(post_class))
     applied = apply_consolidation(post_class, mapping).withColumn("M_class_weight_post_teachers", F.col("M_class_weight_post_class"))
     return resolve_students(applied), mapping
 

@@ -26,9 +26,9 @@ def resolve(weighed: DataFrame, p: M.ScheduleParams, stage=cut_lineage) -> dict[
     writes them once."""
     flagged = stage(DB.flag_double_bookings(M.explode_records(M.engine_columns(weighed, p), p), p, only_flagged=True))
     resolved, mapping = DB.resolve_double_bookings(flagged)
-    resolved, mapping = stage(resolved), stage(mapping)
-    loadoff = DB.teacher_loadoff(resolved, p)
-    return {"flagged": flagged, "resolved": resolved, "mapping": mapping, "loadoff": loadoff, "unified": DB.unify(resolved, weighed, loadoff)}
+    resolved = stage(resolved)
+    loadoff = stage(DB.teacher_loadoff(resolved, p))
+    return {"flagged": flagged, "resolved": resolved, "mapping": mapping, "loadoff": loadoff, "unified": stage(DB.unify(resolved, weighed, loadoff))}
 
 
 def roll_up(unified: DataFrame, p: M.ScheduleParams, hr: DataFrame | None = None, hr_mode: str = "experience",
@@ -48,4 +48,5 @@ def roll_up(unified: DataFrame, p: M.ScheduleParams, hr: DataFrame | None = None
         u = addons.apply_course_grades(u, proficiency)
     u = stage(u)
     teachers = R.teacher_rollup(u, p)
+    teachers = stage(teachers)
     return {"unified": u, "teacher": teachers, "class": R.class_rollup(u, teachers, p), "student": R.student_rollup(u, p)}
