@@ -26,11 +26,11 @@ def tag(p):
 
 
 def weighed(t, p=V.PR):
-    return t.stored(f"weighed {tag(p)}", lambda: S.weigh(V.csx(t), p))
+    return t.stored(f"weighed {tag(p)}", lambda: S.weigh(V.csx(t), p, distinct_rows=True))
 
 
 def exploded(t, p=V.PR):
-    return M.explode_records(M.engine_columns(weighed(t, p), p), p)
+    return M.explode_records(M.engine_columns(weighed(t, p), p), p, new_id=False)
 
 
 def flagged(t, p=V.PR, **kw):

@@ -195,12 +195,13 @@ def class_weight_minutes(df: DataFrame, p: ScheduleParams, school="D_location_na
 ROW_ID = "H_row_id_before_explosions"
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
+def with_row_id(df: DataFrame, distinct_rows: bool = False) -> DataFrame:
     """Drop exact copies and give each row an id made from its content.
 
     A content hash is the same on every recomputation, on any executor; a running number is not.
+    ``distinct_rows`` says the copies are gone already, which saves a shuffle of whole rows.
     """
-    rows = df.distinct()
+    rows = df if distinct_rows else df.distinct()
     return rows.withColumn(ROW_ID, F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})))
 
 
@@ -214,14 +215,16 @@ def engine_columns(df: DataFrame, p: ScheduleParams) -> DataFrame:
     return df.select(*[c for c in df.columns if c in ENGINE_COLUMNS or c in p.recipe])
 
 
-def explode_records(df: DataFrame, p: ScheduleParams, school="D_location_name") -> DataFrame:
-    """Record -> one row per meeting and term slot, with the slot's weight. Needs :func:`with_row_id`."""
+def explode_records(df: DataFrame, p: ScheduleParams, school="D_location_name", new_id: bool = True) -> DataFrame:
+    """Record -> one row per meeting and term slot, with the slot's weight. Needs :func:`with_row_id`.
+
+    ``new_id`` adds an id per exploded row; the resolution does without it.
+    """
     out = join_same(df, meeting_crosswalk(df, p), p.time_cols)
     out = join_same(out.withColumn("D_term", F.col("D_term").cast("string")), term_crosswalk(df.sparkSession, p), "D_term", broadcast=True)
     out = out.withColumns({"C_rotation_weight_exploded": rotation_weight(p, school), "C_period_weight_exploded": period_weight(p, school)})
-    return out.withColumns({
-        "M_class_weight_exploded": F.bround(F.col("C_term_weight_exploded") * F.col("C_rotation_weight_exploded") * F.col("C_period_weight_exploded"), 4),
-        "H_new_record_id": paste("|", ROW_ID, TERM, PERIOD, ROTATION)})
+    out = out.withColumn("M_class_weight_exploded", F.bround(F.col("C_term_weight_exploded") * F.col("C_rotation_weight_exploded") * F.col("C_period_weight_exploded"), 4))
+    return out.withColumn("H_new_record_id", paste("|", ROW_ID, TERM, PERIOD, ROTATION)) if new_id else out
 
 
 def explosion_differences(exploded: DataFrame, records: DataFrame, tolerance: float = 1e-6) -> DataFrame:

@@ -13,18 +13,19 @@ from ..operators import rollups as R
 from ..sources.tables import cut_lineage
 
 
-def weigh(records: DataFrame, p: M.ScheduleParams) -> DataFrame:
-    """Class id, class weight and minutes, row id."""
+def weigh(records: DataFrame, p: M.ScheduleParams, distinct_rows: bool = False) -> DataFrame:
+    """Class id, class weight and minutes, row id. ``distinct_rows``: the records hold no exact copies, as
+    ``rename_to_standard(keep_only=True)`` leaves them."""
     d = records.withColumn("C_class_id", class_id(records.columns, p.recipe))
     d = M.class_weight_minutes(d, p)
     d = d.withColumns({"M_stu_class_weight": F.col("M_cls_class_weight"), "M_tch_class_weight": F.col("M_cls_class_weight")})
-    return M.with_row_id(d)
+    return M.with_row_id(d, distinct_rows)
 
 
 def resolve(weighed: DataFrame, p: M.ScheduleParams, stage=cut_lineage) -> dict[str, DataFrame]:
     """Explode, flag, resolve, unify. The flagged and resolved tables feed several steps, so ``stage``
     writes them once."""
-    flagged = stage(DB.flag_double_bookings(M.explode_records(M.engine_columns(weighed, p), p), p, only_flagged=True))
+    flagged = stage(DB.flag_double_bookings(M.explode_records(M.engine_columns(weighed, p), p, new_id=False), p, only_flagged=True))
     resolved, mapping = DB.resolve_double_bookings(flagged)
     resolved = stage(resolved)
     loadoff = stage(DB.teacher_loadoff(resolved, p))
