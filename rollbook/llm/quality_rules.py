@@ -21,11 +21,11 @@ from pyspark.sql.functions import pandas_udf
 from .common import WORD
 from .quality_classifier import held_out
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars_seen", "n_lines", "n_unique_words", "n_upper", "n_digits", "n_marks", "longest_word")
-FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats", "unique", "upper", "digits", "marks", "longest", "line_words")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars_seen", "n_lines", "n_unique_words", "n_upper", "longest_word")
+FEATURES = ("symbols", "dup_lines", "repeats", "unique", "upper", "longest")
 SYMBOLS = "#*$%&|<>"
-#: Bounds of the forest: rows drawn on, trees, rows of a tree. CLEAN_LOSS: share of good labelled documents that the cut may reject.
-SAMPLE_ROWS, TREES, TREE_ROWS, SEED, CLEAN_LOSS, GRID = 8192, 100, 256, 11, 0.003, 4096
+#: Bounds of the forest: rows drawn on, trees, rows and levels of a tree. CLEAN_LOSS: share of good labelled documents that the cut may reject.
+SAMPLE_ROWS, TREES, TREE_ROWS, LEVELS, SEED, CLEAN_LOSS, GRID = 8192, 100, 1024, 8, 11, 0.005, 4096
 
 
 def text_counts(text: str | None) -> tuple:
@@ -49,8 +49,7 @@ def text_counts(text: str | None) -> tuple:
             seen.add(line)
     raw = np.bincount(np.frombuffer(t.encode("utf-8", "surrogatepass"), dtype=np.uint8), minlength=256)
     lengths = list(map(len, words))
-    return (n, sum(lengths), int(raw[[ord(c) for c in SYMBOLS]].sum()), dup, repeats, len(t), len(lines), len(known), int(raw[65:91].sum()), int(raw[48:58].sum()),
-            int(raw[[ord(c) for c in ".,;:!?"]].sum()), max(lengths, default=0))
+    return (n, sum(lengths), int(raw[[ord(c) for c in SYMBOLS]].sum()), dup, repeats, len(t), len(lines), len(known), int(raw[65:91].sum()), max(lengths, default=0))
 
 
 def rule_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -70,8 +69,8 @@ def failed_limits() -> Column:
 def features(counts: pd.DataFrame) -> np.ndarray:
     c = {k: counts[k].to_numpy(dtype=np.float64) for k in COUNTS}
     words, chars, lines = np.maximum(1, c["n_words"]), np.maximum(1, c["n_chars_seen"]), np.maximum(1, c["n_lines"])
-    return np.stack([np.log1p(c["n_words"]), c["word_chars"] / words, c["n_symbols"] / chars, c["n_dup_lines"] / lines, c["n_repeat_words"] / words, c["n_unique_words"] / words,
-                     c["n_upper"] / chars, c["n_digits"] / chars, c["n_marks"] / chars, np.log1p(c["longest_word"]), np.log1p(words / lines)], axis=1)
+    return np.stack([c["n_symbols"] / chars, c["n_dup_lines"] / lines, c["n_repeat_words"] / words, c["n_unique_words"] / words, c["n_upper"] / chars,
+                     np.log1p(c["longest_word"])], axis=1)
 
 
 def _mean_path(n: float) -> float:
@@ -80,27 +79,31 @@ def _mean_path(n: float) -> float:
 
 
 class Forest:
-    """Trees of random splits as arrays: node k has children 2k+1 and 2k+2; ``depth`` holds the path length of a leaf."""
+    """Trees of random splits as arrays: node k has children 2k+1 and 2k+2; ``depth`` holds the path length of a leaf.
 
-    def __init__(self, x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED):
+    Trees grow on rows that the labels call good. A split value is uniform over the node's box, not over its rows: the box starts as the range
+    of all labelled rows and is cut by the splits above. A part of the box that good rows leave empty is so cut off on a short path."""
+
+    def __init__(self, x: np.ndarray, low: np.ndarray, high: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, levels: int = LEVELS, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.rows, self.levels = min(rows, len(x)), int(np.ceil(np.log2(max(2, min(rows, len(x))))))
-        size = 2 ** (self.levels + 1) - 1
+        self.rows, self.levels = min(rows, len(x)), levels
+        size = 2 ** (levels + 1) - 1
         self.feature, self.cut, self.depth = np.full((trees, size), -1), np.zeros((trees, size)), np.zeros((trees, size))
         for t in range(trees):
-            self._grow(rng, t, 0, 0, x[rng.choice(len(x), self.rows, replace=False)])
+            self._grow(rng, t, 0, 0, x[rng.choice(len(x), self.rows, replace=False)], low, high)
 
-    def _grow(self, rng, t: int, node: int, level: int, x: np.ndarray) -> None:
-        low, high = (x.min(axis=0), x.max(axis=0)) if len(x) else (np.zeros(1), np.zeros(1))
-        open_ = np.flatnonzero(high > low)
-        if level == self.levels or not len(open_):
+    def _grow(self, rng, t: int, node: int, level: int, x: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        wide = np.flatnonzero(high > low)
+        if level == self.levels or len(x) <= 1 or not len(wide):
             self.depth[t, node] = level + _mean_path(len(x))
             return
-        f = int(rng.choice(open_))
-        self.feature[t, node], self.cut[t, node] = f, rng.uniform(low[f], high[f])
-        left = x[:, f] < self.cut[t, node]
-        self._grow(rng, t, 2 * node + 1, level + 1, x[left])
-        self._grow(rng, t, 2 * node + 2, level + 1, x[~left])
+        f = int(rng.choice(wide))
+        at = rng.uniform(low[f], high[f])
+        self.feature[t, node], self.cut[t, node] = f, at
+        left, low_right, high_left = x[:, f] < at, low.copy(), high.copy()
+        low_right[f] = high_left[f] = at
+        self._grow(rng, t, 2 * node + 1, level + 1, x[left], low, high_left)
+        self._grow(rng, t, 2 * node + 2, level + 1, x[~left], low_right, high)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Anomaly score, 0 to 1: near 1 for short paths."""
@@ -115,10 +118,14 @@ class Forest:
         return 2 ** (-total / len(self.feature) / max(1e-9, _mean_path(self.rows)))
 
 
-def fit_forest(labelled: DataFrame, doc_id: str = "doc_id", max_rows: int = SAMPLE_ROWS) -> Forest | None:
+def fit_forest(labelled: DataFrame, doc_id: str = "doc_id", label: str = "quality", max_rows: int = SAMPLE_ROWS) -> Forest | None:
     """Grow the forest on at most ``max_rows`` labelled rows (those with the smallest hash of the id) that pass the fixed limits."""
-    rows = labelled.filter(~failed_limits()).orderBy(F.xxhash64(doc_id), *COUNTS).select(*COUNTS).limit(max_rows).toPandas()
-    return Forest(features(rows)) if len(rows) > 1 else None
+    rows = labelled.filter(~failed_limits()).orderBy(F.xxhash64(doc_id), *COUNTS).select(label, *COUNTS).limit(max_rows).toPandas()
+    good = rows[rows[label] == 1]
+    if len(good) < 2:
+        return None
+    x = features(rows)
+    return Forest(features(good), x.min(axis=0), x.max(axis=0))
 
 
 def add_anomaly(stats: DataFrame, forest: Forest | None) -> DataFrame:
@@ -150,7 +157,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, keep_table, doc_id: str = "d
     stats = keep_table(rule_statistics(docs.select(F.col(doc_id), F.col(text)), text).drop(text))
     known = labels.select(F.col(doc_id), F.col(label).cast("int").alias("_label")).filter(F.col(doc_id).isNotNull() & F.col("_label").isNotNull()).filter(~held_out(F.col(doc_id)))
     labelled = stats.join(known.groupBy(doc_id).agg(F.min("_label").alias("_label")), doc_id)
-    forest = fit_forest(labelled, doc_id)
+    forest = fit_forest(labelled, doc_id, "_label")
     cut = calibrate(add_anomaly(labelled, forest), "_label", clean_loss)
     return (add_anomaly(stats, forest).withColumn("base_failed", failed_limits())
             .withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < cut)))
