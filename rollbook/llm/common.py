@@ -60,20 +60,22 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-def word_hashes(text: str | None, powers: Powers, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of each word of ``text``, in order. Works on the UTF-8 bytes without a loop over words."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    if not len(raw):
-        return np.empty(0, dtype=np.uint64)
-    if lower:
-        raw = _LOWER[raw]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], _BLANK[raw], [True])).astype(np.int8)))
+def hash_runs(raw: np.ndarray, apart: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each run of bytes that ``apart`` (a table of 256 flags) does not set apart, in order, and where it starts. No loop over runs."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], apart[raw], [True])).view(np.int8)))
     start, end = edge[::2], edge[1::2]
     if not len(start):
-        return np.empty(0, dtype=np.uint64)
+        return np.empty(0, dtype=np.uint64), start
     up, down = powers.get(len(raw) + 1)
-    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], dtype=np.uint64)))
-    return mix64((sums[end] - sums[start]) * down[start])
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
+    return mix64((sums[end] - sums[start]) * down[start]), start
+
+
+def word_hashes(text: str | None, powers: Powers, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word of ``text``, in order. Works on the UTF-8 bytes."""
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    return hash_runs(_LOWER[raw] if lower else raw, _BLANK, powers)[0]
 
 
 def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:

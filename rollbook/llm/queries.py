@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
-from . import quality_classifier, quality_rules
+from . import bpe, chat, decontaminate, quality_classifier, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,5 +24,48 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).select("doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_quality_classifier)}
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
+    probe = "\\### Assistant: </turn> ok"
+    messages = messages.unionByName(spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id bigint, turn bigint, role string, text string"))
+    formatted = chat.read_back(chat.render(chat.fold_events(chat.events_of_messages(messages))))
+    turns = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit("\n"), m["text"], F.lit("\n"))), "")
+    return formatted.select(F.col("conv").alias("conv_id"), F.size("messages").cast("bigint").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+                            F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each leak: document, test item, place and score."""
+    docs = decontaminate.add_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return docs.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+RANK_FILE = "byte_bpe_50k.tiktoken"
+
+
+def tokenizer() -> tuple[dict[bytes, int], str]:
+    """Ranks and pattern of the public byte-level tokenizer, read on the driver."""
+    import public_tokenizers
+    return bpe.load_ranks(public_tokenizers.path(RANK_FILE)), public_tokenizers.PATTERN
+
+
+def op7_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = tokenizer()
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, pattern)
+    told = encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
+    return bpe.decode(told, ranks, keep=("doc_id", "n_tokens", "ids_sha256")).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources are the owners; a source's documents in one language are a repository."""
+    docs = _table(spark, sf_dir, "documents")
+    out = secrets.find_secrets(docs, owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"), keep=("doc_id",))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("found", lambda s: s["kind"].isin(*secrets.BASE))
+    return out.select("doc_id", *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE],
+                      F.sha2(told(base), 256).alias("base_sha256"), told("spans").alias("spans"),
+                      F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans)}
 SQL: dict[str, str] = {}
