@@ -26,7 +26,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, St
 
 from .common import stored
 
-BUCKETS = 8192
+BUCKETS = 32768  # a power of two
+FAR = 2**30
 #: Bound of the table of frequent pieces that every task gets, and of the tokens put together at once.
 FREQUENT, AT_ONCE = 400_000, 1_000_000
 #: White space as Unicode has it; Java's \s knows ASCII only.
@@ -62,31 +63,31 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_merges(piece: Column, ranks: Column) -> Column:
-    """Token ids of one piece."""
+    """Token ids of one piece. The state of the fold is the byte strings ``p`` and the ranks ``r`` of neighbouring pairs; a merge at k makes one new string and at most two new ranks."""
+    return _let(ranks, lambda literal: _fold(F.decode(piece.cast("binary"), "ISO-8859-1"), literal))
+
+
+def _fold(piece: Column, ranks: Column) -> Column:
     def rank(s: Column) -> Column:
-        return F.try_element_at(F.get(ranks, (F.crc32(s.cast("binary")) % BUCKETS).cast("int")), s)
+        return F.get(ranks, F.crc32(s.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int"))[s]
 
     def merge(z: Column, k: Column) -> Column:
-        p, r, n = z["p"], z["r"], F.size(z["p"])
-        at = lambda i: F.get(p, i - 1)
-        none = F.array().cast("array<int>")
-        return _let(F.concat(at(k), at(k + 1)), lambda m: F.struct(
-            F.concat(F.slice(p, F.lit(1), k - 1), F.array(m), F.slice(p, k + 2, n)).alias("p"),
-            F.concat(F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))), F.when(k > 1, F.array(rank(F.concat(at(k - 1), m)))).otherwise(none),
-                     F.when(k + 1 < n, F.array(rank(F.concat(m, at(k + 2))))).otherwise(none), F.slice(r, k + 2, n)).alias("r")))
+        p, r = z["p"], z["r"]
+        join = lambda *parts: F.flatten(F.array(*parts))  # cheaper here than concat of arrays
+        left, right = F.get(p, k - 2), F.get(p, k + 1)
+        new = lambda m: F.when(k == 1, F.array(rank(F.concat(m, right)))).when(k == F.size(r), F.array(rank(F.concat(left, m)))).otherwise(F.array(rank(F.concat(left, m)), rank(F.concat(m, right))))
+        return _let(F.concat(F.get(p, k - 1), F.get(p, k)), lambda m: F.struct(
+            join(F.slice(p, F.lit(1), k - 1), F.array(m), F.slice(p, k + 2, FAR)).alias("p"),
+            F.when(F.size(r) == 1, F.array().cast("array<int>")).otherwise(join(F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))), new(m), F.slice(r, k + 2, FAR))).alias("r")))
 
     def step(z: Column, _: Column) -> Column:
-        return _let(F.array_min(z["r"]), lambda low: F.when(low.isNull(), z).otherwise(_let(F.array_position(z["r"], low).cast("int"), lambda k: merge(z, k))))
+        return _let(F.array_position(z["r"], F.array_min(z["r"])).cast("int"), lambda k: F.when(k > 0, merge(z, k)).otherwise(z))
 
     def folded(p: Column) -> Column:
-        n = F.size(p)
-        pairs = F.when(n > 1, F.transform(F.slice(p, F.lit(1), n - 1), lambda x, i: rank(F.concat(x, F.get(p, i + 1))))).otherwise(F.array().cast("array<int>"))
-        turns = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
-        return F.transform(F.aggregate(turns, F.struct(p.alias("p"), pairs.alias("r")), step)["p"], rank)
-
-    one_a_byte = F.decode(piece.cast("binary"), "ISO-8859-1")
-    return _let(one_a_byte, lambda w: _let(rank(w), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(
-        _let(F.filter(F.split(w, ""), lambda c: c != ""), folded))))
+        pairs = F.transform(F.slice(p, F.lit(2), FAR), lambda x, i: rank(F.concat(F.get(p, i), x)))
+        return F.transform(F.aggregate(F.slice(p, F.lit(2), FAR), F.struct(p.alias("p"), pairs.alias("r")), step)["p"], rank)
+
+    return _let(rank(piece), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(F.filter(F.split(piece, ""), lambda c: c != ""), folded)))
 
 
 def frequent_pieces(docs: DataFrame, text: str, pattern: str, ranks: Column, bound: int = FREQUENT) -> pa.Table:
