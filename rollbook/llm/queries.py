@@ -61,8 +61,9 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = secrets.find_secrets(docs, owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"), keep=("doc_id",))
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of_kind = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
     base = F.filter("found", lambda s: s["kind"].isin(*secrets.BASE))
-    return out.select("doc_id", *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in secrets.BASE],
+    return out.select("doc_id", *[of_kind(k) for k in secrets.BASE],
                       F.sha2(told(base), 256).alias("base_sha256"), told("spans").alias("spans"),
                       F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
 
