@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
-from . import bpe, chat, decontaminate, quality_classifier, quality_rules, secrets
+from . import bpe, chat, decontaminate, minhash, quality_classifier, quality_rules, secrets, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.apply_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), stored)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
@@ -68,5 +72,10 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans)}
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans, op10_suffix_array_dedup)}
 SQL: dict[str, str] = {}
