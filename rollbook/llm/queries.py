@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
-from . import bpe, chat, decontaminate, minhash, quality_classifier, quality_rules, secrets, suffix_dedup
+from . import bpe, chat, decontaminate, licenses, minhash, quality_classifier, quality_rules, secrets, suffix_dedup, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,13 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(_table(spark, sf_dir, "documents"))
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda d: d["label"]))), ",")
+    return out.select("doc_id", "n_words", F.size("base").cast("bigint").alias("n_base"), F.array_min(F.transform("base", lambda d: d["first"])).alias("first_word"),
+                      F.array_max(F.transform("base", lambda d: d["first"])).alias("last_word"), labels("base").alias("base_labels"), labels("detections").alias("labels"), "score")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each leak: document, test item, place and score."""
     docs = decontaminate.add_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
@@ -72,10 +79,22 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"))
 
 
+SHUFFLE_KEY = 20250101
+
+
+def op9_token_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids of the documents (the bytes of their texts) in training order: the shards are written and read back, one row for each sequence."""
+    folder = token_shards.new_folder(spark)
+    manifest, total = token_shards.write_shards(_table(spark, sf_dir, "documents"), F.col("text").cast("binary"), folder, SHUFFLE_KEY)
+    manifest = stored(manifest)
+    return token_shards.describe(token_shards.read_shards(spark, folder), total, SHUFFLE_KEY) if total else manifest.select(
+        F.col("shard").alias("slot"), F.col("shard").alias("sequence"), F.col("shard").alias("n_ids"), F.col("shard").alias("n_ends"), F.col("sha256").alias("ids_sha256"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans, op10_suffix_array_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op5_license_scans, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans, op9_token_id_shards, op10_suffix_array_dedup)}
 SQL: dict[str, str] = {}
