@@ -29,7 +29,7 @@ from .common import stored
 BUCKETS = 32768  # a power of two
 FAR = 2**30
 #: Bound of the table of frequent pieces that every task gets, and of the tokens put together at once.
-FREQUENT, AT_ONCE = 400_000, 1_000_000
+FREQUENT, AT_ONCE = 400_000, 400_000
 #: White space as Unicode has it; Java's \s knows ASCII only.
 SPACES = r"\x09-\x0D\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
