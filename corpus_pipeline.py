@@ -1,23 +1,70 @@
-"""Documents to training text in five stages, each an operator of ``rollbook.llm``. A stage's result is written and read again as the next one's documents."""
+"""Documents to training text in five stages, each an operator of ``rollbook.llm``. A stage's result is written and read again as the next one's documents.
+
+Each stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of ``docs``. The columns of a row travel as one struct beside those an
+operator reads, so no column of the input can clash with an operator's own.
+
+Cases, beside those of the operators: rows with a null id are never dropped for it; of rows that repeat an id, the near-duplicate stage keeps one;
+null texts go on as null until they are encoded, to no ids; empty tables pass through as empty tables.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from rollbook.llm import quality_classifier
+from rollbook.llm import bpe, decontaminate, minhash, quality_classifier, queries, secrets
 from rollbook.llm.common import stored
 
 
+def _boxed(docs: DataFrame, *columns: str) -> DataFrame:
+    """All columns as the struct ``_row``, beside the named ones."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), *columns)
+
+
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects. It learns from the labels of the documents given."""
-    model = quality_classifier.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_classifier.score(docs, model).filter(F.col("predicted") == 1).select(*docs.columns)
+    model = quality_classifier.train(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_classifier.score(_boxed(docs, "text"), model).filter(F.col("predicted") == 1).select("_row.*")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: the one of the smallest id."""
+    kept = minhash.near_duplicates(docs.select("doc_id", "text")).filter("kept and doc_id is not null").select("doc_id").distinct()
+    rows = _boxed(docs.filter("doc_id is not null"), "doc_id", "text").join(kept, "doc_id", "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    rows = rows.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
+    return rows.select("_row.*").unionByName(docs.filter("doc_id is null"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a test item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.add_leaks(_boxed(docs, "text"), items).filter(F.size("leaks") == 0).select("_row.*")
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Put a mark in place of every live-looking secret; copied examples stay. ``n_chars`` follows the text."""
+    found = secrets.find_secrets(_boxed(docs, "text", "source", "lang"), owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"), keep=("_row", "text"))
+    live = F.filter("spans", lambda s: s["live"])
+    text = F.when(F.size(live) > 0, secrets.redact(F.col("text"), live)).otherwise(F.col("text"))
+    out = found.select("_row", text.alias("_clean"))
+    new = {"text": F.col("_clean")} | ({"n_chars": F.when(F.col("_clean") == F.col("_row.text"), F.col("_row.n_chars")).otherwise(F.length("_clean").cast(docs.schema["n_chars"].dataType))} if "n_chars" in docs.columns else {})
+    return out.select(*[(new[c] if c in new else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encode every text and decode it again: ``doc_id, lang, source, n_tokens, ids, same`` (whether the bytes came back)."""
+    ranks, pattern = queries.tokenizer()
+    rows = docs.select(F.struct("doc_id", "lang", "source", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")).alias("_row"), "text")
+    back = bpe.decode(bpe.encode(rows, ranks, pattern, keep=("_row",)), ranks, keep=("_row", "ids"))
+    return back.select("_row.doc_id", "_row.lang", "_row.source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("_row.h")).alias("same"))
 
 
-STAGES = [("quality classifier", classify)]
+STAGES = [("quality classifier", classify), ("MinHash near-dedup", near_dedup), ("benchmark decontamination", decontaminated), ("secret scans", without_secrets),
+          ("byte-level BPE", tokenize)]
 
-#: The classifier and the tokenizer cannot be said in SQL.
+#: The classifier, the signatures and the tokenizer cannot be said in SQL.
 ORACLE_SQL = None
 
 
