@@ -148,9 +148,9 @@ def _(t):
     return P.value_counts(V.cs(t), "D_employee_id", 25)
 
 
-@query("q13_duplicate_rows", "sp_raw", "SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT D_stu_id, D_location_id, D_year FROM sp_raw)) AS n_distinct_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT D_stu_id, D_location_id, D_year FROM sp_raw)) AS n_copies FROM sp_raw")
+@query("q13_duplicate_rows", "sp_raw", "SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM sp_raw)) AS n_distinct_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sp_raw)) AS n_copies FROM sp_raw")
 def _(t):
-    return P.duplicate_rows(V.sp_raw(t).select("D_stu_id", "D_location_id", "D_year"))
+    return P.duplicate_rows(V.sp_raw(t))
 
 
 @query("q14_grain_histogram", "cs", "SELECT size, count(*) AS n_keys FROM (SELECT count(*) AS size FROM cs GROUP BY D_stu_id, D_term, D_period) GROUP BY 1")
@@ -220,7 +220,7 @@ def _(t):
     return P.pct_true(V.cs(t), "D_active_flag")
 
 
-@query("o03_sample_rows")
+@query("o03_sample_rows", "cs", "SELECT D_stu_id, D_course_id, D_term FROM cs ORDER BY md5(D_stu_id::VARCHAR || ':7'), D_stu_id, D_course_id, D_term LIMIT 10")
 def _(t):
     return P.sample_rows(V.cs(t).select("D_stu_id", "D_course_id", "D_term"), "D_stu_id", 10, seed=7)
 

@@ -88,9 +88,15 @@ def _(t):
     return N.peer_continuity(N.student_pairs(N.class_roster(V.roster(t))), [1, 2])
 
 
+@query("n08_peer_levels", "prs", """
+SELECT D_location_name, s AS D_stu_id, M_shared_classes, count(*) AS M_stu_peers FROM (SELECT D_location_name, unnest([D_stu_id_1, D_stu_id_2]) AS s, M_shared_classes FROM prs) GROUP BY 1, 2, 3""")
+def _(t):
+    return N.peer_levels(N.student_pairs(N.class_roster(V.roster(t))))
+
+
 @query("n09_network_tables")
 def _(t):
-    out = NP.analyse(V.roster(t).withColumn("D_term", F.lit("S1")).drop("C_inferred_cohort"), rounds=6, levels=2)
+    out = NP.analyse(V.roster(t).withColumn("D_term", F.lit("S1")).drop("C_inferred_cohort"))
     rows = None
     for name, d in out.items():
         one = d.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")

@@ -135,9 +135,9 @@ def _(t):
 
 
 @query("j17_year_presence", "sp", """
-SELECT C_location_id, C_location_name_canonical, count(*) FILTER (D_year = 1996) AS y1996, count(*) FILTER (D_year = 1999) AS y1999 FROM sp GROUP BY 1, 2""")
+SELECT C_location_id, C_location_name_canonical, count(*) FILTER (D_year = 1995) AS y1995, count(*) FILTER (D_year = 1996) AS y1996, count(*) FILTER (D_year = 1997) AS y1997, count(*) FILTER (D_year = 1998) AS y1998, count(*) FILTER (D_year = 1999) AS y1999, count(*) FILTER (D_year = 2000) AS y2000, count(*) FILTER (D_year = 2001) AS y2001 FROM sp GROUP BY 1, 2""")
 def _(t):
-    return J.year_presence(clean_sp(t), "C_location_id", "C_location_name_canonical", "D_year", [1996, 1999])
+    return J.year_presence(clean_sp(t), "C_location_id", "C_location_name_canonical", "D_year", list(V.YEARS))
 
 
 @query("j17_year_gaps", "sp", """

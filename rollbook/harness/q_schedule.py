@@ -127,6 +127,15 @@ def _(t):
     return d.groupBy("D_location_name", "D_term", "slot", "per", "rot", "w").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("m09_equal_records", "cs", "SELECT 3 * count(*) AS n_records, 3 * count(*) AS n_ids, count(*) AS n_kinds FROM cs")
+def _(t):
+    """Every record three times: all stay, each with an id of its own."""
+    d = V.cs(t).withColumn("__n", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("__n")
+    d = M.with_row_id(d)
+    kinds = d.drop(M.ROW_ID).distinct().agg(F.count(F.lit(1)).alias("n_kinds"))
+    return d.agg(F.count(F.lit(1)).alias("n_records"), F.count_distinct(M.ROW_ID).alias("n_ids")).join(kinds, F.lit(True))
+
+
 @query("m10_explosion_invariant", "xp_pr", """
 SELECT count(*) AS n_records, count(*) FILTER (abs(round_even(s, 4) - c) >= 1e-6) AS n_different FROM (SELECT rid, sum(w) AS s, max(M_cls_class_weight) AS c FROM xp_pr GROUP BY 1)""")
 def _(t):

@@ -178,7 +178,8 @@ class CheckLog:
 
     def _write_evidence(self, check: Check) -> None:
         if self.evidence_dir:
-            name = "".join(ch if ch.isalnum() else "_" for ch in check.name.lower())[:60].strip("_")
+            plain = "".join(ch if ch.isalnum() else "_" for ch in check.name.lower()).strip("_")
+            name = f"{plain[:60]}-{hashlib.sha256(check.name.encode()).hexdigest()[:16]}"  # readable, and one folder per check
             check.offenders.write.mode("overwrite").parquet(f"{self.evidence_dir}/{name}")
             self.table().write.mode("overwrite").parquet(f"{self.evidence_dir}/check_log")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.nullsafe import (attach, col, count_where, flag, is_in, join_same, lookup, n_distinct, n_distinct_if,
                                   nulls_last, pct, pct_where, top_row)
 from ..functions.text import plain_name
-from .checks import Check, need_columns, unique
+from .checks import Check, CheckFailed, need_columns, unique
 
 MATCHED = "H_matched"
 
@@ -190,8 +190,11 @@ def merge_plan(df: DataFrame, id_col: str, name_col: str, year_col: str, merges,
 
 def apply_merges(df: DataFrame, plan: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """Remap absorbed ids to the survivor; the reported id and name stay. Rows follow the id, so a site
-    variant of an absorbed name moves too."""
-    moves = plan.filter("result = 'PASS'").select(F.explode("a_ids").alias("from_id"), F.col("s_ids")[0].alias("to_id"),
+    variant of an absorbed name moves too. A merge that fails its rules raises."""
+    failed = [f"{r['absorbed']} into {r['survivor']}" for r in plan.filter("result <> 'PASS'").select("absorbed", "survivor").collect()]  # one row per declared merge
+    if failed:
+        raise CheckFailed("merges that fail their rules: " + "; ".join(sorted(failed)))
+    moves = plan.select(F.explode("a_ids").alias("from_id"), F.col("s_ids")[0].alias("to_id"),
                                                    F.col("survivor").alias("to_name"))
     out = join_same(df, moves, id_col, right_on="from_id")
     return out.withColumns({"C_location_id": F.coalesce("to_id", id_col),

@@ -1,7 +1,7 @@
 """Class times as atomic meetings, and what each meeting weighs.
 
-Times are expanded once per distinct time value with array expressions, then joined back. Rules come
-from parameters and are applied as literal maps, so no lookup table is shuffled.
+Times are expanded on their own row with array expressions, and weights and minutes are sums over that array. Rules come
+from parameters and are applied as literal maps: nothing is joined, so no row is shuffled to learn its meetings.
 """
 
 from __future__ import annotations
@@ -100,18 +100,25 @@ def skipped_blocks(df: DataFrame, column: str = "D_expression") -> DataFrame:
               .groupBy(column, "block").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def row_meetings(p: ScheduleParams) -> Column:
+    """The distinct meetings of a row's time: array<struct<period, rotation>>, empty or null without any."""
+    pair = lambda period, rotation: F.struct(period.cast("string").alias(PERIOD), rotation.cast("string").alias(ROTATION))
+    if p.time_format == "period_rotation":
+        rots = F.coalesce(_get(_map(p.rotations, _texts), F.col("D_rotation"), "array<string>"), F.array(F.col("D_rotation").cast("string")))
+        return F.when(F.col("D_period").isNotNull() & F.col("D_rotation").isNotNull(), F.array_distinct(F.transform(rots, lambda r: pair(F.col("D_period"), r))))
+    part = lambda b, i: F.trim(F.regexp_extract(b, BLOCK, i))
+    of_block = lambda b: F.flatten(F.transform(_period_atoms(part(b, 1), p), lambda a: F.transform(_rotation_set(part(b, 2), p), lambda r: pair(a, r))))
+    return F.array_distinct(F.flatten(F.transform(F.filter(_blocks("D_expression"), lambda b: b.rlike(BLOCK)), of_block)))
+
+
 def meeting_crosswalk(df: DataFrame, p: ScheduleParams) -> DataFrame:
     """Distinct time values -> their (period, rotation) rows."""
-    keys = p.time_cols
-    times = df.select(*keys).distinct()
-    if p.time_format == "period_rotation":
-        rots = F.coalesce(_get(_map(p.rotations, _texts), F.col("D_rotation"), "array<string>"), F.array("D_rotation"))
-        known = times.filter(F.col("D_period").isNotNull() & F.col("D_rotation").isNotNull())
-        return known.select(*keys, F.col("D_period").cast("string").alias(PERIOD), F.explode(rots).alias(ROTATION)).distinct()
-    blocks = times.select(*keys, F.explode(_blocks("D_expression")).alias("b")).filter(F.col("b").rlike(BLOCK))
-    parts = blocks.select(*keys, F.trim(F.regexp_extract("b", BLOCK, 1)).alias("pp"), F.trim(F.regexp_extract("b", BLOCK, 2)).alias("rp"))
-    return (parts.select(*keys, "rp", F.explode(_period_atoms(F.col("pp"), p)).alias(PERIOD))
-                 .select(*keys, PERIOD, F.explode(_rotation_set(F.col("rp"), p)).alias(ROTATION)).distinct())
+    return df.select(*p.time_cols).distinct().select(*p.time_cols, F.explode(row_meetings(p)).alias("m")).select(*p.time_cols, f"m.{PERIOD}", f"m.{ROTATION}")
+
+
+def with_meetings(df: DataFrame, p: ScheduleParams) -> DataFrame:
+    """One row per meeting of each row; a row without meetings stays once, with nulls."""
+    return df.withColumn("__m", F.explode_outer(row_meetings(p))).withColumns({PERIOD: F.col(f"__m.{PERIOD}"), ROTATION: F.col(f"__m.{ROTATION}")}).drop("__m")
 
 
 def meeting_lists(df: DataFrame, p: ScheduleParams) -> DataFrame:
@@ -144,21 +151,21 @@ def _by_school(table: dict, school, meeting: Column) -> Column:
     return _get(_map(flat, F.lit), F.concat_ws("|", col(school), meeting), "double")
 
 
-def rotation_weight(p: ScheduleParams, school="D_location_name") -> Column:
-    return F.coalesce(_by_school(p.rotation_by_school, school, _meeting()), F.lit(float(p.rotation_default)))
+def rotation_weight(p: ScheduleParams, school="D_location_name", period=PERIOD, rotation=ROTATION) -> Column:
+    return F.coalesce(_by_school(p.rotation_by_school, school, _meeting(period, rotation)), F.lit(float(p.rotation_default)))
 
 
-def period_weight(p: ScheduleParams, school="D_location_name") -> Column:
-    return F.coalesce(_get(_map({k: float(v) for k, v in p.period_by_period.items()}, F.lit), F.col(PERIOD), "double"),
-                      _by_school(p.period_by_school, school, _meeting()), F.lit(float(p.period_default)))
+def period_weight(p: ScheduleParams, school="D_location_name", period=PERIOD, rotation=ROTATION) -> Column:
+    return F.coalesce(_get(_map({k: float(v) for k, v in p.period_by_period.items()}, F.lit), col(period), "double"),
+                      _by_school(p.period_by_school, school, _meeting(period, rotation)), F.lit(float(p.period_default)))
 
 
-def meeting_minutes(p: ScheduleParams, school="D_location_name", use_default: bool = True) -> Column:
+def meeting_minutes(p: ScheduleParams, school="D_location_name", use_default: bool = True, period=PERIOD, rotation=ROTATION) -> Column:
     """Clock length of one meeting: school override, school default, then the district default."""
     overrides = {s: b["overrides"] for s, b in p.bell_by_school.items() if b.get("overrides")}
     defaults = {s: float(b["default"]) for s, b in p.bell_by_school.items() if b.get("default") is not None}
     last = F.lit(p.bell_default if use_default else None).cast("double")
-    return F.coalesce(_by_school(overrides, school, _meeting()), _get(_map(defaults, F.lit), col(school), "double"), last)
+    return F.coalesce(_by_school(overrides, school, _meeting(period, rotation)), _get(_map(defaults, F.lit), col(school), "double"), last)
 
 
 def weight_crosswalk(meetings: DataFrame, p: ScheduleParams, school="D_location_name") -> DataFrame:
@@ -178,31 +185,32 @@ def meeting_breakdown(df: DataFrame, p: ScheduleParams, school="D_location_name"
 def class_weight_minutes(df: DataFrame, p: ScheduleParams, school="D_location_name", term="D_term") -> DataFrame:
     """Class weight = term x sum(rotation x period); minutes = sum of bell minutes.
 
-    Computed per distinct (school, time) and joined back. No meetings gives zero for both.
+    Sums over the row's own meetings. No meetings gives zero for both; a meeting without a length gives no minutes.
     """
-    keys = [*p.time_cols, school]
-    times = df.select(*keys).distinct()
-    m = join_same(times, meeting_crosswalk(times, p), p.time_cols)
-    met = F.col(PERIOD).isNotNull()
-    minutes = meeting_minutes(p, school)
-    per = m.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(met, rotation_weight(p, school) * period_weight(p, school))), F.lit(0.0)).alias("__rp"),
-        F.when(F.count_if(met & minutes.isNull()) == 0, F.coalesce(F.sum(F.when(met, minutes)), F.lit(0.0))).alias("M_cls_class_minutes"))
+    d = df.withColumn("__m", F.coalesce(row_meetings(p), F.array().cast(f"array<struct<{PERIOD}:string,{ROTATION}:string>>")))
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda z, x: z + x)
+    weights = F.transform("__m", lambda m: rotation_weight(p, school, m[PERIOD], m[ROTATION]) * period_weight(p, school, m[PERIOD], m[ROTATION]))
+    minutes = F.transform("__m", lambda m: meeting_minutes(p, school, True, m[PERIOD], m[ROTATION]))
     term_w = _get(_map({k: float(v) for k, v in p.term_weights.items()}, F.lit), col(term).cast("string"), "double")
-    return join_same(df, per, keys).withColumn("M_cls_class_weight", F.bround(term_w * F.col("__rp"), 4)).drop("__rp")
+    return d.withColumns({"M_cls_class_minutes": total(minutes), "M_cls_class_weight": F.bround(term_w * total(weights), 4)}).drop("__m")
 
 
 ROW_ID = "H_row_id_before_explosions"
 
 
 def with_row_id(df: DataFrame, distinct_rows: bool = False) -> DataFrame:
-    """Drop exact copies and give each row an id made from its content.
+    """Give each row an id made from its content; equal rows all stay and are numbered within their kind.
 
-    A content hash is the same on every recomputation, on any executor; a running number is not.
-    ``distinct_rows`` says the copies are gone already, which saves a shuffle of whole rows.
+    A content hash is the same on every recomputation, on any executor; a running number over the table is not.
+    Equal rows are counted, not sorted out, so a row that occurs very often meets as one count.
+    ``distinct_rows`` says there are no equal rows, which saves a shuffle of whole rows.
     """
-    rows = df if distinct_rows else df.distinct()
-    return rows.withColumn(ROW_ID, F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})))
+    content = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    if distinct_rows:
+        return df.withColumn(ROW_ID, F.md5(content))
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies")).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__copies")))
+    number = F.when(F.col("__copy") == 1, F.lit("")).otherwise(F.concat(F.lit("#"), F.col("__copy").cast("string")))
+    return rows.withColumn(ROW_ID, F.md5(F.concat(content, number))).drop("__copies", "__copy")
 
 
 ENGINE_COLUMNS = (ROW_ID, "D_stu_id", "D_employee_id", "D_location_id", "D_location_name", "C_class_id", "D_term", "D_period", "D_rotation", "D_expression",
@@ -220,8 +228,12 @@ def explode_records(df: DataFrame, p: ScheduleParams, school="D_location_name",
 
     ``new_id`` adds an id per exploded row; the resolution does without it.
     """
-    out = join_same(df, meeting_crosswalk(df, p), p.time_cols)
-    out = join_same(out.withColumn("D_term", F.col("D_term").cast("string")), term_crosswalk(df.sparkSession, p), "D_term", broadcast=True)
+    slots: dict = {}
+    for term, slot, share in term_slots(p):
+        slots.setdefault(term, []).append(F.struct(F.lit(slot).alias("slot"), F.lit(share).alias("share")))
+    out = with_meetings(df, p).withColumn("D_term", F.col("D_term").cast("string"))
+    out = out.withColumn("__t", F.explode_outer(_get(_map(slots, lambda v: F.array(*v)), F.col("D_term"), "array<struct<slot:string,share:double>>")))
+    out = out.withColumns({TERM: F.col("__t.slot"), "C_term_weight_exploded": F.col("__t.share")}).drop("__t")
     out = out.withColumns({"C_rotation_weight_exploded": rotation_weight(p, school), "C_period_weight_exploded": period_weight(p, school)})
     out = out.withColumn("M_class_weight_exploded", F.bround(F.col("C_term_weight_exploded") * F.col("C_rotation_weight_exploded") * F.col("C_period_weight_exploded"), 4))
     return out.withColumn("H_new_record_id", paste("|", ROW_ID, TERM, PERIOD, ROTATION)) if new_id else out
@@ -255,7 +267,7 @@ def serialize_meetings(df: DataFrame, keys, out: str = "merged_expr", period=PER
 
 def conflict_keys(df: DataFrame, p: ScheduleParams) -> DataFrame:
     """One row per record and conflict key ``period@rotation|term slot``; records without a meeting keep a null key."""
-    m = join_same(df, meeting_crosswalk(df, p), p.time_cols)
+    m = with_meetings(df, p)
     slots = _get(_map(p.term_expands, _texts), F.col("D_term").cast("string"), "array<string>")
     m = m.withColumn("__slot", F.explode(F.coalesce(slots, F.array(F.col("D_term").cast("string")))))
     return m.withColumn("M_conflict_key", F.when(F.col(PERIOD).isNotNull(), F.concat(_meeting(), F.lit("|"), F.col("__slot")))).drop("__slot", PERIOD, ROTATION)
