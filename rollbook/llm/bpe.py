@@ -204,4 +204,4 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", keep=(
                 out.append(_gather(data, start[x], length[x]).tobytes())
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(out, type=pa.binary())], [*keep, "decoded"])
 
-    return encoded.select(*keep, ids).mapInArrow(join, StructType([*encoded.select(*keep).schema.fields]).add("decoded", BinaryType()))
+    return encoded.select(*keep, *([] if ids in keep else [ids])).mapInArrow(join, StructType([*encoded.select(*keep).schema.fields]).add("decoded", BinaryType()))

@@ -114,7 +114,7 @@ class Index:
         passage, block = np.nonzero((both >= threshold - 1e-4) & (~last | (k == 0))[:, None])
         found = []
         rows, first = np.unique(passage, return_index=True)
-        for p, lo, hi in zip(rows, first, np.append(first[1:], len(passage)), strict=True):
+        for p, lo, hi in zip(rows, first, np.append(first[1:], len(passage))[: len(rows)], strict=True):
             d = doc[p]
             end = min(start[p] + 2 * HALF, doc_start[d] + size[d])
             t = np.unique(ids[start[p]: end])
