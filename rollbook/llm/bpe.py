@@ -117,6 +117,8 @@ def _flat_lists(x) -> tuple[np.ndarray, np.ndarray]:
     x = x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
     if isinstance(x, pa.ChunkedArray):
         x = pa.concat_arrays(x.chunks) if x.num_chunks else pa.array([], type=x.type)
+    if not len(x):
+        return x.values.slice(0, 0), np.zeros(1, dtype=np.int64)
     offsets = x.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
     return x.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
 
