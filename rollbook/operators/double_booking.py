@@ -226,14 +226,14 @@ def resolve_double_bookings(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 def unify(resolved: DataFrame, records: DataFrame, loadoff: DataFrame | None = None, load_col: str = EXCLUDES[1]) -> DataFrame:
     """Resolved slot rows plus the records that needed no resolution, with one set of final columns.
 
-    Record columns that the resolved rows did not carry are joined back by row id.
+    One left join by row id gives both: a record with resolved rows is represented by them and lends them the columns they did
+    not carry; a record without any keeps its own.
     """
-    absent = [c for c in records.columns if c not in resolved.columns]
-    if absent:
-        resolved = resolved.join(records.select(ROW_ID, *absent), ROW_ID)
-    rest = records.join(resolved.select(ROW_ID), ROW_ID, "left_anti")
     as_text = lambda d: d.withColumns({c: F.col(c).cast("string") for c in ("D_term", "D_period", "D_rotation") if c in d.columns})
-    u = as_text(resolved).unionByName(as_text(rest), allowMissingColumns=True)
+    both = [c for c in resolved.columns if c in records.columns and c != ROW_ID]
+    slots = as_text(resolved).withColumnsRenamed({c: f"__s_{c}" for c in both}).withColumn("__hit", F.lit(True))
+    u = as_text(records).join(slots, ROW_ID, "left")
+    u = u.withColumns({c: F.when(F.col("__hit"), F.col(f"__s_{c}")).otherwise(F.col(c)) for c in both}).drop("__hit", *[f"__s_{c}" for c in both])
     pick = lambda new, old: F.coalesce(new, old) if old in u.columns else F.col(new)
     u = u.withColumns({
         "D_term": pick(TERM, "D_term"), "D_period": pick(PERIOD, "D_period"), "D_rotation": pick(ROTATION, "D_rotation"),

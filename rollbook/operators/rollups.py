@@ -11,7 +11,7 @@ from ..functions.nullsafe import attach, col, count_where, flag, is_in, join_sam
 from ..functions.ranges import bucketize
 from ..functions.school import share_bucket
 from ..functions.text import collapse_names
-from ..sources.tables import ensure_columns
+from ..sources.tables import cut_lineage, ensure_columns
 from .meetings import PERIOD, ROTATION, ScheduleParams, meeting_minutes
 from .ordered import dominant
 
@@ -77,9 +77,10 @@ def add_teacher_metrics(u: DataFrame, p: ScheduleParams) -> DataFrame:
 
 
 def class_primaries(u: DataFrame) -> DataFrame:
-    """One row per class with its dominant values. The per-class tables are joined to each other, so the
-    wide table takes a single join."""
+    """One row per class with its dominant values. The rows are read once, into a small stored table of class and field values; the
+    per-class tables are joined to each other, so the wide table takes a single join."""
     todo = {f: o for f, o in CLASS_PRIMARIES.items() if f in u.columns and o not in u.columns}
+    u = cut_lineage(u.groupBy("C_class_id", *todo).agg(F.sum("M_class_weight").alias("M_class_weight")))
     parts = [dominant(u, ["C_class_id"], f, "M_class_weight", o) for f, o in todo.items()]
     return reduce(lambda a, b: join_same(a, b, "C_class_id"), parts)
 
@@ -136,7 +137,10 @@ def class_table(u: DataFrame) -> DataFrame:
 
 
 def teacher_primaries(u: DataFrame) -> DataFrame:
+    """One row per teacher with its dominant values, from a small stored table of teacher, class and field values."""
     todo = [(f, o, s) for f, (o, s) in TEACHER_PRIMARIES.items() if f in u.columns and o not in u.columns]
+    fields = dict.fromkeys([*[t[0] for t in todo], *[c for c in ("C_course_subject",) if c in u.columns]])
+    u = cut_lineage(u.groupBy("D_employee_id", "C_class_id", *fields).agg(F.max("M_class_weight").alias("M_class_weight")))
     return reduce(lambda a, t: join_same(a, teacher_primary(u, *t), "D_employee_id"), todo, u.select("D_employee_id").distinct())
 
 
