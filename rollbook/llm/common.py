@@ -27,6 +27,13 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> None:
+    """Texts are large rows: batches between Spark and Python hold at most ``rows`` of them from now on in this session. Results do not depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(name)) > rows:
+        df.sparkSession.conf.set(name, str(rows))
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, A_Z, A_Z.lower())
 

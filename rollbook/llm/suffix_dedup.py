@@ -28,10 +28,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructType
 from pyspark.sql.window import Window
 
-from .common import Powers, mix64, stored
+from .common import Powers, mix64, small_batches, stored
 
 #: Length of the strings that count as repeats, of the rolling-hash window, and of the contexts that candidates must share.
 LENGTH, GRAM, HALF = 100, 12, 50
@@ -85,15 +85,25 @@ def _unpack(pack):
 
 
 def parse(texts: DataFrame) -> DataFrame:
-    """``key, context, id, place, left`` for every phrase of ``id, raw``: the hash of the shared bytes to deal by, of the context, the packed place, and of the bytes left of the trigger (null if no string needs them)."""
+    """``key, context, id, place, left, settled`` for every phrase of ``id, raw``: the hash of the shared bytes to deal by, of the context, the packed place, of the
+    bytes left of the trigger (null if no string needs them), and whether the context stands earlier in the same batch of texts.
+
+    Such repeats are settled before the shuffle: they get a key of their own, so a context that fills a third of a corpus meets as one row a batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, held, n = Powers(), [], 0
 
         def out():
             ids = pa.concat_arrays([x[0] for x in held])
-            cols = [np.concatenate([x[i] for x in held]) for i in range(1, 6)]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1].view(np.int64)), ids, pa.array(cols[2]), pa.array(cols[3].view(np.int64), mask=~cols[4])],
-                                              ["key", "context", "id", "place", "left"])
+            key, context, place, left, has_left = (np.concatenate([x[i] for x in held]) for i in range(1, 6))
+            _, rank = np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)
+            order = np.lexsort((place, rank, context, key))
+            new = np.concatenate(([True], (np.diff(key[order]) != 0) | (np.diff(context[order]) != 0)))
+            head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+            settled = np.zeros(len(key), dtype=bool)
+            settled[order] = (rank[order] != rank[head]) | (place[order] != place[head])
+            key = np.where(settled, mix64(context + mix64(place.astype(np.uint64) ^ (rank.astype(np.uint64) << np.uint64(40)))), key)
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(context.view(np.int64)), ids, pa.array(place), pa.array(left.view(np.int64), mask=~has_left | settled), pa.array(settled)],
+                                              ["key", "context", "id", "place", "left", "settled"])
 
         for b in batches:
             for i, raw in enumerate(b.column("raw")):
@@ -114,7 +124,7 @@ def parse(texts: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return texts.mapInArrow(run, StructType().add("key", LongType()).add("context", LongType()).add("id", texts.schema["id"].dataType).add("place", LongType()).add("left", LongType()))
+    return texts.mapInArrow(run, StructType().add("key", LongType()).add("context", LongType()).add("id", texts.schema["id"].dataType).add("place", LongType()).add("left", LongType()).add("settled", BooleanType()))
 
 
 def contexts(texts: DataFrame) -> DataFrame:
@@ -197,12 +207,13 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     raw = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("raw")).filter("id is not null")
     entry = Window.partitionBy("key", "context").orderBy("id", "place")
     parsed = parse(raw).repartition("key").withColumn("nth", F.rank().over(entry))
-    fresh = F.when(F.col("nth") == 1, F.col("context"))
+    parsed = parsed.withColumn("again", F.col("settled") | (F.col("nth") > 1))
+    fresh = F.when(~F.col("again"), F.col("context"))
     among = Window.partitionBy("key")
     parsed = parsed.withColumn("n", F.count(fresh).over(among)).withColumn("low", F.min(fresh).over(among)).withColumn("high", F.max(fresh).over(among))
     split = F.col("low") != F.col("high")  # the key has more than one entry
-    parsed = stored(parsed.filter((F.col("nth") > 1) | split | F.col("left").isNotNull()).select(
-        "id", "place", (F.col("nth") > 1).alias("again"), F.when((F.col("nth") == 1) & split, F.struct("key", "n")).alias("right"), F.when(F.col("nth") == 1, F.col("left")).alias("left")))
+    parsed = stored(parsed.filter(F.col("again") | split | F.col("left").isNotNull()).select(
+        "id", "place", "again", F.when(~F.col("again") & split, F.struct("key", "n")).alias("right"), F.when(~F.col("again"), F.col("left")).alias("left")))
     first, last = F.shiftright("place", 14), F.shiftright("place", 14) + F.shiftright("place", 7).bitwiseAND(127)
     settled = parsed.filter("again").select("id", first.alias("start"), (last + LENGTH).alias("end"))
     by_left = parsed.filter("left is not null").select(F.col("left").alias("key"), "id", "place")
@@ -225,6 +236,7 @@ def packed(raw: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, kept, n_bytes, spans`` of every row: the remaining bytes, the size of the text, and its maximal removed runs (array<struct<start, end>>)."""
+    small_batches(docs)
     raw = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw"))
     spans = repeats(docs, doc_id, text).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     joined = packed(raw).join(spans, "id", "left")
