@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructType
 
-from .common import stored
+from .common import small_batches, stored
 
 BUCKETS = 32768  # a power of two
 FAR = 2**30
@@ -131,6 +131,7 @@ def _gather(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.nda
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep=("doc_id",)) -> DataFrame:
     """The columns of ``keep`` and ``ids``: array<int> of the whole text, for every row."""
+    small_batches(docs)
     spark: SparkSession = docs.sparkSession
     literal = rank_literal(ranks)
     shared = spark.sparkContext.broadcast(_ipc(frequent_pieces(docs, text, pattern, literal)))  # at most FREQUENT rows
@@ -141,10 +142,18 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
             table.append(pa.ipc.open_stream(shared.value).read_all().combine_chunks())
         return table[0]
 
+    def parts(b: pa.RecordBatch, column: str, unit: int) -> Iterator[pa.RecordBatch]:
+        """Slices of whole rows with about ``AT_ONCE`` units each (a longer row alone), so that what is worked out at once stays small."""
+        size = (pc.list_value_length if unit == 1 else pc.binary_length)(b.column(column)).to_numpy(zero_copy_only=False).astype(np.int64) // unit
+        for x in np.split(np.arange(len(b)), np.flatnonzero(np.diff(np.cumsum(size) // AT_ONCE)) + 1):
+            if len(x):
+                yield b.slice(int(x[0]), len(x))
+        pa.default_memory_pool().release_unused()
+
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Codes of the pieces: the row of a frequent one, or -1 - k for the k-th of the document's other distinct pieces, listed in ``rare``."""
         words = pc.cast(known()["piece"], pa.string()).combine_chunks() if known().num_rows else pa.array([], type=pa.string())
-        for b in batches:
+        for b in (s for b in batches for s in parts(b, "_pieces", 1)):
             flat, offsets = _flat_lists(b.column("_pieces"))
             code = pc.fill_null(pc.index_in(flat, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int32)
             doc = np.repeat(np.arange(len(b)), np.diff(offsets))
@@ -163,19 +172,17 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         hot, hot_at = _flat_lists(known()["ids"]) if known().num_rows else (pa.array([], type=pa.int32()), np.zeros(1, dtype=np.int64))
         hot = hot.to_numpy(zero_copy_only=False).astype(np.int32)
         for b in batches:
-            n = np.array([len(x.as_py()) // 4 for x in b.column("_codes")], dtype=np.int64)
-            part = np.cumsum(n) // AT_ONCE
-            for lo, hi in ((int(x[0]), int(x[-1]) + 1) for x in np.split(np.arange(len(b)), np.flatnonzero(np.diff(part)) + 1) if len(x)):
-                s = b.slice(lo, hi - lo)
+            for s in parts(b, "_codes", 4):
+                n = np.array([len(x.as_py()) // 4 for x in s.column("_codes")], dtype=np.int64)
                 code = np.frombuffer(b"".join(x.as_py() for x in s.column("_codes")), dtype=np.int32).astype(np.int64)
                 inner, per_doc = _flat_lists(s.column("_rare_ids"))
                 rare, rare_at = _flat_lists(inner)
                 rare = rare.to_numpy(zero_copy_only=False).astype(np.int32)
-                doc = np.repeat(np.arange(hi - lo), n[lo:hi])
+                doc = np.repeat(np.arange(len(s)), n)
                 row = np.where(code >= 0, code, len(hot_at) - 1 + per_doc[doc] - 1 - code)
                 start, length = np.concatenate([hot_at[:-1], len(hot) + rare_at[:-1]]), np.concatenate([np.diff(hot_at), np.diff(rare_at)])
                 ids = _gather(np.concatenate([hot, rare]), start[row], length[row])
-                end = np.zeros(hi - lo + 1, dtype=np.int64)
+                end = np.zeros(len(s) + 1, dtype=np.int64)
                 np.add.at(end, doc + 1, length[row])
                 yield pa.RecordBatch.from_arrays([*[s.column(c) for c in keep], pa.ListArray.from_arrays(pa.array(np.cumsum(end).astype(np.int32)), pa.array(ids, type=pa.int32()))], [*keep, "ids"])
 

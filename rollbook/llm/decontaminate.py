@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import Powers, hash_runs
+from .common import Powers, hash_runs, small_batches
 
 #: Terms are runs of letters and digits; every byte of a character outside ASCII counts as a letter.
 _APART = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -152,6 +152,7 @@ def add_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: st
     """Add ``leaks`` to every row: array<struct<item_id, unit_start, passage_start, score, question_overlap, answer_overlap>>, empty for a clean document.
 
     One entry for each unit found and verified, from the passage that scores highest (the first of equals)."""
+    small_batches(docs)
     spark, kind = docs.sparkSession, dict(items.dtypes)[item_id]
     one = f"array<struct<item_id:{kind},unit_start:bigint,passage_start:bigint,score:double,question_overlap:double,answer_overlap:double>>"
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.window import Window
 
-from .common import Powers, mix64, shingle_hashes, stored, word_hashes
+from .common import Powers, mix64, shingle_hashes, small_batches, stored, word_hashes
 from .components import components
 
 K, MATCHES, SHINGLE, SIMILARITY = 64, 40, 5, 85
@@ -200,6 +200,7 @@ def long_links(members: DataFrame, similarity: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row. Linked: 100 x intersection >= similarity x union of the shingle sets."""
+    small_batches(docs)
     rows = stored(describe(docs, doc_id, text))
     some = rows.filter("n > 0 and id is not null")
     classes = stored(some.groupBy("print", "n", "keys").agg(F.min("id").alias("rep")))

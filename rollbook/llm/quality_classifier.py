@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import _BLANK, Powers, mix64, word_hashes
+from .common import _BLANK, Powers, mix64, small_batches, word_hashes
 
 PASSAGE_WORDS = 64
 FIGURES = 7
@@ -177,6 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 def score(docs: DataFrame, model: AttentionModel, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """Add ``score`` (0 to 1) and ``predicted`` (1 where the score is at least ``threshold``) to every row."""
+    small_batches(docs)
     @pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         powers = Powers()

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import WORD
+from .common import WORD, small_batches
 from .quality_classifier import held_out
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars_seen", "n_lines", "n_unique_words", "n_upper", "longest_word")
@@ -54,6 +54,7 @@ def text_counts(text: str | None) -> tuple:
 
 def rule_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the counts of ``COUNTS`` to every row."""
+    small_batches(docs)
     @pandas_udf(", ".join(f"{c} long" for c in COUNTS))
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
