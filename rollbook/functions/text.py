@@ -70,7 +70,7 @@ def contains_word(c, word: str) -> Column:
 
 def natural_key(c) -> Column:
     """Sort key that orders digit runs of any length as numbers: the count of digits without leading zeros stands before them."""
-    number = lambda x: F.ltrim(F.lit("0"), x)
+    number = lambda x: F.ltrim(x, F.lit("0"))
     runs = F.regexp_extract_all(col(c), F.lit(r"\d+|\D+"), F.lit(0))
     return F.array_join(F.transform(runs, lambda x: F.when(x.rlike(r"^\d"), F.concat(F.lpad(F.length(number(x)).cast("string"), 10, "0"), number(x))).otherwise(x)), "")
 
