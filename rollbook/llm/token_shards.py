@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import ensure_checkpoint_dir
-from .common import mix64
+from .common import mix64, small_batches
 
 ROUNDS = 6
 #: Ids of a sequence, sequences of a shard, bytes of an id.
@@ -68,6 +68,7 @@ def write_shards(docs: DataFrame, ids: Column, folder: str, key: int = 0, length
     """Write the shards; gives the manifest ``shard, path, first_slot, sequences, sha256`` and the number of sequences.
 
     ``ids``: the ids of a document as binary, ``width`` bytes each (little-endian)."""
+    small_batches(docs)
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(ids, F.lit(b"")).alias("ids"))
     sizes = {r["p"]: r["n"] for r in rows.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.length("ids") + width).alias("n")).collect()}  # a row for each partition
