@@ -113,10 +113,17 @@ def running_sums(lengths: Column, chunk: int = 128) -> Column:
     return F.flatten(total["a"])
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, also inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def match_spans(text: Column, pattern: Column) -> Column:
     """All leftmost, non-overlapping matches of a pattern that matches no empty text: array<struct<start, end, hit>>, in code points."""
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    starts = running_sums(F.zip_with(gaps, hits, lambda g, h: F.length(g).cast("bigint") + F.coalesce(F.length(h), F.lit(0))))
-    return F.zip_with(F.zip_with(F.slice(starts, 1, F.size(hits)), F.slice(gaps, 1, F.size(hits)), lambda s, g: s + F.length(g)), hits,
-                      lambda s, h: F.struct(s.alias("start"), (s + F.length(h)).alias("end"), h.alias("hit")))
+    def spans(hits: Column, gaps: Column) -> Column:
+        lengths = F.zip_with(gaps, hits, lambda g, h: F.length(g).cast("bigint") + F.coalesce(F.length(h), F.lit(0)))
+        starts = let(lengths, lambda x: running_sums(x))
+        return F.zip_with(F.zip_with(F.slice(starts, 1, F.size(hits)), F.slice(gaps, 1, F.size(hits)), lambda s, g: s + F.length(g)), hits,
+                          lambda s, h: F.struct(s.alias("start"), (s + F.length(h)).alias("end"), h.alias("hit")))
+
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda hits: let(F.split(text, pattern, -1), lambda gaps: spans(hits, gaps)))

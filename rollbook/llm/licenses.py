@@ -78,8 +78,8 @@ SENTENCES = [
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "hereby granted"),
     ("mit", r"the above copyright notice and this permission notice shall be included in all copies", "permission notice"),
     ("isc", r"permission to use copy modify and or distribute this software for any purpose", "permission to use"),
-    ("bsd", r"redistribution and use in source and binary forms with or without modification", "redistribution"),
-    ("bsd", r"redistributions in binary form must reproduce the above copyright notice", "redistribution"),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification", "redistribution and use"),
+    ("bsd", r"redistributions in binary form must reproduce the above copyright notice", "redistributions in binary"),
     ("bsd", r"neither the name of (?:\S+ ){1,12}nor the names of (?:its|their) contributors", "nor the names"),
     ("apache", r"licensed under the apache license", "apache"),
     ("apache", r"unless required by applicable law or agreed to in writing software", "applicable law"),
@@ -103,6 +103,18 @@ SENTENCES = [
 ]
 
 
+#: A rule on a name alone is tried only in a text that speaks of a license or of terms; names with a version and sentences are tried on their own keyword.
+HINTS = ["license", "licence", "licensed", "licenced", "licenses", "licences", "released", "distributed", "available", "covered", "governed"]
+
+
+def _any_of(words: list[str]) -> str:
+    """One expression for whole words or phrases, branching on their first letter."""
+    by: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        by.setdefault(w[0], []).append(re.escape(w[1:]))
+    return "(?<= )(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by.items()) + ")(?= )"
+
+
 def rules() -> list[dict]:
     """The ordered rules: an expression on the plain form, its label, priority (higher wins) and keyword. Forms of a family: notice, name with a version, identifier, name."""
     out = [dict(label=label, pattern=p, priority=40, keyword=k) for label, p, k in SENTENCES]
@@ -120,14 +132,14 @@ def rules() -> list[dict]:
     final = []
     for i, r in enumerate(out):
         for k in ([r["keyword"]] if r["priority"] == 40 else words[r["label"]]):
-            final.append(dict(r, keyword=k, number=i))
+            final.append(dict(r, keyword=k, number=i, hint=r["priority"] not in (20, 40)))
     return final
 
 
 def _keyword(name: str) -> str:
-    """The longest plain run of words of a name: a text without it cannot hold the name."""
+    """The first words, at most three, of the longest plain run of a name: a text without them cannot hold the name."""
     runs = re.split(r"\(\?:[^()]*\)\??|.\?|\[[^]]*\]", name)
-    return max((r.strip() for r in runs), key=len)
+    return " ".join(max((r.strip() for r in runs), key=len).split()[:3])
 
 
 def plain(text: Column) -> Column:
@@ -135,27 +147,30 @@ def plain(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), GAP, " ")), F.lit(" "))
 
 
+def _bounded(pattern: str | Column) -> Column:
+    """Whole words: the blank before a match is outside, the one behind it is not taken."""
+    return F.concat(F.lit("(?<= )(?:"), pattern if isinstance(pattern, Column) else F.lit(pattern), F.lit(")(?= )"))
+
+
 def _places(form: Column, pattern: str | Column) -> Column:
-    """array<struct<first, last>>: first and last word of each match of whole words. The blank before a match is outside, the one behind it is not taken."""
-    bounded = F.concat(F.lit("(?<= )(?:"), pattern if isinstance(pattern, Column) else F.lit(pattern), F.lit(")(?= )"))
+    """array<struct<first, last>>: first and last word of each match."""
     blanks = lambda s: (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))).cast("bigint")
-    return F.transform(match_spans(form, bounded), lambda m: F.struct((blanks(F.substr(form, F.lit(1), m["start"].cast("int"))) - 1).alias("first"),
+    return F.transform(match_spans(form, _bounded(pattern)), lambda m: F.struct((blanks(F.substr(form, F.lit(1), m["start"].cast("int"))) - 1).alias("first"),
                                                                       (blanks(F.substr(form, F.lit(1), m["start"].cast("int"))) - 1 + blanks(m["hit"])).alias("last")))
 
 
 def scan(docs: DataFrame, text: str = "text", keep=("doc_id",)) -> DataFrame:
     """The columns of ``keep`` and ``n_words``, ``base`` (array<struct<first, last, label>> by first word), ``detections`` (array<struct<first, last, label, priority>>) and ``score``, of every row."""
     table = rules()
-    keywords = sorted({r["keyword"] for r in table} | {p.split()[0] for p in BASE})
-    gate = "(?<= )(?:" + "|".join(keywords) + ")"
+    gate = _any_of([r["keyword"] for r in table if not r["hint"]] + HINTS)
     form = docs.select(*keep, plain(F.col(text)).alias("_form"))
-    form = form.withColumn("_gated", F.when(F.col("_form").rlike(gate), F.col("_form")))
+    form = form.withColumn("_gated", F.when(F.col("_form").rlike(gate), F.col("_form"))).withColumn("_hinted", F.coalesce(F.col("_gated").rlike(_any_of(HINTS)), F.lit(False)))
     n_words = F.when(F.col("_form") == "  ", F.lit(0)).otherwise(F.length("_form") - F.length(F.replace("_form", F.lit(" "), F.lit(""))) - 1).cast("bigint")
     none = F.array().cast("array<struct<first:bigint,last:bigint,label:string,priority:int,number:int>>")
     base = F.flatten(F.array(*[F.when(F.col("_gated").contains(f" {p} "), F.transform(_places(F.col("_gated"), p), lambda m: F.struct(
         m["first"].alias("first"), m["last"].alias("last"), F.lit(label).alias("label"), F.lit(50).alias("priority"), F.lit(-1).alias("number")))).otherwise(none) for p, label in BASE.items()]))
-    rows = F.from_json(F.lit(json.dumps(table)), "array<struct<label:string,pattern:string,priority:int,keyword:string,number:int>>")
-    tried = F.filter(rows, lambda r: F.col("_gated").contains(F.concat(F.lit(" "), r["keyword"])))
+    rows = F.from_json(F.lit(json.dumps(table)), "array<struct<label:string,pattern:string,priority:int,keyword:string,number:int,hint:boolean>>")
+    tried = F.filter(rows, lambda r: (F.col("_hinted") | ~r["hint"]) & F.col("_gated").contains(F.concat(F.lit(" "), r["keyword"], F.lit(" "))) & F.regexp_like(F.col("_gated"), _bounded(r["pattern"])))
     hits = F.flatten(F.transform(tried, lambda r: F.transform(_places(F.col("_gated"), r["pattern"]), lambda m: F.struct(
         m["first"].alias("first"), m["last"].alias("last"), r["label"].alias("label"), r["priority"].alias("priority"), r["number"].alias("number")))))
     found = form.select(*keep, n_words.alias("n_words"), F.when(F.col("_gated").isNotNull(), base).otherwise(none).alias("base"),
