@@ -83,11 +83,14 @@ SHUFFLE_KEY = 20250101
 
 
 def op9_token_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Byte-level ids of the documents (the bytes of their texts) in training order: the shards are written and read back, one row for each sequence."""
+    """Token ids of the documents in training order: the shards are written and read back, one row for each sequence."""
+    ranks, pattern = tokenizer()
+    width, end, pad = token_shards.closing_ids(max(ranks.values()) + 1)
+    ids = stored(token_shards.packed(bpe.encode(_table(spark, sf_dir, "documents"), ranks, pattern, keep=()), width), "zstd")
     folder = token_shards.new_folder(spark)
-    manifest, total = token_shards.write_shards(_table(spark, sf_dir, "documents"), F.col("text").cast("binary"), folder, SHUFFLE_KEY)
+    manifest, total = token_shards.write_shards(ids, F.col("ids"), folder, SHUFFLE_KEY, width=width, end=end, pad=pad)
     manifest = stored(manifest)
-    return token_shards.describe(token_shards.read_shards(spark, folder), total, SHUFFLE_KEY) if total else manifest.select(
+    return token_shards.describe(token_shards.read_shards(spark, folder, width=width), total, SHUFFLE_KEY, width, end, pad) if total else manifest.select(
         F.col("shard").alias("slot"), F.col("shard").alias("sequence"), F.col("shard").alias("n_ids"), F.col("shard").alias("n_ends"), F.col("sha256").alias("ids_sha256"))
 
 

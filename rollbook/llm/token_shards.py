@@ -7,7 +7,7 @@ and write shard ``k`` with slots ``k * per_shard`` and on: byte ``(slot - first)
 sequential and can resume at any slot.
 
 The scan is read twice (sizes of its partitions, then pieces), so it must be a plan that gives the same partitions again, such as a file
-scan; each partition's size is checked the second time. A shard is written under a name of its attempt and then renamed: a lost executor's shard is
+scan (ids of a tokenizer are stored first); each partition's size is checked the second time. Pieces are compressed before they are shuffled. A shard is written under a name of its attempt and then renamed: a lost executor's shard is
 written again, with the same bytes.
 
 Cases: null or empty ids give a sequence of the end id alone; null document ids do not matter, as ids are not read; repeated rows are
@@ -33,6 +33,30 @@ ROUNDS = 6
 LENGTH, PER_SHARD, WIDTH = 2048, 4096, 1
 #: Byte-level ids: the bytes of UTF-8 text, in which these two never occur.
 END, PAD = 255, 254
+CODEC = "zstd"
+
+
+def closing_ids(vocabulary: int) -> tuple[int, int, int]:
+    """Width, end and pad for the ids 0 to ``vocabulary`` - 1: end and pad are the next two ids, a width of 2 or 4 bytes holds all of them."""
+    if vocabulary + 2 > 2**32:
+        raise ValueError("ids wider than 4 bytes")
+    return (2 if vocabulary + 2 <= 2**16 else 4), vocabulary, vocabulary + 1
+
+
+def packed(encoded: DataFrame, width: int, ids: str = "ids") -> DataFrame:
+    """``ids``: the integer arrays of the column as binary, ``width`` bytes an id (little-endian); null stays null."""
+    kind = np.dtype(f"<u{width}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column(0)
+            values = x.values.to_numpy(zero_copy_only=False)
+            if len(values) and not 0 <= values.min() <= values.max() < 256**width:
+                raise ValueError(f"ids do not fit {width} bytes")
+            values, at = values.astype(kind), x.offsets.to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array([values[s:e].tobytes() if there else None for s, e, there in zip(at[:-1], at[1:], x.is_valid().to_pylist(), strict=True)], pa.binary())], ["ids"])
+
+    return encoded.select(F.col(ids).cast("array<bigint>").alias("ids")).mapInArrow(run, "ids binary")
 
 
 def _rounds(x: np.ndarray, half: int, keys: np.ndarray) -> np.ndarray:
@@ -90,13 +114,13 @@ def write_shards(docs: DataFrame, ids: Column, folder: str, key: int = 0, length
             number = np.arange(place // stride, -(-stop // stride))
             lo, hi = np.maximum(number * stride, place), np.minimum((number + 1) * stride, stop)
             slot = permute(number, total, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot // per_shard), pa.array(slot), pa.array(lo - number * stride),
-                                              pa.array([data[s:e] for s, e in zip((lo - place).tolist(), (hi - place).tolist(), strict=True)], pa.binary())], ["shard", "slot", "at", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array(slot // per_shard), pa.array(slot), pa.array(lo - number * stride), pa.array(hi - lo),
+                                              pa.array([pa.compress(data[s:e], CODEC, asbytes=True) for s, e in zip((lo - place).tolist(), (hi - place).tolist(), strict=True)], pa.binary())], ["shard", "slot", "at", "size", "data"])
             place = stop
         if here is not None and place != first[here] + sizes[here]:
             raise RuntimeError("the scan did not give the same partitions twice")
 
-    cut = rows.select(F.spark_partition_id().alias("p"), "ids").mapInArrow(pieces, "shard long, slot long, at long, data binary")
+    cut = rows.select(F.spark_partition_id().alias("p"), "ids").mapInArrow(pieces, "shard long, slot long, at long, size long, data binary")
     shards = -(-total // per_shard)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,14 +136,14 @@ def write_shards(docs: DataFrame, ids: Column, folder: str, key: int = 0, length
                                                pa.array([hashlib.sha256(buffer).hexdigest()])], ["shard", "path", "first_slot", "sequences", "sha256"])
 
         for b in batches:
-            for shard, slot, at_, data in zip(b.column("shard").to_pylist(), b.column("slot").to_pylist(), b.column("at").to_pylist(), b.column("data").to_pylist(), strict=True):
+            for shard, slot, at_, size, data in zip(*[b.column(c).to_pylist() for c in ("shard", "slot", "at", "size", "data")], strict=True):
                 if shard != now:
                     if now is not None:
                         yield close()
                     now = shard
                     buffer = bytearray(padding * (min(per_shard, total - shard * per_shard) * length))
                 place = (slot - shard * per_shard) * stride + at_
-                buffer[place: place + len(data)] = data
+                buffer[place: place + size] = pa.decompress(data, size, CODEC, asbytes=True)
         if now is not None:
             yield close()
 

@@ -112,13 +112,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the checkpoint folder and read it back.
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the checkpoint folder and read it back; ``compression`` names a codec other than the session's.
 
     Later steps start from the stored table: an iteration's plan does not grow, a table read by many
     steps is computed once, a lost executor costs a re-read, and the stored size lets Spark choose joins.
     """
     ensure_checkpoint_dir(df.sparkSession)
     path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -341,6 +341,39 @@ def test_shards(spark, odd, empty):
     assert total == 0 and manifest.collect() == []
 
 
+@pytest.mark.parametrize("vocabulary, width", [(50_257, 2), (2**16 - 2, 2), (2**16 - 1, 4), (200_000, 4)])
+def test_shards_of_wide_ids(spark, vocabulary, width):
+    r = random.Random(vocabulary)
+    rows = [[0, 254, 255, 256, vocabulary - 1], None, [], *[[r.randrange(vocabulary) for _ in range(n)] for n in (1, 63, 64, 500)], [vocabulary - 1]]
+    docs = spark.createDataFrame([(x,) for x in rows], "ids array<int>").coalesce(1)
+    wide, end, pad = token_shards.closing_ids(vocabulary)
+    assert wide == width and vocabulary <= min(end, pad) and end != pad and max(end, pad) < 256**width
+    folder = token_shards.new_folder(spark)
+    manifest, total = token_shards.write_shards(token_shards.packed(docs, width), F.col("ids"), folder, key=7, length=64, per_shard=3, width=width, end=end, pad=pad)
+    assert manifest.count() == -(-total // 3)
+    ids = [i for x in rows for i in [*(x or []), end]]
+    assert total == -(-len(ids) // 64)
+    ids += [pad] * (total * 64 - len(ids))
+    got = token_shards.read_shards(spark, folder, 64, 3, width)
+    number = token_shards.permute(np.arange(total), total, 7, inverse=True)
+    assert {x.slot: np.frombuffer(x.ids, dtype=f"<u{width}").tolist() for x in got.collect()} == {s: ids[number[s] * 64: number[s] * 64 + 64] for s in range(total)}
+    told = token_shards.describe(got, total, 7, width, end, pad).collect()
+    assert sum(x.n_ends for x in told) == len(rows) and sum(x.n_ids for x in told) == sum(i != pad for i in ids)
+    with pytest.raises(Exception, match="do not fit"):
+        token_shards.packed(spark.createDataFrame([([256**width],)], "ids array<bigint>"), width).collect()
+
+
+def test_shards_hold_the_tokenizers_ids(spark):
+    folder = "/root/testdata/sf0.001"
+    ranks, pattern = queries.tokenizer()
+    docs = bpe.encode(spark.read.parquet(f"{folder}/documents.parquet").coalesce(1), ranks, pattern).collect()
+    ids = np.array([i for r in docs for i in [*r.ids, len(ranks)]], dtype="<u2")
+    assert max(ranks.values()) + 1 == len(ranks) > 256
+    told = by_id(queries.op9_token_id_shards(spark, folder).collect(), "sequence")
+    assert sorted(told) == list(range(-(-len(ids) // 2048))) and sum(r.n_ids for r in told.values()) == len(ids) and sum(r.n_ends for r in told.values()) == len(docs)
+    assert all(told[k].ids_sha256 == hashlib.sha256(ids[k * 2048: (k + 1) * 2048].tobytes()).hexdigest() for k in list(told)[:-1] if (k + 1) * 2048 <= len(ids))
+
+
 # ---------------------------------------------------------------- 10 suffix dedup
 
 def removed(texts: dict) -> dict:
