@@ -4,7 +4,8 @@ Items are cut into units of at most ``UNIT_WORDS`` words. A term's impact on a u
 that holds the whole unit scores about 1 and one threshold fits all units. Units lie in blocks; the index keeps, for each term, the largest impact in each block.
 A document is read in overlapping passages over its whole length. Upper bounds from block maxima are added up for all
 passages at once, and only the blocks that can reach the threshold are scored from their postings: all pairs at or over the threshold
-are found. What is found is verified: the runs of three words of the question and of the answer must both be found in the passage.
+are found. What is found is verified: the runs of three words of the question and of the answer (of all its words, if a part has one or two) must both be
+found in the passage.
 
 The index is built for shards of items that keep within ``SHARD_ITEMS`` and ``SHARD_CHARS``, each sent to the tasks; further shards are
 further passes over the same batch of texts, so the size of the benchmark is not limited and no larger object is ever sent.
@@ -129,8 +130,8 @@ class Index:
 
     def verified(self, words: np.ndarray, start: int, unit: int) -> tuple[float, float]:
         """Shares of the runs of the unit's question and of its answer that the passage has; a part that the unit lacks counts as found."""
-        runs = _runs(words[start: start + 2 * HALF])
-        share = lambda want: len(want & runs) / len(want) if want else 1.0
+        passage = words[start: start + 2 * HALF]
+        share = lambda want: len(want & _runs(passage, len(next(iter(want))))) / len(want) if want else 1.0  # a part's runs are all of one length
         return share(self.question[unit]), share(self.answer[unit])
 
 

@@ -235,6 +235,21 @@ def test_leaks(spark, odd, empty):
     assert len(decontaminate.add_leaks(odd, table).collect()) == odd.count() and decontaminate.add_leaks(empty, table).collect() == []
 
 
+def test_short_parts_leak(spark):
+    """Verbatim items of 1 to 9 terms, items whose unit holds 1 or 2 terms of the question, and one-word answers in a column of their own."""
+    sizes = [*range(1, 10), 130, 131, 133, 134, 191]
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in sizes]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = spark.createDataFrame([(n, prose(n, 64) + " " + t + " " + prose(n + 1, 150)) for n, t in items], "doc_id bigint, text string")
+    got = by_id(decontaminate.add_leaks(docs, table).collect())
+    assert all({(x.item_id, x.unit_start) for x in got[n].leaks} == {(n, k * n // -(-n // 64)) for k in range(-(-n // 64))} for n in sizes)
+    split = spark.createDataFrame([(1, "what is six times seven in decimal notation", "42"), (2, "which town is the capital of France", "Paris"), (3, "who", "nobody at all")], "item_id bigint, text string, answer string")
+    docs = spark.createDataFrame([(1, "Q: What is six times seven in decimal notation? A: 42."), (2, "which town is the capital of france - paris"), (3, "who? nobody at all"),
+                                  (4, "what is six times seven in decimal notation? no idea"), (5, "42 Paris")], "doc_id bigint, text string")
+    got = by_id(decontaminate.add_leaks(docs, split, answer="answer").collect())
+    assert {i: [x.item_id for x in r.leaks] for i, r in got.items()} == {1: [1], 2: [2], 3: [3], 4: [], 5: []}
+
+
 def test_search_finds_all_at_the_threshold():
     """Bounds and blocks leave out nothing: against scores of all pairs."""
     powers, items = common.Powers(), [(i, prose(900 + i, 15 + i % 40), None) for i in range(100)]
