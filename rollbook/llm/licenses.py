@@ -138,7 +138,10 @@ def rules() -> list[dict]:
 
 def _keyword(name: str) -> str:
     """The first words, at most three, of the longest plain run of a name: a text without them cannot hold the name."""
-    runs = re.split(r"\(\?:[^()]*\)\??|.\?|\[[^]]*\]", name)
+    group = re.compile(r"\(\?:[^()]*\)\??")
+    while group.search(name):  # groups from the inside out
+        name = group.sub("\n", name)
+    runs = re.split(r"\n|.\?|\[[^]]*\]", name)
     return " ".join(max((r.strip() for r in runs), key=len).split()[:3])
 
 

@@ -222,6 +222,39 @@ def test_licenses(spark, odd, empty):
     assert len({r["number"] for r in licenses.rules()}) > 300
 
 
+def example(pattern, most: int) -> str:
+    """A text that the expression matches: first alternatives, everything repeated as seldom as allowed but optional parts ``most`` times."""
+    out = ""
+    for op, arg in pattern:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            out += chr(arg[0][1]) if str(arg[0][0]) == "LITERAL" else "x"
+        elif name == "MAX_REPEAT":
+            out += example(arg[2], most) * max(arg[0], min(most, arg[1]))
+        elif name == "BRANCH":
+            out += example(arg[1][0], most)
+        elif name == "SUBPATTERN":
+            out += example(arg[3], most)
+        else:
+            raise ValueError(name)
+    return out
+
+
+def test_every_license_rule_fires(spark):
+    of = {r["number"]: r for r in licenses.rules()}
+    rows = [(n, f"zz {example(re._parser.parse(r['pattern']), most)} zz") for n, r in of.items() for most in (0, 1)]
+    assert all(re.search(of[n]["pattern"], t) for n, t in rows)
+    fired = collections.defaultdict(set)
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        fired[r.doc_id] |= {d.number for d in r.detections}
+    assert [(n, r["label"], r["pattern"]) for n, r in of.items() if n not in fired[n]] == []
+    texts = ["W3C Software Notice and License", "licensed under the W3C license", "W3C licence"]
+    got = by_id(licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect())
+    assert all("w3c" in {d.label for d in r.detections} for r in got.values())
+
+
 # ---------------------------------------------------------------- 6 decontamination
 
 def test_leaks(spark, odd, empty):
