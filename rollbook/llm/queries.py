@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
-from . import bpe, chat, decontaminate, licenses, minhash, quality_classifier, quality_rules, secrets, suffix_dedup, token_shards
+from .common import let, stored
+from . import bpe, chat, decontaminate, licenses, minhash, periodic_runs, quality_classifier, quality_rules, secrets, suffix_dedup, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,5 +99,31 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op5_license_scans, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans, op9_token_id_shards, op10_suffix_array_dedup)}
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by the checksum of their id, with words that repeat from some place on; the others as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def planted(w):
+        n, g = F.size(w).cast("bigint"), F.expr("crc32(cast(doc_id as string)) div 10")
+        start = g % n
+        period = F.floor((n - start) / (g % 8 + 3)) + 1
+        turned = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(w, F.when(i < start, i).otherwise(start + (i - start) % period).cast("int")))
+        return F.when(n > 0, F.array_join(turned, " ")).otherwise(F.lit(""))
+
+    return docs.select("doc_id", F.when(h % 10 == 0, let(words, planted)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic_runs.find_runs(with_planted_periods(_table(spark, sf_dir, "documents")))
+    # the greatest length / period, compared as products
+    before = lambda a, b: F.when(a["length"] * b["period"] != b["length"] * a["period"], F.signum(b["length"] * a["period"] - a["length"] * b["period"])).when(
+        a["start"] != b["start"], F.signum(a["start"] - b["start"])).otherwise(F.signum(a["period"] - b["period"])).cast("int")
+    out = out.withColumn("_best", F.get(F.array_sort("runs", before), F.lit(0)))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), *[F.col(f"_best.{c}").alias(c) for c in ("start", "length", "period")],
+                      F.expr("1000 * _best.length div _best.period").alias("exponent_milli"), F.sha2(told, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op5_license_scans, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans, op9_token_id_shards, op10_suffix_array_dedup, op13_periodic_runs)}
 SQL: dict[str, str] = {}
