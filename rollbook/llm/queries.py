@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import let, stored
-from . import bpe, chat, decontaminate, licenses, minhash, periodic_runs, quality_classifier, quality_rules, secrets, suffix_dedup, token_alignment, token_shards
+from . import bpe, chat, decontaminate, licenses, minhash, periodic_runs, prefix_forest, quality_classifier, quality_rules, secrets, suffix_dedup, token_alignment, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +108,10 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return token_alignment.score(aligned, counts, keep=(*told, "groups_sha256")).select(*told, "n_best", "count_sum", "groups_sha256")
 
 
+def op12_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """A tenth of the documents, by the checksum of their id, with words that repeat from some place on; the others as they are."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -134,5 +138,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.expr("1000 * _best.length div _best.period").alias("exponent_milli"), F.sha2(told, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op5_license_scans, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans, op9_token_id_shards, op10_suffix_array_dedup, op11_cross_tokenizer_alignment, op13_periodic_runs)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op5_license_scans, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans, op9_token_id_shards, op10_suffix_array_dedup, op11_cross_tokenizer_alignment, op12_hash_prefix_forest, op13_periodic_runs)}
 SQL: dict[str, str] = {}
