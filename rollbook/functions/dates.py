@@ -38,13 +38,14 @@ def school_year_of(d, first_month: int = 8) -> Column:
 
 def enrolment_days(df, year="D_year", enter="D_stu_enter_date", exit_="D_stu_exit_date",
                    start=(8, 1), end=(6, 30), clamp: bool = True):
-    """School-year window, window flags, clamped dates and days enrolled (last day not counted)."""
+    """School-year window, window flags, clamped dates and days enrolled (last day not counted; unknown where a date is)."""
     df = df.withColumns({
         "H_year_start": year_date(year, *start, offset=-1),
         "H_year_end": year_date(year, *end),
     })
-    lo = F.greatest(col(enter), F.col("H_year_start")) if clamp else col(enter)
-    hi = F.least(col(exit_), F.col("H_year_end")) if clamp else col(exit_)
+    # greatest and least skip nulls, so an unknown date is kept unknown first
+    lo = F.when(col(enter).isNotNull(), F.greatest(col(enter), F.col("H_year_start"))) if clamp else col(enter)
+    hi = F.when(col(exit_).isNotNull(), F.least(col(exit_), F.col("H_year_end"))) if clamp else col(exit_)
     return df.withColumns({
         "C_spell_before_window": col(exit_) < F.col("H_year_start"),
         "C_spell_after_window": col(enter) > F.col("H_year_end"),
@@ -57,7 +58,7 @@ def enrolment_days(df, year="D_year", enter="D_stu_enter_date", exit_="D_stu_exi
 def negative_days(df, rule: str = "floor_zero", days="M_days_enrolled"):
     """``floor_zero`` | ``drop`` | ``keep``."""
     if rule == "floor_zero":
-        return df.withColumn(days, F.greatest(col(days), F.lit(0)))
+        return df.withColumn(days, F.when(col(days) < 0, F.lit(0)).otherwise(col(days)))
     if rule == "drop":
         return df.filter(col(days) >= 0)
     if rule == "keep":

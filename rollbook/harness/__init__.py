@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load():
-    from . import q_checks, q_cohort, q_network, q_reconcile, q_schedule, q_summaries  # noqa: F401
+    from . import q_checks, q_cohort, q_gates, q_network, q_reconcile, q_schedule, q_summaries  # noqa: F401
     from . import registry
     return registry
 

@@ -45,9 +45,10 @@ def _(t):
     return IO.rename_to_standard(t.lineitem, {"D_employee_id": "l_suppkey", "D_period": "l_linenumber", "D_rotation": "l_returnflag", "D_room": "absent"}, keep_only=True)
 
 
-@query("s04_required_input", "tr_raw", f"SELECT 'transcript has rows' AS \"check\", 'PASS' AS result, 0::BIGINT AS n_offenders FROM tr_raw HAVING count(*) >= 10")
+@query("s04_required_input", "tr_raw", f"SELECT 'transcript has rows' AS \"check\", {_RES} FROM (SELECT (count(*) < 10)::BIGINT AS n_offenders FROM tr_raw)")
 def _(t):
-    return IO.row_floor(V.tr_raw(t), "transcript has rows", 10).result()
+    d = IO.require_input(V.tr_raw(t), "transcript", 10)
+    return IO.row_floor(d, "transcript has rows", 10).result()
 
 
 @query("s07_coding_template", "cs", "SELECT DISTINCT D_course_name, D_course_id, 'UNCODED' AS C_course_subject, 'UNCODED' AS C_course_rigor FROM cs")

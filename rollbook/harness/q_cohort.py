@@ -191,9 +191,9 @@ def _(t):
     return T.select_cohort(student_year(t), V.TR)[1]
 
 
-@query("c12_cohort_gates", "coh scope_ids", """
+@query("c12_cohort_gates", "coh ent scope_ids", """
 SELECT "check", CASE WHEN n_offenders = 0 THEN 'PASS' ELSE 'FAIL' END AS result, n_offenders FROM (SELECT 'one cohort row per student' AS "check", count(*) - count(DISTINCT D_stu_id) AS n_offenders FROM coh
-UNION ALL SELECT 'cohort students are entrants', 0 UNION ALL SELECT 'cohort schools are in scope', count(*) FILTER (C_cohort_school_id NOT IN (SELECT id FROM scope_ids)) FROM coh
+UNION ALL SELECT 'cohort students are entrants', count(*) FILTER (D_stu_id NOT IN (SELECT D_stu_id FROM ent)) FROM coh UNION ALL SELECT 'cohort schools are in scope', count(*) FILTER (C_cohort_school_id NOT IN (SELECT id FROM scope_ids)) FROM coh
 UNION ALL SELECT 'cohort school is known', count(*) FILTER (C_cohort_school_id IS NULL) FROM coh)""")
 def _(t):
     sp = clean_sp(t)

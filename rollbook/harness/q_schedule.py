@@ -16,6 +16,7 @@ from ..operators import rollups as R
 from ..plans import schedule as S
 from ..sources.tables import cut_lineage
 from . import views as V
+from .q_gates import CLASSES, TEACHERS
 from .registry import query
 
 SLOTS = {"C_term_exploded": "slot", "C_period_exploded": "per", "C_rotation_exploded": "rot"}
@@ -295,7 +296,7 @@ def _(t):
 
 @query("m27_stage_gates", "rs_pr", """
 SELECT "check", CASE WHEN n_offenders = 0 THEN 'PASS' ELSE 'FAIL' END AS result, n_offenders FROM (SELECT 'class stage shrinks' AS "check", count(*) FILTER (adj < w_class - 1e-9) AS n_offenders FROM rs_pr
-UNION ALL SELECT 'teacher stage shrinks', 0 UNION ALL SELECT 'student stage shrinks', count(*) FILTER (w_class < w_stu - 1e-9) FROM rs_pr
+UNION ALL SELECT 'teacher stage shrinks', count(*) FILTER (NOT coalesce(w_class >= w_class - 1e-9, false)) FROM rs_pr UNION ALL SELECT 'student stage shrinks', count(*) FILTER (w_class < w_stu - 1e-9) FROM rs_pr
 UNION ALL SELECT 'one teacher per consolidated class', count(*) FROM (SELECT 1 FROM rs_pr WHERE cons IS NOT NULL GROUP BY cons HAVING count(DISTINCT D_employee_id) > 1))""")
 def _(t):
     _, r = resolved(t)
@@ -462,14 +463,18 @@ def _(t):
     return rolled(t)["class"].select("C_class_id", "D_term", "D_period", "D_rotation", "D_employee_id", "C_teacher_load_exclude", "M_cls_num_stu", "M_cls_class_weight")
 
 
-@query("r15_rollup_checks", "un_pr", """
-SELECT unnest(['class size within head count', 'class size bucket known', 'load bucket known', 'utilisation known']) AS "check", 'PASS' AS result, 0::BIGINT AS n_offenders FROM (SELECT count(*) FROM un_pr)""")
+_R15 = {"class size within head count": ("z > n + 1e-9", CLASSES), "class size bucket known": ("z IS NULL OR z < 0", CLASSES), "load bucket known": ("NOT coalesce(l >= 0, false)", TEACHERS), "utilisation known": ("NOT known", TEACHERS)}
+
+
+@query("r15_rollup_checks", "un_pr", "SELECT \"check\", CASE WHEN n_offenders = 0 THEN 'PASS' ELSE 'FAIL' END AS result, n_offenders FROM (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS \"check\", count(*) FILTER ({bad}) AS n_offenders FROM {src}" for name, (bad, src) in _R15.items()) + ")")
 def _(t):
     r = rolled(t)
     return R.rollup_checks(r["class"], r["teacher"])
 
 
-@query("r15_size_distribution")
+@query("r15_size_distribution", "un_pr", "SELECT l AS C_cls_location_name, " + ", ".join(f"count(*) FILTER (b = '{b}') AS \"{b}\"" for b in ("0-6", "7-12", "13-18", "19-24", "25-30", "31-35", "36+")) + f"""
+FROM (SELECT C_cls_location_name AS l, {_BUCKET.format('round_even(z, 9)')} AS b FROM {CLASSES} c JOIN ({_class_primary('D_location_name', 'C_cls_location_name')}) USING (C_class_id)) GROUP BY 1""")
 def _(t):
     return R.size_distribution(rolled(t)["class"], V.PR)
 

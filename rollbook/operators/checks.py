@@ -157,13 +157,26 @@ class CheckLog:
     def badge(self, check: str, status: str, value=None) -> None:
         self._add(check, "review", BADGES.get(status, "INFO"), value)
 
+    def add_gate(self, check: str, passed: bool, value=None, detail: str | None = None) -> None:
+        """Log a gate that was decided elsewhere, such as by observed metrics."""
+        self._add(check, "stop", "PASS" if passed else "FAIL", value, detail)
+
+    def keep(self, check: Check) -> None:
+        """Keep the offenders of a failed gate, and write them where evidence is wanted."""
+        self.failed[check.name] = check.offenders
+        self._write_evidence(check)
+
+    def require_equal(self, check: str, before: int, after: int) -> None:
+        self.add_gate(check, before == after, f"{before} before, {after} after")
+        if before != after:
+            raise CheckFailed(f"{check}: {before} before, {after} after")
+
     def require(self, check: Check) -> None:
         """Run a check; on failure keep its offenders, write the evidence and raise."""
         row = check.result().first()
         self._add(check.name, "stop", row["result"], f"{row['n_offenders']} offender(s)", check.detail)
         if row["result"] != "PASS":
-            self.failed[check.name] = check.offenders
-            self._write_evidence(check)
+            self.keep(check)
             raise CheckFailed(f"{check.name}: {row['n_offenders']} offender(s)")
 
     def require_all(self, results: DataFrame) -> None:

@@ -223,8 +223,8 @@ def resolve_double_bookings(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # --- unification ------------------------------------------------------------------
 
-def unify(resolved: DataFrame, records: DataFrame, loadoff: DataFrame | None = None, load_col: str = EXCLUDES[1]) -> DataFrame:
-    """Resolved slot rows plus the records that needed no resolution, with one set of final columns.
+def unify(resolved: DataFrame, records: DataFrame, loadoff: DataFrame | None = None, load_col: str = EXCLUDES[1], keep_mark: bool = False) -> DataFrame:
+    """Resolved slot rows plus the records that needed no resolution, with one set of final columns; ``keep_mark`` adds ``H_resolved``, which tells them apart.
 
     One left join by row id gives both: a record with resolved rows is represented by them and lends them the columns they did
     not carry; a record without any keeps its own.
@@ -233,7 +233,8 @@ def unify(resolved: DataFrame, records: DataFrame, loadoff: DataFrame | None = N
     both = [c for c in resolved.columns if c in records.columns and c != ROW_ID]
     slots = as_text(resolved).withColumnsRenamed({c: f"__s_{c}" for c in both}).withColumn("__hit", F.lit(True))
     u = as_text(records).join(slots, ROW_ID, "left")
-    u = u.withColumns({c: F.when(F.col("__hit"), F.col(f"__s_{c}")).otherwise(F.col(c)) for c in both}).drop("__hit", *[f"__s_{c}" for c in both])
+    u = u.withColumns({c: F.when(F.col("__hit"), F.col(f"__s_{c}")).otherwise(F.col(c)) for c in both})
+    u = (u.withColumn("H_resolved", flag("__hit")) if keep_mark else u).drop("__hit", *[f"__s_{c}" for c in both])
     pick = lambda new, old: F.coalesce(new, old) if old in u.columns else F.col(new)
     u = u.withColumns({
         "D_term": pick(TERM, "D_term"), "D_period": pick(PERIOD, "D_period"), "D_rotation": pick(ROTATION, "D_rotation"),
@@ -266,9 +267,13 @@ def stage_gates(resolved: DataFrame) -> DataFrame:
     shrink = gates(resolved, {"class stage shrinks": le(ADJ, "M_class_weight_post_class"),
                               "teacher stage shrinks": le("M_class_weight_post_class", "M_class_weight_post_teachers"),
                               "student stage shrinks": le("M_class_weight_post_teachers", "M_class_weight_post_student")})
+    return shrink.unionByName(one_teacher(resolved).result())
+
+
+def one_teacher(resolved: DataFrame) -> Check:
     multi = resolved.filter(F.col("C_class_id_post_teachers").startswith("CONS_")).groupBy("C_class_id_post_teachers").agg(
         n_distinct("D_employee_id").alias("n")).filter("n > 1")
-    return shrink.unionByName(Check("one teacher per consolidated class", multi).result())
+    return Check("one teacher per consolidated class", multi)
 
 
 def weight_by_stage(resolved: DataFrame, school="D_location_name") -> DataFrame:

@@ -83,20 +83,26 @@ def companion(df: DataFrame, keys, is_source, value: str, out: str) -> DataFrame
 
 
 def code_courses(transcript: DataFrame, coding: DataFrame, id_col="D_course_id", name_col="D_course_name",
-                 coded_id="C_course_id", fallback: bool = True) -> DataFrame:
+                 coded_id="C_course_id", fallback: bool = True, needs: str | None = None) -> DataFrame:
     """Coded fields by id and name, then by id alone where an id stands for a single coded course.
 
+    Coding keys should be unique (``gated.keyed``): a repeated one multiplies rows. ``needs``: a coded field without which a match does not count as coded; such a row
+    goes on to the fallback, as one without a match does.
+
     ``C_coding_source`` says which: ``id_and_name`` / ``id_only`` / null. The id-only row is the one with
     the smallest course name.
     """
     fields = [c for c in coding.columns if c not in (id_col, name_col)]
-    exact = coding.select(id_col, name_col, F.struct(*fields).alias("__exact"))
+    if needs is not None:
+        need_columns(coding, [needs], "course coding")
+    coded = flag(F.col(needs).isNotNull()) if needs is not None else F.lit(True)
+    exact = coding.filter(coded).select(id_col, name_col, F.struct(*fields).alias("__exact"))
     out = join_same(transcript, exact, [id_col, name_col])
     if fallback:
         single = coding.groupBy(id_col).agg(
             n_distinct(coded_id).alias("__n"),
             F.min(F.struct(F.col(name_col), F.struct(*fields).alias("f"))).alias("__m"))
-        single = single.filter("__n = 1").select(id_col, F.col("__m.f").alias("__single"))
+        single = single.filter("__n = 1").filter(F.col(f"__m.f.{needs}").isNotNull() if needs is not None else F.lit(True)).select(id_col, F.col("__m.f").alias("__single"))
         out = join_same(out, single, id_col)
     else:
         out = out.withColumn("__single", F.lit(None).cast(coding.select(F.struct(*fields)).schema[0].dataType))

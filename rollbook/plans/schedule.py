@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nullsafe import join_same
+from ..functions.nullsafe import join_same, not_in
 from ..functions.school import class_id
 from ..operators import addons, meetings as M
 from ..operators import double_booking as DB
 from ..operators import rollups as R
+from ..operators.checks import CheckLog
+from ..operators.gated import Gate, must, write_gated
 from ..sources.tables import cut_lineage
 
 
@@ -22,22 +24,44 @@ def weigh(records: DataFrame, p: M.ScheduleParams, distinct_rows: bool = False)
     return M.with_row_id(d, distinct_rows)
 
 
-def resolve(weighed: DataFrame, p: M.ScheduleParams, stage=cut_lineage) -> dict[str, DataFrame]:
+def weigh_gated(records: DataFrame, p: M.ScheduleParams, log: CheckLog | None, distinct_rows: bool = False) -> DataFrame:
+    """:func:`weigh`, stored. Every term must have a weight, and no class weight may be negative or unknown."""
+    out, _ = write_gated(weigh(records, p, distinct_rows), "weighed records", log, [
+        Gate("every term has a configured weight", not_in("D_term", p.term_weights), keys=("D_term",)),
+        Gate("class weights are known and not negative", must(F.col("M_cls_class_weight") >= 0), keys=("C_class_id",))],
+        {"records without a teacher": F.count_if(F.col("D_employee_id").isNull())}, min_rows=1)
+    return out
+
+
+def resolve(weighed: DataFrame, p: M.ScheduleParams, stage=cut_lineage, log: CheckLog | None = None) -> dict[str, DataFrame]:
     """Explode, flag, resolve, unify. The flagged and resolved tables feed several steps, so ``stage``
-    writes them once."""
-    flagged = stage(DB.flag_double_bookings(M.explode_records(M.engine_columns(weighed, p), p, new_id=False), p, only_flagged=True))
+    writes them once; with a ``log`` each stops on its gates."""
+    flagged = DB.flag_double_bookings(M.explode_records(M.engine_columns(weighed, p), p, new_id=False), p, only_flagged=True)
+    flagged, _ = write_gated(flagged, "flagged rows", log, [], {"student rows flagged": F.count_if(F.col("H_db_student_row") == 1), "teacher rows flagged": F.count_if(F.col("H_db_teacher_row") == 1)}, store=stage)
     resolved, mapping = DB.resolve_double_bookings(flagged)
-    resolved = stage(resolved)
+    if log is not None:
+        log.begin("consolidation")
+        log.require(DB.consolidation_collisions(mapping))
+    le = lambda a, b: must(F.col(a) >= F.col(b) - F.lit(DB.EPS))
+    resolved, seen = write_gated(resolved, "resolved rows", log, [
+        Gate("class stage shrinks", le(DB.ADJ, "M_class_weight_post_class")), Gate("teacher stage shrinks", le("M_class_weight_post_class", "M_class_weight_post_teachers")),
+        Gate("student stage shrinks", le("M_class_weight_post_teachers", "M_class_weight_post_student"))], store=stage)
+    if log is not None:
+        log.require(DB.one_teacher(resolved))
     loadoff = stage(DB.teacher_loadoff(resolved, p))
-    return {"flagged": flagged, "resolved": resolved, "mapping": mapping, "loadoff": loadoff, "unified": stage(DB.unify(resolved, weighed, loadoff))}
+    unified, joined = write_gated(DB.unify(resolved, weighed, loadoff, keep_mark=log is not None), "unified rows", log, [], {"records untouched": F.count_if(~F.col("H_resolved"))} if log else {}, store=stage)
+    if log is not None:
+        log.require_equal("unification accounts for every row", seen["rows"] + (joined["records untouched"] or 0), joined["rows"])
+        unified = unified.drop("H_resolved")
+    return {"flagged": flagged, "resolved": resolved, "mapping": mapping, "loadoff": loadoff, "unified": unified}
 
 
 def roll_up(unified: DataFrame, p: M.ScheduleParams, hr: DataFrame | None = None, hr_mode: str = "experience",
-            proficiency: DataFrame | None = None, stage=cut_lineage) -> dict[str, DataFrame]:
+            proficiency: DataFrame | None = None, stage=cut_lineage, log: CheckLog | None = None) -> dict[str, DataFrame]:
     """Class, teacher and student rollups with the optional add-ons.
 
     Fields per class and per teacher are worked out as small tables from the stored rows and joined to
-    them once.
+    them once. With a ``log`` the rollups are stored and stop on their gates.
     """
     u = stage(R.add_class_size(R.add_minutes(unified, p), p))
     classes = stage(R.class_table(u))
@@ -48,6 +72,14 @@ def roll_up(unified: DataFrame, p: M.ScheduleParams, hr: DataFrame | None = None
     if proficiency is not None:
         u = addons.apply_course_grades(u, proficiency)
     u = stage(u)
-    teachers = R.teacher_rollup(u, p)
-    teachers = stage(teachers)
-    return {"unified": u, "teacher": teachers, "class": R.class_rollup(u, teachers, p), "student": R.student_rollup(u, p)}
+    unknown = lambda c: F.col(c).isNull()
+    teachers, _ = write_gated(R.teacher_rollup(u, p), "teacher rollup", log, [
+        Gate("load bucket known", unknown("M_tch_load_bucket"), keys=("D_employee_id",)), Gate("utilisation known", unknown("M_tch_utilization"), keys=("D_employee_id",))],
+        min_rows=1, store=stage)
+    by_class, students = R.class_rollup(u, teachers, p), R.student_rollup(u, p)
+    if log is not None:
+        by_class, _ = write_gated(by_class, "class rollup", log, [
+            Gate("class size within head count", must(F.col("M_cls_class_size") <= F.col("M_cls_num_stu") + F.lit(1e-9)), keys=("C_class_id",)),
+            Gate("class size bucket known", unknown("C_cls_class_size_bucket"), keys=("C_class_id",))], min_rows=1, store=stage)
+        students, _ = write_gated(students, "student rollup", log, [Gate("student of the rollup is known", unknown("D_stu_id"))], min_rows=1, store=stage)
+    return {"unified": u, "teacher": teachers, "class": by_class, "student": students}

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, ranges, text
-from ..functions.nullsafe import flag, is_in, join_same
+from ..functions.nullsafe import flag, is_in, join_same, not_in
 from ..operators import cohort as C
 from ..operators import joins as J
 from ..operators import scope
 from ..operators import student_year as SY
+from ..operators.checks import Check, CheckLog, unique
+from ..operators.gated import Gate, keyed, must, write_gated
 from ..operators.ordered import mobility
 from ..sources.tables import cut_lineage
 
@@ -47,14 +49,24 @@ class TranscriptParams:
     snapshot_year: int = 2025
     snapshot_grades: tuple = (9, 10, 11, 12)
     snapshot_min_days: int = 200
+    # limits of the stopping gates, in percent; a gate's own name in ``tolerances`` overrides its default of 0
+    min_student_match_pct: float = 99
+    min_student_year_match_pct: float = 90
+    min_grade_agreement_pct: float = 90
+    min_coding_match_pct: float = 99.5
+    tolerances: dict = field(default_factory=dict)
+    expected_years: dict = field(default_factory=dict)
 
     @property
     def years(self):
         return sorted(self.progression)
 
+    def gate(self, name: str, bad, default: float = 0.0, **more) -> Gate:
+        return Gate(name, bad, self.tolerances.get(name, default), **more)
 
-def location_table(raw: DataFrame, p: TranscriptParams) -> DataFrame:
-    """Everything derived about a reported location, one row per (location id, reported name).
+
+def location_years(raw: DataFrame, p: TranscriptParams) -> DataFrame:
+    """Everything derived about a reported location, by year.
 
     The spells are counted per location, name and year first, so cleaning, merging, canonical names and
     scope work on a table as small as the list of schools.
@@ -67,16 +79,31 @@ def location_table(raw: DataFrame, p: TranscriptParams) -> DataFrame:
         d = d.withColumns({"C_location_id": F.col("D_location_id"), "C_location_name_merged": F.col("C_location_name")})
     d = J.canonical_names(d, "C_location_id", "C_location_name_merged", weight="n")
     d = scope.member_flag(d, d.filter(is_in("C_location_name_merged", p.schools)).select("C_location_id"), "C_location_id", "C_school_in_scope")
-    return d.drop("n", "D_year").distinct()
+    return d
+
+
+def location_table(raw: DataFrame, p: TranscriptParams) -> DataFrame:
+    """One row per (location id, reported name)."""
+    return location_years(raw, p).drop("n", "D_year").distinct()
 
 
-def clean_spells(raw: DataFrame, p: TranscriptParams) -> DataFrame:
-    """Raw spells -> dates, days in the school-year window, cleaned and merged locations, recoded fields."""
-    d = raw.withColumns({c: dates.parse_date(c, p.date_formats) for c in ("D_stu_enter_date", "D_stu_exit_date")})
+DATES = ("D_stu_enter_date", "D_stu_exit_date")
+
+
+def clean_spells(raw: DataFrame, p: TranscriptParams, locations: DataFrame | None = None, marks: bool = False) -> DataFrame:
+    """Raw spells -> dates, days in the school-year window, cleaned and merged locations, recoded fields.
+
+    ``marks`` adds what the gates need of the raw values: ``H_unreadable_<date>`` and ``H_days_signed``.
+    """
+    d = raw.withColumns({f"H_unreadable_{c}": dates.date_unreadable(c, p.date_formats) for c in DATES}) if marks else raw
+    d = d.withColumns({c: dates.parse_date(c, p.date_formats) for c in DATES})
     d = d.withColumn("C_exit_date_imputed", F.col("D_stu_exit_date").isNull())
     d = d.withColumn("D_stu_exit_date", dates.fill_date("D_stu_exit_date", dates.year_date("D_year", 6, 30)))
-    d = dates.negative_days(dates.enrolment_days(d), p.negative_days)
-    d = join_same(d, cut_lineage(location_table(raw, p)), ["D_location_id", "D_location_name"])
+    d = dates.enrolment_days(d)
+    if marks:
+        d = d.withColumn("H_days_signed", F.datediff("D_stu_exit_date", "D_stu_enter_date"))
+    d = dates.negative_days(d, p.negative_days)
+    d = join_same(d, cut_lineage(location_table(raw, p)) if locations is None else locations, ["D_location_id", "D_location_name"])
     d = scope.recode(d, "D_stu_race", p.race_map, "C_stu_race")
     return d.withColumnsRenamed({"D_stu_ell": "C_stu_ell_flag", "D_stu_swd": "C_stu_swd_flag", "D_stu_frl": "C_stu_poverty_flag"})
 
@@ -116,25 +143,113 @@ def select_cohort(student_year: DataFrame, p: TranscriptParams):
     return universe, criteria, cohort
 
 
-def build(raw_spells: DataFrame, raw_transcript: DataFrame, coding: DataFrame, p: TranscriptParams) -> dict[str, DataFrame]:
-    """All tables of the analysis. The tables that many later steps read are stored once."""
-    spells = cut_lineage(clean_spells(raw_spells, p))
-    transcript = cut_lineage(clean_transcript(raw_transcript, p))
+def _locations(raw: DataFrame, p: TranscriptParams, log: CheckLog | None) -> DataFrame:
+    """The stored table of locations. Listed schools must occur, and no location may miss a year that is not declared away."""
+    years = cut_lineage(location_years(raw, p))
+    if log is not None:
+        log.begin("locations")
+        if p.schools:
+            log.require(J.unresolved_names(years.select(F.col("C_location_name_merged").alias("location_name")), p.schools))
+        gaps = J.year_gaps(years, "C_location_id", "C_location_name_canonical", "D_year", p.expected_years).filter("not declared")
+        limit = p.tolerances.get("every location has every year", 0.0)
+        if limit < 100:
+            log.require(Check("every location has every year", gaps))
+        else:
+            log.info("location-years missing", gaps.count())
+    return years.drop("n", "D_year").distinct()
+
+
+def _spells(raw: DataFrame, p: TranscriptParams, log: CheckLog | None) -> DataFrame:
+    locations = _locations(raw, p, log)
+    gates = [*[p.gate(f"dates parse: {c}", F.col(f"H_unreadable_{c}")) for c in DATES],
+             p.gate("exit date is not before enter date", F.col("H_days_signed") < 0),
+             p.gate("days enrolled are known", F.col("M_days_enrolled").isNull()),
+             p.gate("location is known", F.col("C_location_id").isNull(), keys=("D_location_id", "D_location_name")),
+             p.gate("value map covers all codes: D_stu_race", F.col("D_stu_race").isNotNull() & not_in("D_stu_race", p.race_map) if p.race_map else F.lit(False), keys=("D_stu_race",))]
+    info = {"exit dates missing": F.count_if("C_exit_date_imputed"), "rows at in-scope schools": F.count_if("C_school_in_scope"),
+            "spells before the window": F.count_if("C_spell_before_window"), "spells after the window": F.count_if("C_spell_after_window")}
+    marks = log is not None
+    out, _ = write_gated(clean_spells(raw, p, locations, marks), "enrolment spells", log, gates if marks else (), info, min_rows=1)
+    return out.drop(*[f"H_unreadable_{c}" for c in DATES], "H_days_signed")
+
+
+def _transcript(raw: DataFrame, p: TranscriptParams, log: CheckLog | None) -> tuple[DataFrame, dict]:
+    gates = [p.gate("grades beyond the hard bounds within tolerance", F.col("C_grade_not_a_grade"), keys=("D_stu_grade_raw",)),
+             p.gate("student and year are known", F.col(C.ID).isNull() | F.col(C.YEAR).isNull()),
+             p.gate("course id is known", F.col("D_course_id").isNull())]
+    info = {"rows with no term detected": F.count_if(F.col("C_term").isNull()), "grades above 100": F.count_if("C_grade_above_100"),
+            "credits out of range": F.count_if("C_creds_out_of_range"), "earned above attempted": F.count_if("C_creds_earn_exceeds_attempted")}
+    return write_gated(clean_transcript(raw, p), "transcript", log, gates, info, min_rows=1)
+
+
+def _student_years(spells: DataFrame, home: DataFrame, p: TranscriptParams, log: CheckLog | None) -> DataFrame:
+    gates = [p.gate("home school is known", F.col("C_home_school_id").isNull()), p.gate("grade level is known", F.col("C_stu_grade_level").isNull()),
+             p.gate("home days within days enrolled", must(F.col("C_home_school_days") <= F.col("M_days_enrolled_year")))]
+    out, _ = write_gated(SY.collapse_years(spells, home), "student-years", log, gates)
+    if log is not None:
+        log.require(unique(out, SY.ID_YEAR, "one row per student-year"))
+    return out
+
+
+def _reconcile(transcript: DataFrame, spells: DataFrame, p: TranscriptParams, log: CheckLog) -> None:
+    """Ids and id-years of the transcript that enrolment knows, and grades on which both agree."""
+    t = transcript.select(*SY.ID_YEAR).distinct()
+    t = scope.member_flag(scope.member_flag(t, spells, SY.ID_YEAR, "year_found"), spells, C.ID, "id_found")
+    first = t.groupBy(C.ID).agg(F.min(C.YEAR).alias("first_year"))
+    t = join_same(t, first, C.ID).withColumn("counts_id", F.col(C.YEAR).eqNullSafe(F.col("first_year")))
+    write_gated(t, "student-years of the transcript", log, [
+        p.gate("transcript students found in enrolment", ~F.col("id_found"), 100 - p.min_student_match_pct, base=F.col("counts_id"), keys=(C.ID,)),
+        p.gate("transcript student-years found in enrolment", ~F.col("year_found"), 100 - p.min_student_year_match_pct)])
+    write_gated(J.grade_agreement(transcript, spells), "grades compared", log,
+                [p.gate("grade levels agree", must(F.col("diff") == 0), 100 - p.min_grade_agreement_pct)], {"grades compared": F.count(F.lit(1))})
+
+
+def _cohort(sy: DataFrame, spells: DataFrame, p: TranscriptParams, log: CheckLog | None) -> tuple[DataFrame, DataFrame]:
+    universe, criteria, cohort = select_cohort(sy, p)
+    criteria, _ = write_gated(criteria, "cohort criteria", log, [], {"entrants": F.count(F.lit(1)), "entrants selected": F.count_if(F.col("C_stu_cohort") == "include")})
+    if log is None:
+        return criteria, cut_lineage(cohort)
+    marked = scope.member_flag(cohort, universe, C.ID, "H_entrant")
+    inside = spells.filter("C_school_in_scope").select(F.col("C_location_id").alias("C_cohort_school_id")).distinct()
+    marked = scope.member_flag(marked, inside, "C_cohort_school_id", "H_in_scope")
+    cohort, _ = write_gated(marked, "cohort", log, [
+        p.gate("cohort students are entrants", ~F.col("H_entrant")), p.gate("cohort school is known", F.col("C_cohort_school_id").isNull()),
+        p.gate("cohort schools are in scope", ~F.col("H_in_scope"), keys=("C_cohort_school_id", "C_cohort_school_name"))], min_rows=1)
+    log.require(unique(cohort, [C.ID], "one cohort row per student"))
+    return criteria, cohort.drop("H_entrant", "H_in_scope")
+
+
+def build(raw_spells: DataFrame, raw_transcript: DataFrame, coding: DataFrame, p: TranscriptParams, log: CheckLog | None = None) -> dict[str, DataFrame]:
+    """All tables of the analysis. The tables that many later steps read are stored once.
+
+    With a ``log`` every stage stops on its gates, which are counted while the stage is written; the export is then stored as well. Without one nothing stops.
+    """
+    spells = _spells(raw_spells, p, log)
+    transcript, seen = _transcript(raw_transcript, p, log)
+    if log is not None:
+        _reconcile(transcript, spells, p, log)
     by_school = SY.spells_by_school(spells)
     home = SY.home_school(by_school)
-    sy = cut_lineage(SY.collapse_years(spells, home))
+    sy = _student_years(spells, home, p, log)
     reconciled = scope.member_flag(transcript, spells, SY.ID_YEAR, "C_has_enrolment_record")
     joined = J.join_checked(reconciled, sy, SY.ID_YEAR, "student-year onto transcript")
-    coded = C.credit_recovery(J.code_courses(joined, coding)).withColumns({
+    subject = "C_course_subject_area" if "C_course_subject_area" in coding.columns else None
+    coded = C.credit_recovery(J.code_courses(joined, keyed(coding, ["D_course_id", "D_course_name"], "course coding", log), needs=subject)).withColumns({
         "C_course_failed": ranges.course_failed(), "C_grade_pct_rollup": ranges.bucket_down("D_stu_grade", p.grade_buckets),
         "C_course_marked_repeat": F.col("C_course_name_starred")})
     moves = mobility(sy)
-    _, criteria, cohort = select_cohort(sy, p)
-    criteria, cohort = cut_lineage(criteria), cut_lineage(cohort)
+    criteria, cohort = _cohort(sy, spells, p, log)
     snap = C.snapshot_table(sy, transcript, p.snapshot_year, p.snapshot_grades, "days", p.snapshot_min_days)
     out = scope.member_flag(join_same(coded, moves, C.ID), cohort, C.ID, "C_cohort_include")
     out = scope.member_flag(out, snap.filter("selected"), C.ID, "C_stu_snapshot_include").withColumn(
         "C_stu_snapshot_include", F.col("C_stu_snapshot_include") & (F.col(C.YEAR) == p.snapshot_year))
+    if log is not None:
+        out, wrote = write_gated(out, "transcript export", log, [
+            p.gate("course coding match rate", F.col("C_coding_source").isNull(), 100 - p.min_coding_match_pct, keys=("D_course_id", "D_course_name")),
+            p.gate("student-year joined wherever enrolment is known", F.col("C_has_enrolment_record") & F.col("C_home_school_id").isNull())],
+            {"rows coded by id and name": F.count_if(F.col("C_coding_source") == "id_and_name"), "rows coded by id only": F.count_if(F.col("C_coding_source") == "id_only"),
+             "rows with an enrolment record": F.count_if("C_has_enrolment_record"), "credit recovery rows": F.count_if("C_credit_recovery_flag")})
+        log.require_equal("joins keep the transcript's row count", seen["rows"], wrote["rows"])
     return {"spells": spells, "transcript": transcript, "by_school": by_school, "home": home, "student_year": sy, "transcript_out": out,
             "criteria": criteria, "cohort": cohort, "mobility": moves, "snapshot": snap,
             "student_year_export": C.student_year_export(sy, criteria, moves, cohort, snap, p.snapshot_year)}
