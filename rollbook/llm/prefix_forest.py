@@ -3,7 +3,7 @@
 Each tree names every vector by a long string of bits, the sides of its own random planes on which the vector lies, and is no more than the array of these strings in order.
 
 1. Equal vectors are one class: the forest holds a class once, and a class answers with its ``k + 1`` smallest ids.
-2. The rows are held in blocks of at most ``VALUES`` components. A task keeps one block with the sorted arrays of all its trees.
+2. The rows are dealt by hash to blocks of about ``VALUES`` components. A task keeps one block with the sorted arrays of all its trees.
 3. Descent: the entries of a sorted array beside the place of a query's string share its longest prefixes, of another length in each tree.
 4. Synchronous ascent: from the longest prefix on, all trees shorten it by the same bit; what shares it in any tree is a candidate. Whenever there are enough new candidates
    they are compared on the original vectors. It ends at the first length ``x`` at which a vector as near as the last of the best is missed by all trees with a probability
@@ -144,6 +144,11 @@ def _visit(rows: DataFrame, n: int, trees: int, bits: int, miss: float) -> DataF
     return rows.repartition("dim", "part").sortWithinPartitions("dim", "part", "kind").mapInArrow(run, kind)
 
 
+def _blocks(values: int, cores: int) -> int:
+    """Blocks of at most ``VALUES`` components; one for each core as long as that leaves them an eighth of it."""
+    return max(-(-values // VALUES), min(cores, -(-values // max(1, VALUES // 8))))
+
+
 def _first(n: int, *keys: str):
     """Rows of the first ``n`` places; Spark drops the others before it shuffles, so a hot key is no hot task."""
     return lambda df, *order: df.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_nth") <= n)
@@ -162,17 +167,16 @@ def nearest(vectors: DataFrame, query: Column, k: int = 5, row_id: str = "vec_id
     rows = rows.select("id", "asks", "vector", same[0].alias("h1"), same[1].alias("h2"))
     classes = rows.groupBy("h1", "h2").agg(F.first("vector").alias("vector"), F.min("id").alias("id"), F.max("asks").alias("asks"))
     classes = stored(classes.withColumn("row", F.monotonically_increasing_id()).withColumn("dim", F.size("vector")))
-    entries = classes.withColumn("part", F.expr(f"row div greatest(1, {VALUES} div dim)"))
+    blocks = {r.dim: _blocks(r.dim * r["count"], vectors.sparkSession.sparkContext.defaultParallelism) for r in classes.groupBy("dim").count().collect()}  # a row for each length of vectors
+    n_blocks = F.create_map(*[F.lit(x) for d, n in blocks.items() for x in (d, n)])[F.col("dim")] if blocks else F.lit(1)
+    entries = classes.withColumn("part", F.pmod(F.xxhash64("row"), n_blocks))
     names = _first(k + 1, "h1", "h2")(rows.select("h1", "h2", "id").distinct(), "id").join(classes.select("h1", "h2", "row"), ["h1", "h2"]).select("row", F.col("id").alias("name"))
 
     shown = lambda df, kind, length: df.select("dim", "part", F.lit(kind).alias("kind"), "row", "id", "vector", length.cast("int").alias("length"))
     held, asking = shown(entries, 0, F.lit(-1)), entries.filter("asks")
     home = stored(_visit(held.unionByName(shown(asking, 1, F.lit(-1))), k + 1, trees, bits, miss))
-    # one number for each block of VALUES components
-    blocks = {d.dim: sorted(d.parts) for d in entries.groupBy("dim").agg(F.collect_set("part").alias("parts")).collect()}
-    all_parts = F.create_map(*[F.lit(x) for d, p in blocks.items() for x in (d, p)])[F.col("dim")] if blocks else F.array().cast("array<bigint>")
     bound = home.groupBy(F.col("query").alias("row")).agg(F.min("length").alias("stop"))
-    away = asking.join(bound, "row").withColumn("home", F.col("part")).withColumn("part", F.explode(all_parts)).filter("part != home")
+    away = asking.join(bound, "row").withColumn("home", F.col("part")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), n_blocks - F.lit(1).cast("bigint")))).filter("part != home")
     found = home.unionByName(_visit(held.unionByName(shown(away, 1, F.col("stop"))), k + 1, trees, bits, miss))
     best = _first(k + 1, "query")(found, F.desc("score"), "id").select("query", "row", "score")
     named = _first(k + 1, "query")(best.join(names, "row").select("query", "name", "score"), F.desc("score"), "name")
