@@ -101,7 +101,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    aligned = token_alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    aligned = token_alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
     told = ("doc_id", "n_a", "n_b", "n_groups", "n_links")
     aligned = token_alignment.with_row_numbers(aligned.select(*told, F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"), "pairs", "counts"))
     counts = stored(token_alignment.pair_counts(aligned))

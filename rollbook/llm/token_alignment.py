@@ -1,6 +1,6 @@
 """Alignment of two tokenizers over the same text: which tokens of A lie over which tokens of B, and how common each pair of ids is.
 
-A is a byte-level BPE (a ``tokenizers`` JSON file), B a piece model with byte fallback (``sentencepiece``); A reads a space and the text, B adds that space itself.
+A is a byte-level BPE (a ``tokenizers`` JSON file; where its ids are shown to suffice as ranks it is run by them), B a piece model with byte fallback (``sentencepiece``); A reads a space and the text, B adds that space itself.
 Tokens are ranges of bytes. Ranges that overlap, directly or through others, are one group; groups end where a token of A and one of B both end.
 
 1. Every token points to its farthest-right overlapping token of the other side: the one that holds its last byte. Where both end together, the token of A points to
@@ -22,9 +22,11 @@ carried, which may not be called as those that are added (``NEW``), ``_row``, ``
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,24 +44,65 @@ NEW = ("n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "counts")
 _CUT = re.compile(r"(?<=\S) (?=[^\W\d_])")
 
 
+def _entry_bytes(entry: str) -> bytes:
+    return bytes(map(_BYTE.__getitem__, entry))
+
+
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the bytes that stand for themselves in a byte-level entry
+_BYTE = {chr(x): x for x in _SHOWN} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in _SHOWN)}
+
+
+def ranks_suffice(a_file: bytes) -> bool:
+    """Whether A's merges follow from the ids alone: then merging the pair whose bytes have the lowest id gives its tokens on every text.
+
+    A merge inside a token depends on nothing outside it, as what crosses its edges would keep it from being made. So it is enough that each token, merged by
+    lower ids only, ends in the very pair that the file lists for it."""
+    spec = json.loads(a_file)
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or spec.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        return False
+    if any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
+        return False
+    special = {x["content"] for x in spec.get("added_tokens", ())}
+    rank = {_entry_bytes(entry): i for entry, i in model["vocab"].items() if entry not in special}
+    listed = [tuple(map(_entry_bytes, m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    made = [rank.get(x + y, -1) for x, y in listed]
+    if any(bytes([x]) not in rank for x in range(256)) or len(rank) != 256 + len(listed) or made != sorted(set(made)) or made[:1] == [-1]:
+        return False
+    for (x, y), top in zip(listed, made, strict=True):
+        parts = [bytes([c]) for c in x + y]
+        while len(parts) > 2:
+            low, k = min((rank.get(parts[k] + parts[k + 1], top), k) for k in range(len(parts) - 1))
+            if low >= top:
+                return False
+            parts[k: k + 2] = [parts[k] + parts[k + 1]]
+        if parts != [x, y]:
+            return False
+    return True
+
+
 class Tokenizers:
-    """Both tokenizers, from the contents of their files, with the bytes of every id."""
+    """Both tokenizers, from the contents of their files, with the bytes of every id. With a ``pattern`` A is run by its ids as ranks (see :func:`ranks_suffice`), which is several times as fast."""
 
-    def __init__(self, a_file: bytes, b_file: bytes):
+    def __init__(self, a_file: bytes, b_file: bytes, pattern: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a_file.decode())
-        self.a.encode_special_tokens = True
+        a = Tokenizer.from_str(a_file.decode())
+        a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the bytes that stand for themselves
-        hidden = [x for x in range(256) if x not in shown]
-        byte = {chr(x): x for x in shown} | {chr(256 + k): x for k, x in enumerate(hidden)}
-        entries = self.a.get_vocab(with_added_tokens=False)
+        special = {x.content for x in a.get_added_tokens_decoder().values()}
+        entries = {entry: i for entry, i in a.get_vocab(with_added_tokens=False).items() if entry not in special}
         self.a_bytes = [b""] * (max(entries.values()) + 1)
         for entry, i in entries.items():
-            self.a_bytes[i] = bytes(byte[c] for c in entry)
+            self.a_bytes[i] = _entry_bytes(entry)
+        if pattern is None:
+            self.encode_a = lambda texts: [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)]
+        else:
+            by_rank = tiktoken.Encoding("A", pat_str=pattern, mergeable_ranks={self.a_bytes[i]: i for i in entries.values()}, special_tokens={})
+            self.encode_a = lambda texts: [by_rank.encode_ordinary(t) for t in texts]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
@@ -149,15 +192,15 @@ class Row:
 def align_parts(tok: Tokenizers, rows: list[Row], parts: list[tuple[int, str]]) -> None:
     """Add the parts (row, text) to their rows. All parts are worked on in one go, end to end."""
     texts = [p for _, p in parts]
-    ids_a = [e.ids for e in tok.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    ids_a = tok.encode_a([" " + t for t in texts])
     ids_b = tok.b.encode(texts, num_threads=1)
-    same = [k for k, t in enumerate(texts) if (raw := (" " + t).encode()) == b"".join([tok.a_bytes[i] for i in ids_a[k]]) and raw == b"".join([tok.b_bytes[i] for i in ids_b[k]])]
+    same = [k for k, t in enumerate(texts) if (raw := (" " + t).encode()) == b"".join(map(tok.a_bytes.__getitem__, ids_a[k])) and raw == b"".join(map(tok.b_bytes.__getitem__, ids_b[k]))]
     for k in set(range(len(texts))) - set(same):
         rows[parts[k][0]] = None
     if not same:
         return  # no part with tokens
-    a, b = (np.fromiter((i for k in same for i in ids[k]), dtype=np.int32) for ids in (ids_a, ids_b))
     n_a, n_b = (np.array([len(ids[k]) for k in same], dtype=np.int64) for ids in (ids_a, ids_b))
+    a, b = (np.fromiter(chain.from_iterable([ids[k] for k in same]), dtype=np.int32, count=int(n.sum())) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
     a_end, b_end = np.cumsum(tok.a_size[a]), np.cumsum(tok.b_size[b])
     last_a, last_b = terminals(a_end, b_end)
     ends = last_a == np.arange(len(a))
@@ -186,11 +229,12 @@ def align_parts(tok: Tokenizers, rows: list[Row], parts: list[tuple[int, str]])
             row.counts.append(times[cut[j]: cut[j + 1]])
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", keep=("doc_id",)) -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, a_pattern: str | None = None, text: str = "text", keep=("doc_id",)) -> DataFrame:
     """The columns of ``keep`` and ``NEW``: numbers of tokens, groups and links, the groups as ``a1,a2|b1;a3|b2``, the distinct linked id pairs (A id in the upper 32 bits, B id in the lower)
-    and how often each is linked. The files are read by the driver and sent to the tasks."""
+    and how often each is linked. The files are read by the driver and sent to the tasks. ``a_pattern``: the pattern of A's byte-level cutting, where the caller knows it; it is used if A's ids suffice as ranks."""
     with open(a_path, "rb") as fa, open(b_path, "rb") as fb:
-        files = docs.sparkSession.sparkContext.broadcast((fa.read(), fb.read()))
+        a_file, b_file = fa.read(), fb.read()
+    files = docs.sparkSession.sparkContext.broadcast((a_file, b_file, a_pattern if a_pattern and ranks_suffice(a_file) else None))
     small_batches(docs)
     kept = docs.select(*keep)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import json
 
 import numpy as np
 import public_tokenizers
@@ -65,8 +66,8 @@ def expected(both, texts: list[str | None]) -> list[tuple]:
              hashlib.sha256(s.encode()).hexdigest() if s else "") for g, c, s in zip(groups, links, told, strict=True)]
 
 
-def run(docs):
-    aligned = token_alignment.with_row_numbers(token_alignment.align(docs, A, B, keep=("doc_id",)))
+def run(docs, pattern=public_tokenizers.PATTERN):
+    aligned = token_alignment.with_row_numbers(token_alignment.align(docs, A, B, pattern, keep=("doc_id",)))
     counts = token_alignment.pair_counts(aligned)
     told = aligned.select("_row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "counts")
     rows = token_alignment.score(told, counts, keep=("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups")).collect()
@@ -87,6 +88,24 @@ def test_matches_plain_loops(spark, both, monkeypatch, bound):
         assert got[i] == want[i], TEXTS[i]
 
 
+def test_ids_as_ranks(both):
+    """Both ways to run A agree: on the file's merges, and on how every kind of character is cut."""
+    with open(A, "rb") as fa, open(B, "rb") as fb:
+        a_file, b_file = fa.read(), fb.read()
+    assert token_alignment.ranks_suffice(a_file)
+    spec = json.loads(a_file)
+    spec["model"]["merges"][1000], spec["model"]["merges"][1001] = spec["model"]["merges"][1001], spec["model"]["merges"][1000]
+    assert not token_alignment.ranks_suffice(json.dumps(spec).encode())
+    slow, fast = (token_alignment.Tokenizers(a_file, b_file, p) for p in (None, public_tokenizers.PATTERN))
+    texts = [t for t in TEXTS if t] + [f"a{c}b 1{c}2 {c} {c}{c} !{c}? \n{c}\n x" for c in map(chr, [*range(0x3000), *range(0xD7A0, 0xD800), *range(0xE000, 0x1F800, 7)])]
+    assert slow.encode_a(texts) == fast.encode_a(texts)
+
+
+def test_without_a_pattern(spark, both):
+    docs = spark.createDataFrame(list(enumerate(TEXTS[5:12])), "doc_id bigint, text string")
+    assert sorted(run(docs, None)) == sorted(enumerate(expected(both, TEXTS[5:12])))
+
+
 def test_odd_rows(spark, both):
     docs = spark.createDataFrame([(None, "one text"), (3, "one text"), (3, "another text"), (4, None)], "doc_id bigint, text string")
     assert sorted(run(docs), key=str) == sorted(zip([None, 3, 3, 4], expected(both, ["one text", "one text", "another text", None]), strict=True), key=str)
