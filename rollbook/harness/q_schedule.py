@@ -55,11 +55,7 @@ def r6(*cols):
 SELECT D_location_name, count(DISTINCT D_stu_id) AS students, count(DISTINCT D_stu_id) FILTER (sf = 1) AS students_flagged, round_even(100e0 * count(DISTINCT D_stu_id) FILTER (sf = 1) / count(DISTINCT D_stu_id), 1) AS pct_students,
   count(DISTINCT D_employee_id) AS teachers, count(DISTINCT D_employee_id) FILTER (tf = 1) AS teachers_flagged, round_even(sum(w), 4) AS total_weight FROM fl_pr GROUP BY 1""")
 def _(t):
-    from ..functions.nullsafe import pct
-    return flagged(t).groupBy("D_location_name").agg(
-        F.count_distinct("D_stu_id").alias("students"), F.count_distinct(F.when(F.col("H_db_student_row") == 1, F.col("D_stu_id"))).alias("students_flagged"),
-        F.count_distinct("D_employee_id").alias("teachers"), F.count_distinct(F.when(F.col("H_db_teacher_row") == 1, F.col("D_employee_id"))).alias("teachers_flagged"),
-        F.bround(F.sum("M_class_weight_exploded"), 4).alias("total_weight")).withColumn("pct_students", pct("students_flagged", "students"))
+    return DB.flags_by_school(flagged(t))
 
 
 # --- meetings and weights ---

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.nullsafe import n_distinct, n_distinct_if, pct_known
+from ..functions.nullsafe import distinct_counts
 from ..operators import aggregates as A
 from ..operators import joins as J
 from . import views as V
@@ -20,7 +20,7 @@ def _(t):
 
 @query("a02_conditional_distinct", "tr", "SELECT D_year, count(DISTINCT D_stu_id) AS students, count(DISTINCT D_stu_id) FILTER (D_creds_earn = 0) AS failing FROM tr GROUP BY 1")
 def _(t):
-    return clean_tr(t).groupBy("D_year").agg(n_distinct("D_stu_id").alias("students"), n_distinct_if("D_stu_id", F.col("D_creds_earn") == 0).alias("failing"))
+    return distinct_counts(clean_tr(t), "D_year", "D_stu_id", {"failing": F.col("D_creds_earn") == 0}, "students")
 
 
 @query("a03_credit_rates", "tr", """

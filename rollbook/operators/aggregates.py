@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.nullsafe import (attach, col, count_where, flag, is_in, join_same, joined_values, matches, n_distinct,
                                   n_distinct_if, not_in, pct, pct_known, pct_where, ratio, sum0)
 from ..functions.text import base_course_id
+from ..sources.tables import cut_lineage
 
 
 def rows():
@@ -27,22 +29,59 @@ def share_counts(df: DataFrame, by, within=None, digits: int = 1, name: str = "n
     return counts.withColumn("pct", pct(name, "__t", digits)).drop("__t")
 
 
+def rank_values(df: DataFrame, by, columns, points) -> DataFrame:
+    """Exact interpolated quantiles: ``by`` and ``<column>_<i>`` for the i-th point, one row per group that has a value.
+
+    Values are counted, the counts are range-partitioned by group, column and value, and each partition's total gives the rank at which it starts. Only the slices that
+    hold a wanted rank are looked at again, and of them the one or two values beside it are picked. No task holds the values of a group, whatever their number; the ranges are stored, so
+    that the ranks of all partitions are of one cut.
+    """
+    by, columns, points = list(by), list(columns), list(points)
+    keys = [f"__b{i}" for i in range(len(by))]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]))
+    long = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], each.alias("__x")).select(*keys, "__x.c", "__x.v").filter("v is not null")
+    counts = long.groupBy(*keys, "c", "v").agg(rows().alias("n"))
+    cut = cut_lineage(counts.repartitionByRange(*keys, "c", "v").withColumn("part", F.spark_partition_id()))
+    parts = cut.groupBy(*keys, "c", "part").agg(F.sum("n").alias("size"))
+    # one row for each partition that a group reaches
+    before = Window.partitionBy(*keys, "c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys, "c")
+    parts = parts.withColumns({"start": F.coalesce(F.sum("size").over(before), F.lit(0)), "total": F.sum("size").over(whole)})
+    place = lambda p: F.lit(float(p)) * (F.col("total") - 1)
+    ranks = [f(place(p)).cast("bigint") for p in points for f in (F.floor, F.ceil)]
+    holds = F.exists(F.array(*ranks), lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("size")))
+    wanted = join_same(cut, parts.filter(holds), [*keys, "c", "part"], "inner")
+    inside = Window.partitionBy(*keys, "c", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = wanted.withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    at = lambda r: F.max(F.when((r >= F.col("first")) & (r < F.col("first") + F.col("n")), F.col("v")))
+    picks = [x.alias(f"{side}{i}") for i, p in enumerate(points) for side, x in (("lo", at(F.floor(place(p)))), ("hi", at(F.ceil(place(p)))))]
+    found = wanted.groupBy(*keys, "c").agg(F.first("total").alias("total"), *picks)
+    share = lambda i, p: place(p) - F.floor(place(p))
+    value = [(F.col(f"lo{i}") * (F.lit(1.0) - share(i, p)) + F.col(f"hi{i}") * share(i, p)).alias(f"q{i}") for i, p in enumerate(points)]
+    found = found.select(*keys, "c", *value)
+    wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col("c") == k, F.col(f"q{i}"))).alias(f"{c}_{i}") for k, c in enumerate(columns) for i in range(len(points))])
+    return wide.select(*[F.col(k).alias(b) for b, k in zip(by, keys, strict=True)], *[f"{c}_{i}" for c in columns for i in range(len(points))])
+
+
+def with_medians(grouped: DataFrame, df: DataFrame, by, columns: dict[str, str]) -> DataFrame:
+    """Add the exact median of each column (column -> name) to a table of one row per group. Groups without a value get null."""
+    by = list(by)
+    mid = rank_values(df, by, list(columns), [0.5]).withColumnsRenamed({f"{c}_0": name for c, name in columns.items()})
+    return join_same(grouped, mid, by) if by else grouped.join(mid, F.lit(True), "left")
+
+
 def quantiles(df: DataFrame, by, column: str, points=(0.10, 0.25, 0.50, 0.75, 0.90)) -> DataFrame:
-    """Exact interpolated quantiles, computed from value counts so that memory follows the number of
-    different values and not the rows."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(rows().alias("__n"))
-    return counts.groupBy(*by).agg(*[
-        F.percentile(F.col(column), F.lit(p), F.col("__n")).alias("p" + f"{p:.3f}"[2:].rstrip("0").ljust(2, "0")) for p in points])
+    """Exact interpolated quantiles per group."""
+    names = {f"{column}_{i}": "p" + f"{p:.3f}"[2:].rstrip("0").ljust(2, "0") for i, p in enumerate(points)}
+    return rank_values(df, by, [column], points).withColumnsRenamed(names)
 
 
 def tail_summary(df: DataFrame, column: str, above) -> DataFrame:
     """Rows, maximum, far quantiles and rows above each bound."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(rows().alias("n"))
-    v, n = F.col(column), F.col("n")
-    return counts.agg(
-        F.sum("n").alias("n_rows"), F.max(v).alias("max_value"),
-        F.bround(F.percentile(v, F.lit(0.99), n), 2).alias("p99"), F.bround(F.percentile(v, F.lit(0.999), n), 2).alias("p999"),
-        *[sum0(F.when(v > b, n)).alias(f"n_above_{b}") for b in above])
+    v = F.col(column)
+    one = df.filter(v.isNotNull()).agg(rows().alias("n_rows"), F.max(v).alias("max_value"), *[count_where(v > b).alias(f"n_above_{b}") for b in above])
+    far = rank_values(df, [], [column], [0.99, 0.999]).select(F.bround(f"{column}_0", 2).alias("p99"), F.bround(f"{column}_1", 2).alias("p999"))
+    return one.join(far, F.lit(True), "left").select("n_rows", "max_value", "p99", "p999", *[f"n_above_{b}" for b in above])
 
 
 def student_year_load(tr: DataFrame, keys=("D_stu_id", "D_year"), attempted="D_creds_possible", earned="D_creds_earn") -> DataFrame:
@@ -54,11 +93,11 @@ def student_year_load(tr: DataFrame, keys=("D_stu_id", "D_year"), attempted="D_c
 
 
 def load_by_year(load: DataFrame, year="D_year") -> DataFrame:
-    med = lambda c: F.median(F.col(c)).alias(f"median_{c}")
-    return load.groupBy(year).agg(
-        rows().alias("students"), med("courses"), med("courses_credit_bearing"), med("creds_attempted"), med("creds_earned"),
-        med("n_failed"), F.bround(F.avg("n_failed"), 2).alias("mean_failed"),
-        pct_where(F.col("creds_earned") >= F.col("creds_attempted")).alias("pct_earning_all"))
+    known = ["courses", "courses_credit_bearing", "creds_attempted", "creds_earned", "n_failed"]
+    out = load.groupBy(year).agg(rows().alias("students"), F.bround(F.avg("n_failed"), 2).alias("mean_failed"),
+                                 pct_where(F.col("creds_earned") >= F.col("creds_attempted")).alias("pct_earning_all"))
+    medians = {c: f"median_{c}" for c in known}
+    return with_medians(out, load, [year], medians).select(year, "students", *medians.values(), "mean_failed", "pct_earning_all")
 
 
 def credit_rates(tr: DataFrame, year="D_year", attempted="D_creds_possible", earned="D_creds_earn") -> DataFrame:
@@ -82,8 +121,8 @@ def excess_by_course(tr: DataFrame, by=("D_course_id", "D_course_name"), attempt
 def orphan_weight(orphan_rows: DataFrame, student="D_stu_id", year="D_year", earned="D_creds_earn") -> DataFrame:
     """Rows, students, median rows per student and credits, by year."""
     per = orphan_rows.groupBy(year, student).agg(rows().alias("n"), sum0(earned).alias("c"))
-    return per.groupBy(year).agg(F.sum("n").alias("n_rows"), rows().alias("students"),
-                                 F.median("n").alias("median_courses"), F.bround(F.sum("c"), 1).alias("creds_earned"))
+    out = per.groupBy(year).agg(F.sum("n").alias("n_rows"), rows().alias("students"), F.bround(F.sum("c"), 1).alias("creds_earned"))
+    return with_medians(out, per, [year], {"n": "median_courses"}).select(year, "n_rows", "students", "median_courses", "creds_earned")
 
 
 def term_marker_pairs(tr: DataFrame, pattern: str, marker: str, keys=("D_stu_id", "D_year"), course="D_course_id") -> DataFrame:
@@ -100,10 +139,10 @@ def marker_by_term(tr: DataFrame, pattern: str, marker: str, term="C_term", cour
 
 
 def starred_profile(tr: DataFrame, star="C_course_name_starred", term="C_term", second="Semester 2") -> DataFrame:
-    return tr.groupBy(star).agg(
+    out = tr.groupBy(star).agg(
         rows().alias("n_rows"), pct_known(F.col(term) == second).alias("pct_second_term"),
-        pct_known(F.col("D_creds_earn") == 0).alias("pct_zero_earned"), F.median("D_stu_grade").alias("median_grade"),
-        pct_where("C_creds_earn_exceeds_attempted").alias("pct_excess"))
+        pct_known(F.col("D_creds_earn") == 0).alias("pct_zero_earned"), pct_where("C_creds_earn_exceeds_attempted").alias("pct_excess"))
+    return with_medians(out, tr, [star], {"D_stu_grade": "median_grade"}).select(star, "n_rows", "pct_second_term", "pct_zero_earned", "median_grade", "pct_excess")
 
 
 def starred_variants(tr: DataFrame, course="D_course_id", name="D_course_name", star="C_course_name_starred") -> DataFrame:
@@ -200,16 +239,15 @@ def export_by_year(df: DataFrame, student="D_stu_id", year="D_year", earned="D_c
 
 
 def spells_without_courses(spells: DataFrame, min_days: int, by=("D_year",)) -> DataFrame:
-    return spells.groupBy(*by).agg(
-        rows().alias("spells"), F.median("M_days_enrolled").alias("median_days"), pct_where("C_school_in_scope").alias("pct_in_scope"),
-        pct_where(F.col("M_days_enrolled") >= min_days).alias("pct_full_year"))
+    out = spells.groupBy(*by).agg(rows().alias("spells"), pct_where("C_school_in_scope").alias("pct_in_scope"), pct_where(F.col("M_days_enrolled") >= min_days).alias("pct_full_year"))
+    return with_medians(out, spells, by, {"M_days_enrolled": "median_days"}).select(*by, "spells", "median_days", "pct_in_scope", "pct_full_year")
 
 
 def student_years_by_year(sy: DataFrame, year="D_year") -> DataFrame:
-    return sy.groupBy(year).agg(
-        rows().alias("student_years"), pct_where(F.col("n_schools") > 1).alias("pct_multischool"),
-        F.median("M_days_enrolled_year").alias("median_days"), pct_where("C_home_school_in_scope").alias("pct_in_scope"),
+    out = sy.groupBy(year).agg(
+        rows().alias("student_years"), pct_where(F.col("n_schools") > 1).alias("pct_multischool"), pct_where("C_home_school_in_scope").alias("pct_in_scope"),
         *[pct_known(F.col(f"C_stu_{f}_flag") == 1).alias(f"pct_{f}") for f in ("ell", "swd", "poverty")])
+    return with_medians(out, sy, [year], {"M_days_enrolled_year": "median_days"})
 
 
 def joined_by_year(tr: DataFrame, year="D_year", home="C_home_school_id", in_scope="C_home_school_in_scope") -> DataFrame:

@@ -202,9 +202,8 @@ class CheckLog:
     def table(self) -> DataFrame:
         return self.spark.createDataFrame(self.rows, LOG_SCHEMA)
 
-    def write(self, path: str, district: str, config: dict) -> None:
-        """The log with the run stamp, the district and a hash of the parameters."""
+    def write(self, sink, run: str, district: str, config: dict) -> dict | None:
+        """Publish the log with the run's name, the district and a hash of the parameters; a run is logged once."""
         digest = hashlib.sha256(json.dumps(config, sort_keys=True, default=str).encode()).hexdigest()[:12]
-        stamped = self.table().withColumns({
-            "run_at": F.current_timestamp(), "district": F.lit(district), "config_hash": F.lit(digest)})
-        stamped.write.mode("append").parquet(path)
+        stamped = self.table().withColumns({"run_at": F.current_timestamp(), "district": F.lit(district), "config_hash": F.lit(digest)})
+        return sink.publish(stamped, "check_log", run, config=digest)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nullsafe import attach, count_where, flag, is_in, join_same, n_distinct, not_in, pct, pct_where, sum0, top_row
+from .aggregates import with_medians
 from .joins import companion, join_checked
 from .ordered import dominant
 
@@ -82,7 +83,8 @@ def duration_ok(basis: str = "days", min_days: float = 200, min_share: float = 0
 
 
 def duration_by_year(rows: DataFrame, ok: Column) -> DataFrame:
-    return rows.groupBy(YEAR).agg(F.count(F.lit(1)).alias("students"), F.median("M_days_enrolled_year").alias("median_days"), pct_where(ok).alias("pct_meeting"))
+    out = rows.groupBy(YEAR).agg(F.count(F.lit(1)).alias("students"), pct_where(ok).alias("pct_meeting"))
+    return with_medians(out, rows, [YEAR], {"M_days_enrolled_year": "median_days"}).select(YEAR, "students", "median_days", "pct_meeting")
 
 
 def duration_sensitivity(rows: DataFrame, thresholds, rule: str, years, base: DataFrame, window_days: int = 333) -> DataFrame:

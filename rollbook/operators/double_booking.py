@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nullsafe import (attach, col, count_where, flag, flag_int, is_in, join_same, n_distinct, n_distinct_if,
+from ..functions.nullsafe import (attach, col, count_where, distinct_counts, flag, flag_int, is_in, join_same, n_distinct, n_distinct_if,
                                   paste, pct)
 from ..functions.school import SLOT, slot_class_id
 from ..sources.tables import cut_lineage
@@ -99,17 +99,35 @@ def flag_double_bookings(exploded: DataFrame, p: ScheduleParams, only_flagged: b
     return df.filter("H_class_with_db = 1") if only_flagged else df
 
 
+def people_flags(flagged: DataFrame, *by: str) -> DataFrame:
+    """One row per group, student and teacher: flagged on any row, and sums over the rows. Distinct counts start from here, so exploded rows are never repeated for them."""
+    s, t = F.col("H_db_student_row") == 1, F.col("H_db_teacher_row") == 1
+    return flagged.groupBy(*by, "D_stu_id", "D_employee_id").agg(F.max(flag_int(s)).alias("s"), F.max(flag_int(t)).alias("t"), F.count(F.lit(1)).alias("n"),
+                                                                 count_where(s).alias("rs"), count_where(t).alias("rt"), *[F.sum(c).alias("w") for c in (WEIGHT,) if c in flagged.columns])
+
+
 def flag_totals(flagged: DataFrame) -> DataFrame:
     """Students, teachers and rows flagged, as (metric, n_flagged, n_total, pct)."""
-    f = flagged.agg(
-        n_distinct("D_stu_id").alias("s"), n_distinct_if("D_stu_id", F.col("H_db_student_row") == 1).alias("sf"),
-        n_distinct("D_employee_id").alias("t"), n_distinct_if("D_employee_id", F.col("H_db_teacher_row") == 1).alias("tf"),
-        F.count(F.lit(1)).alias("n"), count_where(F.col("H_db_student_row") == 1).alias("rs"), count_where(F.col("H_db_teacher_row") == 1).alias("rt"))
+    f = people_flags(flagged).agg(
+        n_distinct("D_stu_id").alias("st"), n_distinct_if("D_stu_id", F.col("s") == 1).alias("sf"),
+        n_distinct("D_employee_id").alias("te"), n_distinct_if("D_employee_id", F.col("t") == 1).alias("tf"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "rs", "rt")])
     row = lambda name, a, b: F.struct(F.lit(name).alias("metric"), F.col(a).alias("n_flagged"), F.col(b).alias("n_total"), pct(a, b).alias("pct"))
-    return f.select(F.inline(F.array(row("students", "sf", "s"), row("teachers", "tf", "t"),
+    return f.select(F.inline(F.array(row("students", "sf", "st"), row("teachers", "tf", "te"),
                                      row("student rows", "rs", "n"), row("teacher rows", "rt", "n"))))
 
 
+def flags_by_school(flagged: DataFrame, school: str = "D_location_name") -> DataFrame:
+    """Share of known students and teachers flagged, and total weight, by school."""
+    d = people_flags(flagged, school)
+    students = distinct_counts(d.filter("D_stu_id is not null"), school, "D_stu_id", {"students_flagged": F.col("s") == 1}, "students")
+    teachers = distinct_counts(d.filter("D_employee_id is not null"), school, "D_employee_id", {"teachers_flagged": F.col("t") == 1}, "teachers")
+    weight = d.groupBy(school).agg(F.bround(F.sum("w"), 4).alias("total_weight"))
+    out = join_same(join_same(weight, students, school), teachers, school)
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("students", "students_flagged", "teachers", "teachers_flagged")]
+    return out.select(school, *counts, "total_weight").withColumn("pct_students", pct("students_flagged", "students"))
+
+
 # --- resolution ------------------------------------------------------------------
 
 TPR = ["D_stu_id", *SLOT]
@@ -118,9 +136,7 @@ TPR = ["D_stu_id", *SLOT]
 def resolve_classes(flagged: DataFrame) -> DataFrame:
     """Class stage: where every class of a student's slot is fully double-booked, split by their number."""
     d = flagged if "H_db_100p_class" in flagged.columns else attach(flagged, "C_class_id", F.min("H_db_student_row").alias("H_db_100p_class"))
-    full = F.col("H_db_100p_class") == 1
-    n, n100 = n_distinct("C_class_id"), n_distinct_if("C_class_id", full)
-    tpr = d.groupBy(*TPR).agg(n.alias("__n"), n100.alias("__n100"))
+    tpr = distinct_counts(d, TPR, "C_class_id", {"__n100": F.col("H_db_100p_class") == 1}, "__n")
     tpr = tpr.select(*TPR, (F.col("__n100") / F.col("__n")).alias("H_tpr_100p_percent"),
                      F.when((F.col("__n100") == F.col("__n")) & (F.col("__n100") > 0), F.col("__n100")).otherwise(F.lit(1)).cast("int").alias("H_student_count_of_100p_classes"))
     return join_same(d, tpr, TPR).withColumn("M_class_weight_post_class", F.col(ADJ) / F.col("H_student_count_of_100p_classes"))
@@ -242,7 +258,7 @@ def unify(resolved: DataFrame, records: DataFrame, loadoff: DataFrame | None = N
         "C_class_id": F.coalesce("C_class_id_post_teachers", "C_class_id")})
     if loadoff is not None:
         off = loadoff.filter("load_off").select("D_employee_id").distinct().withColumn("__off", F.lit(True))
-        u = join_same(u, off, "D_employee_id")
+        u = join_same(u, off, "D_employee_id", split_null=True)
     else:
         u = u.withColumn("__off", F.lit(False))
     out = F.when(is_in(load_col, ["Exclude"]) | flag("__off"), "Exclude").otherwise("Include")
@@ -290,6 +306,7 @@ def before_after(resolved: DataFrame) -> DataFrame:
         "H_db_student_row", "H_db_teacher_row")
     again = flag_people(again)
     def db(d):
+        d = people_flags(d).withColumnsRenamed({"s": "H_db_student_row", "t": "H_db_teacher_row"})
         return d.agg(n_distinct_if("D_stu_id", F.col("H_db_student_row") == 1).alias("s"), n_distinct_if("D_employee_id", F.col("H_db_teacher_row") == 1).alias("t"))
     def load(class_col):
         per = resolved.select("D_employee_id", class_col, *SLOT, WEIGHT).distinct().groupBy("D_employee_id").agg(F.sum(WEIGHT).alias("w"))

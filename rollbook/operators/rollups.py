@@ -73,7 +73,7 @@ def teacher_metrics(u: DataFrame, p: ScheduleParams) -> DataFrame:
 
 
 def add_teacher_metrics(u: DataFrame, p: ScheduleParams) -> DataFrame:
-    return join_same(u.drop("C_tch_location_name"), teacher_metrics(u, p), "D_employee_id")
+    return join_same(u.drop("C_tch_location_name"), teacher_metrics(u, p), "D_employee_id", split_null=True)
 
 
 def class_primaries(u: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def teacher_primaries(u: DataFrame) -> DataFrame:
 
 
 def add_teacher_primaries(u: DataFrame) -> DataFrame:
-    return join_same(u, teacher_primaries(u), "D_employee_id")
+    return join_same(u, teacher_primaries(u), "D_employee_id", split_null=True)
 
 
 def teacher_table(u: DataFrame, classes: DataFrame, p: ScheduleParams) -> DataFrame:
@@ -170,7 +170,7 @@ def teacher_support(u: DataFrame) -> DataFrame:
 def add_teacher_support(u: DataFrame) -> DataFrame:
     if not {"M_cls_pct_ell", "M_cls_pct_swd"} <= set(u.columns):
         return u
-    return join_same(u, teacher_support(u), "D_employee_id")
+    return join_same(u, teacher_support(u), "D_employee_id", split_null=True)
 
 
 def add_teacher_flags(u: DataFrame) -> DataFrame:
@@ -246,7 +246,7 @@ def class_rollup(u: DataFrame, teachers: DataFrame, p: ScheduleParams) -> DataFr
     base = d.groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
     t = ensure_columns(teachers, {c: TEACHER_COLUMNS.get(c, "long") for c in CLASS_FROM_TEACHER})
     one = t.groupBy("D_employee_id").agg(F.min(F.struct(*CLASS_FROM_TEACHER)).alias("f")).select("D_employee_id", "f.*")
-    return join_same(base, one, "D_employee_id")
+    return join_same(base, one, "D_employee_id", split_null=True)
 
 
 def rollup_checks(classes: DataFrame, teachers: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nullsafe import attach, count_where, flag, join_same, n_distinct, pct_known, ratio, top_row
+from .aggregates import with_medians
 from .joins import join_checked
 
 ID_YEAR = ["D_stu_id", "D_year"]
@@ -46,8 +47,9 @@ def home_share(home: DataFrame, by_school: DataFrame) -> DataFrame:
     """How much of the year is spent at the home school. One row."""
     total = by_school.groupBy(*ID_YEAR).agg(F.sum("days_at_school").alias("t"))
     s = join_same(home, total, ID_YEAR).withColumn("share", F.when(F.col("t") > 0, ratio("C_home_school_days", "t")))
-    return s.agg(F.count(F.lit(1)).alias("student_years"), F.bround(F.median("share"), 3).alias("median_share"),
-                 pct_known(F.col("share") >= 0.999).alias("pct_home_school_100"), pct_known(F.col("share") < 0.75).alias("pct_home_school_lt75"))
+    out = s.agg(F.count(F.lit(1)).alias("student_years"), pct_known(F.col("share") >= 0.999).alias("pct_home_school_100"), pct_known(F.col("share") < 0.75).alias("pct_home_school_lt75"))
+    out = with_medians(out, s, [], {"share": "median_share"})
+    return out.select("student_years", F.bround("median_share", 3).alias("median_share"), "pct_home_school_100", "pct_home_school_lt75")
 
 
 def home_spells(spells: DataFrame, home: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def roll_up(unified: DataFrame, p: M.ScheduleParams, hr: DataFrame | None = None
     people = stage(R.teacher_table(u, classes, p))
     if hr is not None:
         people = addons.apply_teacher_hr(people, hr, hr_mode)
-    u = join_same(join_same(u, classes, "C_class_id"), people, "D_employee_id")
+    u = join_same(join_same(u, classes, "C_class_id"), people, "D_employee_id", split_null=True)
     if proficiency is not None:
         u = addons.apply_course_grades(u, proficiency)
     u = stage(u)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,8 @@ from ..operators import student_year as SY
 from ..operators.checks import Check, CheckLog, unique
 from ..operators.gated import Gate, keyed, must, write_gated
 from ..operators.ordered import mobility
-from ..sources.tables import cut_lineage
+from ..sources.sinks import Sink
+from ..sources.tables import cut_lineage, prefix_order
 
 # Term markers, tried on the course id and then on the course name.
 TERM_RULES = ((r"S1\s*\*?\s*$", "Semester 1"), (r"S2\s*\*?\s*$", "Semester 2"), (r"DA\s*\*?\s*$", "Semester 1"), (r"DB\s*\*?\s*$", "Semester 2"))
@@ -253,3 +254,22 @@ def build(raw_spells: DataFrame, raw_transcript: DataFrame, coding: DataFrame, p
     return {"spells": spells, "transcript": transcript, "by_school": by_school, "home": home, "student_year": sy, "transcript_out": out,
             "criteria": criteria, "cohort": cohort, "mobility": moves, "snapshot": snap,
             "student_year_export": C.student_year_export(sy, criteria, moves, cohort, snap, p.snapshot_year)}
+
+
+# Columns of the published tables that later analyses rely on.
+CONTRACT = {
+    "transcript": {"D_stu_id": None, "D_year": None, "D_course_id": "string", "C_term": "string", "C_coding_source": "string", "C_cohort_include": "boolean", "C_stu_snapshot_include": "boolean"},
+    "student_year": {"D_stu_id": None, "D_year": None, "M_days_enrolled_year": "bigint", "C_stu_cohort": "string", "C_stu_snapshot": "string"},
+}
+
+
+def publish(built: dict[str, DataFrame], sink: Sink, run: str, district: str, p: TranscriptParams, log: CheckLog) -> dict[str, dict | None]:
+    """Output stage: the transcript and the student-years in column order, under their contracts, then the log itself. Repeating a run adds nothing."""
+    log.begin("outputs")
+    made = {}
+    for name, table in (("transcript", built["transcript_out"]), ("student_year", built["student_year_export"])):
+        kinds = {f.name: f.dataType.simpleString() for f in table.schema}
+        contract = {c: kind or kinds.get(c, "any") for c, kind in CONTRACT[name].items()}
+        made[name] = sink.publish(prefix_order(table), name, run, log, contract)
+    made["check_log"] = log.write(sink, run, district, asdict(p))
+    return made

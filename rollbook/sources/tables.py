@@ -80,19 +80,6 @@ def row_floor(df: DataFrame, name: str, min_rows: int) -> Check:
     return Check(name, df.limit(min_rows).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < min_rows))
 
 
-def write_output(df: DataFrame | None, path: str, fmt: str = "parquet", log=None) -> bool:
-    """Write a named output; an empty or absent table is skipped. Returns whether it was written."""
-    if df is None or df.isEmpty():
-        if log:
-            log.info(f"output skipped, empty: {path}", 0)
-        return False
-    df.write.mode("overwrite").format(fmt).options(**({"header": "true"} if fmt == "csv" else {})).save(path)
-    if log:
-        written = df.sparkSession.read.format(fmt).load(path)
-        log.info(f"output written: {path}", f"{written.count()} rows x {len(df.columns)} columns")
-    return True
-
-
 def coding_template(df: DataFrame, group_by, uncoded_fields) -> DataFrame:
     """Distinct course keys with every field to be coded set to a marker."""
     return df.select(*group_by).distinct().withColumns({f: F.lit("UNCODED") for f in uncoded_fields})
@@ -112,6 +99,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
 
 
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder beside the stored tables, for files that every executor can read."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it back; ``compression`` names a codec other than the session's.
 
