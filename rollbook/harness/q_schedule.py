@@ -396,7 +396,12 @@ def _(t):
     return R.class_fields(unified(t)).select("C_class_id", "C_cls_course_credit_type")
 
 
-@query("x22_collapsed_course_names")
+@query("x22_collapsed_course_names", "un_pr name_ends", r"""
+SELECT ids.C_class_id, label AS C_cls_course_name FROM (SELECT DISTINCT C_class_id FROM un_pr) ids LEFT JOIN (
+  SELECT C_class_id, trim(concat_ws(' ', array_to_string(f[:n], ' '), told)) AS label FROM (
+    SELECT C_class_id, f, n, string_agg(rest, ' / ' ORDER BY nat, rest) FILTER (rest <> '') AS told FROM (
+      SELECT *, array_to_string(list_transform(regexp_extract_all(rest, '\d+|\D+'), lambda x: CASE WHEN regexp_matches(x, '^\d') THEN lpad(length(ltrim(x, '0'))::VARCHAR, 10, '0') || ltrim(x, '0') ELSE x END), '') AS nat
+      FROM name_ends) GROUP BY ALL)) USING (C_class_id)""")
 def _(t):
     return R.class_fields(unified(t)).select("C_class_id", "C_cls_course_name")
 

@@ -390,6 +390,14 @@ SELECT *, CASE WHEN C_class_size_exclude = 'Exclude' OR D_employee_id IN (SELECT
 _weighed("pr", "D_period D_rotation", "D_location_id || '_' || D_term || '_' || D_period || '_' || D_course_section_id")
 _weighed("ex", "D_expression", "D_location_id || '_' || D_term || '_' || D_expression || '_' || D_course_section_id")
 
+# names of a class: those that are no whole-word part of another, the words they all begin with, and what follows
+cte("class_names", "un_pr", r"SELECT DISTINCT C_class_id, trim(regexp_replace(C_course_name, '\s+', ' ', 'g')) AS nm FROM un_pr WHERE trim(C_course_name) <> ''")
+cte("kept_names", "class_names", """
+SELECT *, string_split(nm, ' ') AS w FROM class_names a WHERE NOT EXISTS (SELECT 1 FROM class_names b WHERE b.C_class_id = a.C_class_id AND b.nm <> a.nm AND contains(' ' || b.nm || ' ', ' ' || a.nm || ' '))""")
+cte("name_ends", "kept_names", """
+SELECT k.C_class_id, f, n, array_to_string(w[n + 1:], ' ') AS rest FROM kept_names k JOIN (
+  SELECT *, coalesce(list_min(list_filter(range(1, least(len(f), len(l)) + 1), lambda i: f[i] <> l[i])) - 1, least(len(f), len(l))) AS n FROM (SELECT C_class_id, min(w) AS f, max(w) AS l FROM kept_names GROUP BY 1)) e USING (C_class_id)""")
+
 cte("roster", "", """
 SELECT DISTINCT 'S' || c_nationkey AS D_location_name, (l_partkey % 200) || '-' || year(l_shipdate) AS C_class_id, o_custkey::VARCHAR AS D_stu_id, p_type AS C_course_subject,
   p_name AS C_course_name, c_mktsegment AS C_inferred_cohort FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey""")

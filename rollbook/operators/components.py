@@ -1,4 +1,4 @@
-"""Connected components of a bipartite membership table."""
+"""Connected components of a bipartite membership table, by contraction."""
 
 from __future__ import annotations
 
@@ -9,27 +9,39 @@ from ..functions.nullsafe import join_same
 from ..sources.tables import cut_lineage
 
 
+def _linking(edges: DataFrame) -> DataFrame:
+    """The rows of groups that hold more than one node; the others link nothing."""
+    return edges.join(edges.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g"), "g", "left_semi")
+
+
+def _contract(edges: DataFrame, turn: int) -> DataFrame:
+    """``n, to``: every node of the edges and the node that it becomes: the first in this turn's hashed order among those it shares a group with, and then that one's first."""
+    order = F.struct(F.xxhash64("n", F.lit(turn)).alias("h"), F.col("n").alias("to"))
+    via = edges.groupBy("g").agg(F.min(order).alias("via"))
+    near = edges.join(via, "g").groupBy("n").agg(F.min("via").getField("to").alias("to"))
+    return near.join(near.select(F.col("n").alias("to"), F.col("to").alias("further")), "to").select("n", F.col("further").alias("to"))
+
+
 def connected_components(members: DataFrame, node: str, group: str, out: str = "component") -> DataFrame:
     """Nodes that share a group, directly or through a chain, get the smallest node id of the chain.
 
-    Each round sends the smallest label through the groups and then jumps to the label's own label,
-    so the number of rounds grows with the logarithm of the longest chain. Every step is a minimum per
-    key (combined before the shuffle); rounds are cut by reliable checkpoints. Groups with one node
-    link nothing and are left out of the rounds.
+    Each round merges nodes into neighbours and keeps only what still links different nodes: equal rows fall together, and a component that has become one node
+    leaves the table with its groups. The hashed order shrinks chains and stars alike by a constant factor, so the rounds grow with the logarithm of the
+    longest chain while what they read and write falls. The merges of each round are stored once and put together backwards, from the smallest table to the largest.
+    Every step is a minimum per key, combined before the shuffle.
     """
     members = members.select(F.col(node).alias("n"), F.col(group).alias("g")).distinct()
-    linking = members.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
-    edges = cut_lineage(members.join(linking, "g", "left_semi"))
-    labels = edges.groupBy("n").agg(F.min("n").alias("label"))
-    while True:
-        at = edges.join(labels, "n")
-        via = at.groupBy("g").agg(F.min("label").alias("via"))
-        near = at.join(via, "g").groupBy("n").agg(F.min("via").alias("near"), F.min("label").alias("old"))
-        jump = labels.select(F.col("n").alias("near"), F.col("label").alias("further"))
-        step = near.join(jump, "near", "left").select("n", F.least("near", "further").alias("label"), "old")
-        step = cut_lineage(step)
-        labels = step.select("n", "label")
-        if step.filter("label <> old").isEmpty():
-            break
-    nodes = members.select("n").distinct().join(labels, "n", "left")
+    edges, merges = cut_lineage(_linking(members)), []
+    while not edges.isEmpty():
+        merges.append(cut_lineage(_contract(edges, len(merges))))
+        edges = cut_lineage(_linking(edges.join(merges[-1], "n").select(F.col("to").alias("n"), "g").distinct()))
+    nodes = members.select("n").distinct()
+    if not merges:
+        return nodes.select(F.col("n").alias(node), F.col("n").alias(out))
+    ends = merges[-1]
+    for step in reversed(merges[:-1]):  # a node that left after this step is its own end
+        ends = step.join(ends.select(F.col("n").alias("to"), F.col("to").alias("end")), "to", "left").select("n", F.coalesce("end", "to").alias("to"))
+    ends = cut_lineage(ends)
+    named = ends.join(ends.groupBy("to").agg(F.min("n").alias("label")), "to").select("n", "label")
+    nodes = join_same(nodes, named, "n")
     return nodes.select(F.col("n").alias(node), F.coalesce("label", "n").alias(out))

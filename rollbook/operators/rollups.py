@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.nullsafe import attach, col, count_where, flag, is_in, join_same, joined_values, n_distinct, n_distinct_if, not_in, nulls_last, paste, ratio
 from ..functions.ranges import bucketize
 from ..functions.school import share_bucket
-from ..functions.text import collapse_names
+from .names import collapse_names
 from ..sources.tables import cut_lineage, ensure_columns
 from .meetings import PERIOD, ROTATION, ScheduleParams, meeting_minutes
 from .ordered import dominant
@@ -91,8 +91,7 @@ def add_class_primaries(u: DataFrame) -> DataFrame:
 
 def class_fields(u: DataFrame) -> DataFrame:
     """Collapsed course name and most common credit type (then by priority) per class."""
-    names = collapse_names(u.select("C_class_id", "C_course_name").distinct().groupBy("C_class_id").agg(
-        F.collect_list("C_course_name").alias("names")), "names", "C_cls_course_name")
+    names = collapse_names(u, "C_class_id", "C_course_name", "C_cls_course_name")
     rank = F.lit(len(CREDIT_PRIORITY))
     for i, c in reversed(list(enumerate(CREDIT_PRIORITY))):
         rank = F.when(F.col("C_course_credit_type") == c, F.lit(i)).otherwise(rank)
