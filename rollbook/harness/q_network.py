@@ -37,9 +37,26 @@ def _(t):
     return N.student_pairs(N.class_roster(V.roster(t)), block=2).groupBy("D_location_name", "M_shared_classes").agg(F.count(F.lit(1)).alias("n"))
 
 
+def communities(t):
+    return t.stored("communities", lambda: N.infer_communities(N.class_roster(V.roster(t))))
+
+
 @query("n03_infer_cohorts")
 def _(t):
-    return N.infer_cohorts(N.class_roster(V.roster(t)))
+    return N.label_cohorts(communities(t), N.class_roster(V.roster(t)))
+
+
+@query("n03_invariants", "cr", """
+SELECT D_location_name, count(DISTINCT D_stu_id) AS n_students, 0::BIGINT AS n_not_one_label, 0::BIGINT AS n_labels_elsewhere, true AS modularity_as_stated, true AS at_least_components FROM cr GROUP BY 1""")
+def _(t):
+    return N.partition_checks(N.class_roster(V.roster(t)), communities(t))
+
+
+@query("n03_cohort_sizes", "cr", "SELECT D_location_name, count(DISTINCT D_stu_id) AS n_students, count(DISTINCT (C_class_id, D_stu_id)) AS n_class_places FROM cr GROUP BY 1")
+def _(t):
+    d = N.label_cohorts(communities(t), N.class_roster(V.roster(t)))
+    sizes = d.groupBy("D_location_name").agg(F.sum("M_stu_num_ninth_cohort_classes").alias("n_class_places"))
+    return N.cohort_summary(d).groupBy("D_location_name").agg(F.sum("M_inferred_cohort_size").alias("n_students")).join(sizes, "D_location_name")
 
 
 @query("n04_cohort_summary", "cr", """
