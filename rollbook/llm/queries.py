@@ -139,4 +139,10 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_quality_rules, op3_chat_formatting, op4_quality_classifier, op5_license_scans, op6_benchmark_decontamination, op7_byte_level_bpe, op8_secret_scans, op9_token_id_shards, op10_suffix_array_dedup, op11_cross_tokenizer_alignment, op12_hash_prefix_forest, op13_periodic_runs)}
-SQL: dict[str, str] = {}
+SQL = {"op3_chat_formatting": r"""
+WITH m AS (SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+e AS (SELECT *, replace(replace(replace(text, '\', '\b'), '<', '\l'), '#', '\h') AS body, replace(replace(replace(replace(role, '\', '\b'), '<', '\l'), '#', '\h'), ':', '\c') AS head FROM m)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<turn>### ') + length(head) + length(': ') + length(body) + length('</turn>' || chr(10)))::BIGINT AS formatted_chars FROM e GROUP BY conv_id"""}
