@@ -136,12 +136,10 @@ SELECT c AS "column", ty AS type, count(DISTINCT v) AS n_distinct, count(*) FILT
   CASE WHEN count(*) FILTER (v IS NOT NULL AND try_cast(v AS DOUBLE) IS NULL) = 0 THEN min(try_cast(v AS DOUBLE))::VARCHAR END AS "min",
   CASE WHEN count(*) FILTER (v IS NOT NULL AND try_cast(v AS DOUBLE) IS NULL) = 0 THEN max(try_cast(v AS DOUBLE))::VARCHAR END AS "max",
   CASE WHEN count(DISTINCT v) <= 12 THEN string_agg(DISTINCT v, ', ' ORDER BY v) ELSE array_to_string(list_slice(list_sort(list(DISTINCT v)), 1, 6), ', ') || ', ...' END AS "values"
-FROM (SELECT 'D_year' AS c, 'int' AS ty, D_year::VARCHAR AS v FROM tr_raw
-UNION ALL SELECT 'D_course_name', 'string', CASE WHEN trim(D_course_name) IN ('', 'NA', 'MISSING', 'NULL') THEN NULL ELSE D_course_name END FROM tr_raw
-UNION ALL SELECT 'D_course_id', 'string', D_course_id FROM tr_raw
-UNION ALL SELECT 'D_creds_earn', 'double', D_creds_earn::VARCHAR FROM tr_raw) GROUP BY 1, 2""")
+FROM (""" + " UNION ALL ".join(f"SELECT '{c}' AS c, '{ty}' AS ty, " + (f"CASE WHEN trim({c}) IN ('', 'NA', 'MISSING', 'NULL') THEN NULL ELSE {c} END" if ty == "string" else f"{c}::VARCHAR") + " AS v FROM tr_raw" for c, ty in {
+    "D_stu_id": "bigint", "D_year": "int", "D_course_id": "string", "D_course_name": "string", "D_stu_grade_level_transcript": "int", "D_stu_grade": "double", "D_creds_earn": "double", "D_creds_possible": "double"}.items()) + ") GROUP BY 1, 2")
 def _(t):
-    return P.profile_columns(V.tr_raw(t).select("D_year", "D_course_name", "D_course_id", "D_creds_earn"))
+    return P.profile_columns(V.tr_raw(t))
 
 
 @query("q12_value_counts", "cs", "SELECT D_employee_id, count(*) AS n FROM cs GROUP BY 1 ORDER BY 1 NULLS LAST LIMIT 25")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nullsafe import join_same
@@ -241,9 +244,13 @@ def _(t):
     return O.set_difference(clean_tr(t), clean_sp(t), ["D_stu_id", "D_year"])
 
 
-@query("u04_intersect_ids", "tr sp", "SELECT D_stu_id FROM (SELECT D_stu_id FROM tr WHERE D_year = 1996 INTERSECT SELECT D_stu_id FROM sp WHERE D_year = 1999)")
+@query("u04_intersect_ids", "tr sp", "SELECT a.D_year, b.D_year AS later_year, D_stu_id FROM (SELECT DISTINCT D_year, D_stu_id FROM tr) a JOIN (SELECT DISTINCT D_year, D_stu_id FROM sp) b USING (D_stu_id) WHERE b.D_year = a.D_year + 1")
 def _(t):
-    return O.keep_ids(clean_tr(t).filter("D_year = 1996"), clean_sp(t).filter("D_year = 1999"), "D_stu_id")
+    """Students of each transcript year who are enrolled in the next one."""
+    tr, sp = clean_tr(t), clean_sp(t)
+    years = range(min(V.YEARS) - 1, max(V.YEARS) + 2)
+    one = lambda y: O.keep_ids(tr.filter(F.col("D_year") == y), sp.filter(F.col("D_year") == y + 1), "D_stu_id").select(F.lit(y).alias("D_year"), F.lit(y + 1).alias("later_year"), "D_stu_id")
+    return reduce(DataFrame.unionByName, map(one, years))
 
 
 @query("u05_same_years", "tr sp", """
