@@ -5,7 +5,7 @@ over all texts looks for the keywords of all rules at once; only texts with a ke
 tried. Every detection has the rule's priority. A detection inside a longer one of at least its priority is suppressed, and of detections over the same words only the one of
 the highest priority (then the first rule) stays. Base phrases are counted at every place and always stay.
 
-Cases: a null or empty text has no words and no detections; repeated rows are scanned each; null ids are carried; an empty table gives an empty
+Cases: the work grows with a very long text's size and its places' number, not with their squares; a null or empty text has no words and no detections; repeated rows are scanned each; null ids are carried; an empty table gives an empty
 table; the result has the columns named in ``keep`` and no other column of the input, so none can clash.
 """
 
@@ -17,7 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, match_spans
+from .common import let, lower_ascii, running_sums
 
 #: What stands between words: ASCII but letters and digits.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -150,16 +150,56 @@ def plain(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), GAP, " ")), F.lit(" "))
 
 
-def _bounded(pattern: str | Column) -> Column:
+def _bounded(pattern: str) -> str:
     """Whole words: the blank before a match is outside, the one behind it is not taken."""
-    return F.concat(F.lit("(?<= )(?:"), pattern if isinstance(pattern, Column) else F.lit(pattern), F.lit(")(?= )"))
+    return f"(?<= )(?:{pattern})(?= )"
 
 
-def _places(form: Column, pattern: str | Column) -> Column:
-    """array<struct<first, last>>: first and last word of each match."""
-    blanks = lambda s: (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))).cast("bigint")
-    return F.transform(match_spans(form, _bounded(pattern)), lambda m: F.struct((blanks(F.substr(form, F.lit(1), m["start"].cast("int"))) - 1).alias("first"),
-                                                                      (blanks(F.substr(form, F.lit(1), m["start"].cast("int"))) - 1 + blanks(m["hit"])).alias("last")))
+def _blanks(s: Column) -> Column:
+    return (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))).cast("bigint")
+
+
+def _places(form: Column, pattern: Column) -> Column:
+    """array<struct<first, last>>: first and last word of each match of a bounded pattern. Words are counted in the text between matches, so the work grows with the text and not with its square."""
+    def places(hits: Column, gaps: Column) -> Column:
+        blanks = F.zip_with(gaps, hits, lambda g, h: F.struct(_blanks(g).alias("before"), F.coalesce(_blanks(h), F.lit(0).cast("bigint")).alias("inside")))
+        return let(blanks, lambda b: let(running_sums(F.transform(b, lambda x: x["before"] + x["inside"])), lambda earlier: F.zip_with(
+            F.slice(b, 1, F.size(hits)), F.slice(earlier, 1, F.size(hits)),
+            lambda x, e: F.struct((e + x["before"] - 1).alias("first"), (e + x["before"] + x["inside"] - 1).alias("last")))))
+
+    return let(F.regexp_extract_all(form, pattern, F.lit(0)), lambda hits: let(F.split(form, pattern, -1), lambda gaps: places(hits, gaps)))
+
+
+_DETECTIONS = "array<struct<first:bigint,last:bigint,label:string,priority:int,number:int>>"
+#: What a place found by a rule is; in this order of fields a place comes after all that can suppress it (``back`` and ``rank`` are the last word and the priority, negative).
+_PLACE = "struct<first:bigint,back:bigint,rank:int,number:int,label:string>"
+PRIORITIES = (10, 15, 20, 30, 40)
+
+
+def _suppressed(places: Column, chunk: int = 128) -> Column:
+    """The places that no earlier one of at least their priority contains, given in the order of ``_PLACE``. One fold: how far the places of each priority and above reach so far.
+    Places are taken in chunks, so a step copies at most ``chunk`` of them."""
+    reach = lambda z, p: z[f"to{p}"]
+    none = F.array().cast(f"array<{_PLACE}>")
+
+    def step(z: Column, x: Column) -> Column:
+        last = -x["back"]
+        covered = F.coalesce(*[F.when(-x["rank"] == p, reach(z, p) >= last) for p in PRIORITIES], F.lit(False))
+        return F.struct(*[F.when(-x["rank"] >= p, F.greatest(reach(z, p), last)).otherwise(reach(z, p)).alias(f"to{p}") for p in PRIORITIES],
+                        F.when(covered, z["kept"]).otherwise(F.concat(z["kept"], F.array(x))).alias("kept"))
+
+    start = lambda z: F.struct(*[reach(z, p).alias(f"to{p}") for p in PRIORITIES], none.alias("kept"))
+    add = lambda z, c: let(F.aggregate(c, start(z), step), lambda y: F.struct(
+        *[reach(y, p).alias(f"to{p}") for p in PRIORITIES], F.concat(z["all"], F.array(y["kept"])).alias("all")))
+    n = F.size(places)
+    chunks = F.when(n > 0, F.transform(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("int")), lambda i: F.slice(places, i * chunk + 1, chunk))).otherwise(
+        F.array().cast(f"array<array<{_PLACE}>>"))
+    first = F.struct(*[F.lit(-1).cast("bigint").alias(f"to{p}") for p in PRIORITIES], F.array().cast(f"array<array<{_PLACE}>>").alias("all"))
+    return F.flatten(F.aggregate(chunks, first, add)["all"])
+
+
+def _literal(value, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
 
 def scan(docs: DataFrame, text: str = "text", keep=("doc_id",)) -> DataFrame:
@@ -167,21 +207,32 @@ def scan(docs: DataFrame, text: str = "text", keep=("doc_id",)) -> DataFrame:
     table = rules()
     gate = _any_of([r["keyword"] for r in table if not r["hint"]] + HINTS)
     form = docs.select(*keep, plain(F.col(text)).alias("_form"))
-    form = form.withColumn("_gated", F.when(F.col("_form").rlike(gate), F.col("_form"))).withColumn("_hinted", F.coalesce(F.col("_gated").rlike(_any_of(HINTS)), F.lit(False)))
     n_words = F.when(F.col("_form") == "  ", F.lit(0)).otherwise(F.length("_form") - F.length(F.replace("_form", F.lit(" "), F.lit(""))) - 1).cast("bigint")
-    none = F.array().cast("array<struct<first:bigint,last:bigint,label:string,priority:int,number:int>>")
-    base = F.flatten(F.array(*[F.when(F.col("_gated").contains(f" {p} "), F.transform(_places(F.col("_gated"), p), lambda m: F.struct(
-        m["first"].alias("first"), m["last"].alias("last"), F.lit(label).alias("label"), F.lit(50).alias("priority"), F.lit(-1).alias("number")))).otherwise(none) for p, label in BASE.items()]))
-    rows = F.from_json(F.lit(json.dumps(table)), "array<struct<label:string,pattern:string,priority:int,keyword:string,number:int,hint:boolean>>")
-    tried = F.filter(rows, lambda r: (F.col("_hinted") | ~r["hint"]) & F.col("_gated").contains(F.concat(F.lit(" "), r["keyword"], F.lit(" "))) & F.regexp_like(F.col("_gated"), _bounded(r["pattern"])))
-    hits = F.flatten(F.transform(tried, lambda r: F.transform(_places(F.col("_gated"), r["pattern"]), lambda m: F.struct(
-        m["first"].alias("first"), m["last"].alias("last"), r["label"].alias("label"), r["priority"].alias("priority"), r["number"].alias("number")))))
-    found = form.select(*keep, n_words.alias("n_words"), F.when(F.col("_gated").isNotNull(), base).otherwise(none).alias("base"),
-                        F.when(F.col("_gated").isNotNull(), F.array_distinct(hits)).otherwise(none).alias("_hits"))
-    beats = lambda y, x: (y["first"] <= x["first"]) & (y["last"] >= x["last"]) & F.when((y["first"] == x["first"]) & (y["last"] == x["last"]),
-                          (y["priority"] > x["priority"]) | ((y["priority"] == x["priority"]) & (y["number"] < x["number"]))).otherwise(y["priority"] >= x["priority"])
-    kept = F.filter("_hits", lambda x: ~F.exists("_hits", lambda y: beats(y, x)))
-    found = found.withColumn("detections", F.sort_array(F.concat("base", kept))).withColumn("base", F.sort_array("base"))
-    # how much of the text the detections name, and how sure the surest is
-    sure = F.coalesce(F.array_max(F.transform("detections", lambda d: d["priority"])), F.lit(0)) / 50
-    return found.select(*keep, "n_words", "base", "detections", F.least(F.lit(1.0), sure.cast("double")).alias("score"))
+    gated = form.select(*keep, n_words.alias("n_words"), F.when(F.col("_form").rlike(gate), F.col("_form")).alias("_gated"))
+
+    # each keyword with its rules, so that a text is searched for it once
+    by: dict[str, list[int]] = {}
+    for r in table:
+        by.setdefault(r["keyword"], []).append(r["number"])
+    one = {r["number"]: r for r in table}
+    keywords = _literal([dict(word=f" {k} ", hint=all(one[n]["hint"] for n in ns), numbers=ns) for k, ns in by.items()], "array<struct<word:string,hint:boolean,numbers:array<int>>>")
+    listed = _literal([dict(label=one[n]["label"], pattern=_bounded(one[n]['pattern']), priority=one[n]["priority"], hint=one[n]["hint"]) for n in range(len(one))],
+                      "array<struct<label:string,pattern:string,priority:int,hint:boolean>>")
+
+    def found_in(t: Column, hinted: Column) -> Column:
+        of_label = lambda places, label: F.transform(places, lambda m: F.struct(
+            m["first"].alias("first"), m["last"].alias("last"), F.lit(label).alias("label"), F.lit(50).alias("priority"), F.lit(-1).alias("number")))
+        base = F.flatten(F.array(*[F.when(t.contains(f" {p} "), of_label(_places(t, F.lit(_bounded(p))), label)).otherwise(F.array().cast(_DETECTIONS)) for p, label in BASE.items()]))
+        numbers = F.array_distinct(F.flatten(F.transform(F.filter(keywords, lambda k: (hinted | ~k["hint"]) & t.contains(k["word"])), lambda k: k["numbers"])))
+        here = lambda n: let(F.get(listed, n), lambda r: F.when((hinted | ~r["hint"]) & F.regexp_like(t, r["pattern"]), F.transform(_places(t, r["pattern"]), lambda m: F.struct(
+            m["first"].alias("first"), (-m["last"]).alias("back"), (-r["priority"]).alias("rank"), n.alias("number"), r["label"].alias("label")))).otherwise(F.array().cast(f"array<{_PLACE}>")))
+        kept = let(F.sort_array(F.flatten(F.transform(numbers, here))), lambda places: _suppressed(places))
+        kept = F.transform(kept, lambda x: F.struct(x["first"].alias("first"), (-x["back"]).alias("last"), x["label"].alias("label"), (-x["rank"]).alias("priority"), x["number"].alias("number")))
+        return let(F.sort_array(base), lambda b: F.struct(b.alias("base"), F.sort_array(F.concat(b, kept)).alias("detections")))
+
+    nothing = F.struct(F.array().cast(_DETECTIONS).alias("base"), F.array().cast(_DETECTIONS).alias("detections"))
+    text_of = F.col("_gated")
+    found = gated.select(*keep, "n_words", F.when(text_of.isNotNull(), let(text_of.rlike(_any_of(HINTS)), lambda hinted: found_in(text_of, hinted))).otherwise(nothing).alias("_found"))
+    # how sure the surest detection is
+    sure = F.coalesce(F.array_max(F.transform("_found.detections", lambda d: d["priority"])), F.lit(0)) / 50
+    return found.select(*keep, "n_words", "_found.base", "_found.detections", F.least(F.lit(1.0), sure.cast("double")).alias("score"))
