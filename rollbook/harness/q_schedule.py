@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -196,6 +198,23 @@ def _(t):
     return M.conflicting(M.conflict_keys(d, V.PR), "D_stu_id")
 
 
+_SIZING = ({"col": "D_period", "op": "in", "val": ["MISC", "2"]}, {"col": "D_rotation", "op": "eq", "val": "A"}, {"col": "D_absent", "op": "eq", "val": "x"})
+_KEPT = {"all rows": "TRUE", "without D_period in MISC, 2": "D_period NOT IN ('MISC', '2')", "without D_rotation eq A": "D_rotation <> 'A'", "without D_absent eq x": "TRUE",
+         "without any": "D_period NOT IN ('MISC', '2') AND D_rotation <> 'A'"}
+
+
+@query("m17_conflict_sizes", "csx mt_pr terms", """
+SELECT * FROM (WITH k AS (SELECT csx.*, D_location_id || '_' || csx.D_term || '_' || D_period || '_' || D_course_section_id AS cls, per || '@' || rot || '|' || slot AS ck
+  FROM csx LEFT JOIN mt_pr USING (D_period, D_rotation) LEFT JOIN terms USING (D_term)),
+e AS (SELECT 'D_stu_id' AS entity, D_stu_id::VARCHAR AS e, * FROM k UNION ALL SELECT 'D_employee_id', coalesce(D_employee_id::VARCHAR, 'none'), * FROM k),
+""" + ", ".join(f"s{i} AS (SELECT entity, e, ck, count(DISTINCT cls) AS n FROM e WHERE {rule} GROUP BY ALL)" for i, rule in enumerate(_KEPT.values())) + "\n" + " UNION ALL ".join(
+    f"SELECT entity, '{name}' AS scenario, count(DISTINCT e) AS n_entities, count(DISTINCT e) FILTER (ck IS NOT NULL AND n > 1) AS n_double_booked, 100e0 * count(DISTINCT e) FILTER (ck IS NOT NULL AND n > 1) / count(DISTINCT e) AS pct_double_booked FROM s{i} GROUP BY 1"
+    for i, name in enumerate(_KEPT)) + ")")
+def _(t):
+    d = V.csx(t)
+    return M.conflict_sizes(d.withColumn("C_class_id", class_id(d.columns, V.PR.recipe)), replace(V.PR, sizing_filters=_SIZING))
+
+
 # --- resolution ---
 
 @query("m18_consolidate_periods", "mp_pr", "SELECT sec AS C_class_id_original, comp AS component, n_sections, expr AS merged_expr, cons AS C_class_id_consolidated, coalesce(cons, sec) AS C_class_id_resolved, cons IS NOT NULL AS is_consolidated FROM mp_pr")
