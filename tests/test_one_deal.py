@@ -103,3 +103,25 @@ def test_unified_rows_keep_text_ids(spark):
     assert {x[0] for x in out["unified"].select(M.ROW_ID).collect()} == ids
     note = dict(w.select(M.ROW_ID, "D_note").collect())
     assert all(note[a] == b for a, b in out["unified"].select(M.ROW_ID, "D_note").collect())
+
+
+def test_records_are_dealt_as_meetings(spark, plain_plans):  # noqa: F811
+    """Flags of unexploded records are those of exploded ones; one exchange, the term slots after it, in a number of parts that Spark does not join."""
+    w = S.weigh(spark.createDataFrame(records(5), COLUMNS), V.PR).drop("C_class_id").localCheckpoint()
+    cols = [M.ROW_ID, *DB.SLOT, "C_class_id", "C_class_id_original", DB.WEIGHT, DB.ADJ, "H_db_student_row", "H_db_teacher_row", "H_class_with_db", "H_db_100p_class"]
+    got = DB.flag_records(w, V.PR).select(*cols)
+    want = DB.flag_double_bookings(M.explode_records(w, V.PR, new_id=False), V.PR).select(*cols)
+    assert got.count() > 0 and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    plan = physical(DB.flag_records(w, V.PR))
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    assert M.TERM not in plan[plan.index("Exchange"):]
+
+
+@pytest.mark.parametrize("expands, same", [
+    ({"S1": ["Q1", "Q2"], "S2": ["Q3", "Q4"], "FY": ["Q1", "Q2", "Q3", "Q4"]}, [{"S1", "S2", "FY"}]),
+    ({"S1": ["Q1"], "S2": ["Q3"], "M": ["NA", "Q3"]}, [{"S1"}, {"S2", "M", "odd", None}])])
+def test_terms_that_share_slots_stay_together(spark, expands, same):
+    p = replace(V.PR, term_weights=dict.fromkeys(expands, 1.0), term_expands=expands)
+    names = [*expands, *({n for g in same for n in g} - set(expands))]
+    got = {r.D_term: r.g for r in spark.createDataFrame([(n,) for n in names], "D_term string").select("D_term", M.term_group(p).alias("g")).collect()}
+    assert [{n for n in got if got[n] == got[next(iter(g))]} for g in same] == same
