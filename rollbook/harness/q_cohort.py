@@ -11,7 +11,7 @@ from ..operators import ordered as O
 from ..operators import student_year as SY
 from ..plans import transcript as T
 from . import views as V
-from .q_checks import clean_sp, clean_tr
+from .q_checks import clean_sp, clean_tr, read_tr
 from .registry import query
 
 
@@ -106,7 +106,7 @@ def _(t):
 SELECT tr.D_year, count(*) AS n_rows, round_even(100e0 * count(C_home_school_id) / count(*), 2) AS pct_with_school,
   round_even(100e0 * count(*) FILTER (C_home_school_in_scope) / count(C_home_school_in_scope), 1) AS pct_in_scope FROM tr LEFT JOIN sy USING (D_stu_id, D_year) GROUP BY 1""")
 def _(t):
-    return A.joined_by_year(J.join_checked(clean_tr(t), student_year(t), ["D_stu_id", "D_year"]))
+    return A.joined_by_year(J.join_checked(read_tr(t).select("D_stu_id", "D_year"), student_year(t).select("D_stu_id", "D_year", "C_home_school_id", "C_home_school_in_scope"), ["D_stu_id", "D_year"]))
 
 
 @query("w02_mobility", "mob", "SELECT * FROM mob")
@@ -219,7 +219,7 @@ def _(t):
 
 @query("c14_snapshot_selection", "snap", "SELECT * FROM snap")
 def _(t):
-    return C.snapshot_table(student_year(t), clean_tr(t), 1998, [9, 10, 11, 12], "days", 60)
+    return C.snapshot_table(student_year(t), read_tr(t), 1998, [9, 10, 11, 12], "days", 60)
 
 
 @query("c14_snapshot_by_credits", "sy tr", """

@@ -13,7 +13,7 @@ from ..operators import joins as J
 from ..operators import ordered as O
 from ..plans import transcript as T
 from . import views as V
-from .q_checks import clean_sp, clean_tr
+from .q_checks import clean_sp, clean_tr, read_sp, read_tr
 from .registry import query
 
 
@@ -241,7 +241,7 @@ def _(t):
 @query("u03_set_difference", "tr sp", """
 SELECT D_stu_id, D_year, 'left' AS side FROM (SELECT D_stu_id, D_year FROM tr EXCEPT SELECT D_stu_id, D_year FROM sp) UNION ALL SELECT D_stu_id, D_year, 'right' FROM (SELECT D_stu_id, D_year FROM sp EXCEPT SELECT D_stu_id, D_year FROM tr)""")
 def _(t):
-    return O.set_difference(clean_tr(t), clean_sp(t), ["D_stu_id", "D_year"])
+    return O.set_difference(read_tr(t), read_sp(t), ["D_stu_id", "D_year"])
 
 
 @query("u04_intersect_ids", "tr sp", "SELECT a.D_year, b.D_year AS later_year, D_stu_id FROM (SELECT DISTINCT D_year, D_stu_id FROM tr) a JOIN (SELECT DISTINCT D_year, D_stu_id FROM sp) b USING (D_stu_id) WHERE b.D_year = a.D_year + 1")
