@@ -125,3 +125,19 @@ def test_terms_that_share_slots_stay_together(spark, expands, same):
     names = [*expands, *({n for g in same for n in g} - set(expands))]
     got = {r.D_term: r.g for r in spark.createDataFrame([(n,) for n in names], "D_term string").select("D_term", M.term_group(p).alias("g")).collect()}
     assert [{n for n in got if got[n] == got[next(iter(g))]} for g in same] == same
+
+
+def test_load_off_is_marked_on_records(spark, plain_plans):  # noqa: F811
+    """Same rows as when it is joined to the unified rows, which are wider and more; the resolved rows are dealt in a fixed number of parts."""
+    w = S.weigh(spark.createDataFrame(records(6, 120), COLUMNS), V.PR).localCheckpoint()
+    out = S.resolve(w, V.PR)
+    off = spark.createDataFrame([(7, True), (7, True), (8, False)], "D_employee_id int, load_off boolean")
+    made = out["resolved"].drop(*[c for c in out["resolved"].columns if c in w.columns and c not in (M.ROW_ID, "C_class_id")]).localCheckpoint()
+    late, early = DB.unify(made.join(w.select(M.ROW_ID, "D_employee_id"), M.ROW_ID), w, off), DB.unify(made, w, off)
+    cols = sorted(early.columns)
+    assert sorted(late.columns) == cols and sorted(map(repr, early.select(cols).collect())) == sorted(map(repr, late.select(cols).collect()))
+    assert {r.D_employee_id for r in early.filter("C_teacher_load_exclude = 'Exclude' and C_class_size_exclude = 'Include'").collect()} == {7}
+    dealt = physical(DB.resolve_double_bookings(out["flagged"])[0])
+    assert dealt.count("REPARTITION_BY_NUM") == 1
+    joins = [line for line in physical(early).splitlines() if "Join" in line]
+    assert M.ROW_ID in joins[0] and "__lks" in " ".join(joins[1:])
