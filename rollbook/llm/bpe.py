@@ -1,35 +1,32 @@
 """Byte-level BPE by a given rank file: encoding and decoding of whole texts.
 
-A text is cut by the tokenizer's pattern; each piece is encoded by ``fold_merges``: a Spark higher-order function that starts from the
-bytes of the piece and folds the merge of lowest rank, leftmost first, until none is left. The ranks are a literal: an array of small maps,
-picked by a checksum of the key, as a lookup in one large map would scan it. Pieces repeat, so the fold is run on distinct pieces: the
-frequent ones (at most ``FREQUENT``, a fixed bound) once for the whole table, the others once for each document that holds them; nothing is
-shuffled but the piece counts. Decoding concatenates the byte pieces of the ids.
-
-Cases: a null or empty text has no ids and decodes to no bytes; very long pieces cost the square of their length in array copies; repeated rows are
-encoded each; null ids of documents are carried; an empty table gives an empty table; the columns kept are those named, so others cannot clash.
+A text is cut by the tokenizer's pattern in Spark; each distinct piece of an Arrow batch is encoded once. ``merge_pieces`` takes all of them side by side: in every round each piece
+merges its neighbouring pair of lowest rank, leftmost first, until no piece has a pair left, so a round is a few array operations for the whole batch. Long pieces keep their
+pairs in a heap over a linked list instead, so one unbroken piece costs n log n. Nothing is shuffled. Decoding concatenates the byte pieces of the ids.
+
+A pair of ids names the token that it makes: the pairs are every split of a token into two tokens, as tiktoken looks up the joined bytes of two neighbours.
+
+Cases: a null or empty text has no ids and decodes to no bytes; repeated rows are encoded each; null ids of documents are carried; an empty table gives an empty table;
+the columns kept are those named, so others cannot clash.
 """
 
 from __future__ import annotations
 
 import base64
-import json
-import zlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
-from .common import small_batches, stored
+from .common import small_batches
 
-BUCKETS = 32768  # a power of two
-FAR = 2**30
-#: Bound of the table of frequent pieces that every task gets, and of the tokens put together at once.
-FREQUENT, AT_ONCE = 400_000, 400_000
+#: Pieces put together at once, and bytes above which a piece is merged by itself.
+AT_ONCE, LONG = 400_000, 64
 #: White space as Unicode has it; Java's \s knows ASCII only.
 SPACES = r"\x09-\x0D\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
@@ -48,68 +45,107 @@ def pieces(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as a literal: bucket by checksum, then a map from the byte string (one character a byte) to its rank."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for token, rank in ranks.items():
-        key = token.decode("latin-1")
-        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def fold_merges(piece: Column, ranks: Column) -> Column:
-    """Token ids of one piece. The state of the fold is the byte strings ``p`` and the ranks ``r`` of neighbouring pairs; a merge at k makes one new string and at most two new ranks."""
-    return _let(ranks, lambda literal: _fold(F.decode(piece.cast("binary"), "ISO-8859-1"), literal))
-
-
-def _fold(piece: Column, ranks: Column) -> Column:
-    def rank(s: Column) -> Column:
-        return F.get(ranks, F.crc32(s.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int"))[s]
-
-    def merge(z: Column, k: Column) -> Column:
-        p, r = z["p"], z["r"]
-        join = lambda *parts: F.flatten(F.array(*parts))  # cheaper here than concat of arrays
-        left, right = F.get(p, k - 2), F.get(p, k + 1)
-        new = lambda m: F.when(k == 1, F.array(rank(F.concat(m, right)))).when(k == F.size(r), F.array(rank(F.concat(left, m)))).otherwise(F.array(rank(F.concat(left, m)), rank(F.concat(m, right))))
-        return _let(F.concat(F.get(p, k - 1), F.get(p, k)), lambda m: F.struct(
-            join(F.slice(p, F.lit(1), k - 1), F.array(m), F.slice(p, k + 2, FAR)).alias("p"),
-            F.when(F.size(r) == 1, F.array().cast("array<int>")).otherwise(join(F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))), new(m), F.slice(r, k + 2, FAR))).alias("r")))
-
-    def step(z: Column, _: Column) -> Column:
-        return _let(F.array_position(z["r"], F.array_min(z["r"])).cast("int"), lambda k: F.when(k > 0, merge(z, k)).otherwise(z))
-
-    def folded(p: Column) -> Column:
-        pairs = F.transform(F.slice(p, F.lit(2), FAR), lambda x, i: rank(F.concat(F.get(p, i), x)))
-        return F.transform(F.aggregate(F.slice(p, F.lit(2), FAR), F.struct(p.alias("p"), pairs.alias("r")), step)["p"], rank)
-
-    return _let(rank(piece), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(F.filter(F.split(piece, ""), lambda c: c != ""), folded)))
-
-
-def frequent_pieces(docs: DataFrame, text: str, pattern: str, ranks: Column, bound: int = FREQUENT) -> pa.Table:
-    """The pieces of the highest counts over all texts, at most ``bound`` of them and none that occurs once, with their ids."""
-    counts = stored(docs.select(F.explode(pieces(F.col(text), pattern)).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n")))
-    # how many pieces have a count: the buckets above 64 are powers of 2 ** (1/8), so this is a few hundred rows
-    level = F.when(F.col("n") <= 64, F.col("n").cast("double")).otherwise(F.floor(F.log2("n") * 8) + 17)
-    sizes = sorted(((r["level"], r["count"]) for r in counts.filter("n > 1").groupBy(level.alias("level")).count().collect()), reverse=True)
-    low, total = float("inf"), 0
-    for value, n in sizes:
-        if total + n > bound:
-            break
-        low, total = value, total + n
-    hot = counts.filter("n > 1").filter(level >= low).select("piece", fold_merges(F.col("piece"), ranks).alias("ids"))
-    return hot.toArrow().combine_chunks()
-
-
-def _ipc(table: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as w:
-        w.write_table(table)
-    return sink.getvalue().to_pybytes()
+#: Above every rank: no such pair.
+NONE = 1 << 40
+
+
+class Merges:
+    """What the merges need: the id of each byte and of each whole token, and the rank of the token that a pair of ids makes, by sorted keys ``left * size + right``."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.size, self.whole = max(ranks.values(), default=0) + 1, ranks
+        self.byte = np.array([ranks.get(bytes([x]), -1) for x in range(256)], dtype=np.int64)
+        pairs = sorted((ranks[t[:i]] * self.size + ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks) or [(-1, NONE)]
+        self.key, self.rank = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True))
+        self._by_key: dict[int, int] = {}
+
+    def ids_of(self, data: bytes) -> np.ndarray:
+        ids = self.byte[np.frombuffer(data, dtype=np.uint8)]
+        if len(ids) and ids.min() < 0:
+            raise ValueError("a byte of the text has no rank")
+        return ids
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[at] == key, self.rank[at], NONE)
+
+    def by_key(self) -> dict[int, int]:
+        """The pairs as a dict, made when the first long piece comes."""
+        if not self._by_key:
+            self._by_key.update(zip(self.key.tolist(), self.rank.tolist(), strict=True))
+        return self._by_key
+
+
+def merge_long(piece: bytes, merges: Merges) -> list[int]:
+    """Ids of one piece: pairs in a heap by rank and place, neighbours in a linked list."""
+    ids, known = merges.ids_of(piece).tolist(), merges.by_key()
+    n = len(ids)
+    before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+    heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := known.get(ids[i] * merges.size + ids[i + 1])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank, i, a, b = heapq.heappop(heap)
+        j = after[i]
+        if ids[i] != a or j < 0 or ids[j] != b:
+            continue  # one of the two was merged since
+        ids[i], ids[j], after[i] = rank, -1, after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        for x, y in ((before[i], i), (i, after[i])):
+            if x >= 0 and y >= 0 and (r := known.get(ids[x] * merges.size + ids[y])) is not None:
+                heapq.heappush(heap, (r, x, ids[x], ids[y]))
+    return [x for x in ids if x >= 0]
+
+
+def merge_pieces(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces one after another, and where each piece's begin (and the last one's end)."""
+    done: dict[int, list[int]] = {}
+    short = []
+    for i, p in enumerate(pieces):
+        if (r := merges.whole.get(p)) is not None:
+            done[i] = [r]
+        elif len(p) > LONG:
+            done[i] = merge_long(p, merges)
+        else:
+            short.append(i)
+    length = np.array([len(pieces[i]) for i in short], dtype=np.int64)
+    ids = merges.ids_of(b"".join([pieces[i] for i in short]))
+    of = np.repeat(np.arange(len(short)), length)
+    out_ids, out_of = [], []
+    inner = of[1:] == of[:-1]
+    rank = np.full(len(ids), NONE, dtype=np.int64)  # of the pair that starts here
+    rank[:-1][inner] = merges.look_up(ids[:-1][inner], ids[1:][inner])
+    while len(ids):
+        first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+        best = np.minimum.reduceat(rank, first)
+        per = np.diff(np.concatenate((first, [len(ids)])))
+        live = np.repeat(best < NONE, per)
+        if not live.all():  # pieces without a pair leave
+            out_ids.append(ids[~live])
+            out_of.append(of[~live])
+            ids, of, rank, per, best = ids[live], of[live], rank[live], per[best < NONE], best[best < NONE]
+            if not len(ids):
+                break
+        hit = np.flatnonzero(rank == np.repeat(best, per))
+        hit = hit[np.concatenate(([True], of[hit][1:] != of[hit][:-1]))]  # the leftmost of each piece
+        ids[hit] = best
+        stay = np.ones(len(ids), dtype=bool)
+        stay[hit + 1] = False
+        place = np.cumsum(stay)[hit] - 1
+        ids, of, rank = ids[stay], of[stay], rank[stay]
+        for left in (place[place > 0] - 1, place):
+            pair = left[left + 1 < len(ids)]
+            pair, apart = pair[of[pair] == of[pair + 1]], left[(left + 1 >= len(ids)) | (of[left] != of[np.minimum(left + 1, len(ids) - 1)])]
+            rank[apart] = NONE
+            rank[pair] = merges.look_up(ids[pair], ids[pair + 1])
+    told = np.concatenate(out_ids) if out_ids else np.empty(0, dtype=np.int64)
+    whose = np.array(short, dtype=np.int64)[np.concatenate(out_of)] if out_of else np.empty(0, dtype=np.int64)
+    if done:
+        told = np.concatenate([told, np.array([x for v in done.values() for x in v], dtype=np.int64)])
+        whose = np.concatenate([whose, np.repeat(np.array(list(done), dtype=np.int64), [len(v) for v in done.values()])])
+    told = told[np.argsort(whose, kind="stable")]
+    return told, np.concatenate(([0], np.cumsum(np.bincount(whose, minlength=len(pieces))))).astype(np.int64)
 
 
 def _flat_lists(x) -> tuple[np.ndarray, np.ndarray]:
@@ -132,65 +168,29 @@ def _gather(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.nda
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep=("doc_id",)) -> DataFrame:
     """The columns of ``keep`` and ``ids``: array<int> of the whole text, for every row."""
     small_batches(docs)
-    spark: SparkSession = docs.sparkSession
-    literal = rank_literal(ranks)
-    shared = spark.sparkContext.broadcast(_ipc(frequent_pieces(docs, text, pattern, literal)))  # at most FREQUENT rows
-    table: list[pa.Table] = []
-
-    def known() -> pa.Table:
-        if not table:
-            table.append(pa.ipc.open_stream(shared.value).read_all().combine_chunks())
-        return table[0]
-
-    def parts(b: pa.RecordBatch, column: str, unit: int) -> Iterator[pa.RecordBatch]:
-        """Slices of whole rows with about ``AT_ONCE`` units each (a longer row alone), so that what is worked out at once stays small."""
-        size = (pc.list_value_length if unit == 1 else pc.binary_length)(b.column(column)).to_numpy(zero_copy_only=False).astype(np.int64) // unit
+    shared = docs.sparkSession.sparkContext.broadcast(Merges(ranks))  # the vocabulary
+
+    def parts(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Slices of whole rows with about ``AT_ONCE`` pieces each (a longer row alone), so that what is worked out at once stays small."""
+        size = pc.list_value_length(b.column("_pieces")).to_numpy(zero_copy_only=False).astype(np.int64)
         for x in np.split(np.arange(len(b)), np.flatnonzero(np.diff(np.cumsum(size) // AT_ONCE)) + 1):
             if len(x):
                 yield b.slice(int(x[0]), len(x))
         pa.default_memory_pool().release_unused()
 
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Codes of the pieces: the row of a frequent one, or -1 - k for the k-th of the document's other distinct pieces, listed in ``rare``."""
-        words = pc.cast(known()["piece"], pa.string()).combine_chunks() if known().num_rows else pa.array([], type=pa.string())
-        for b in (s for b in batches for s in parts(b, "_pieces", 1)):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (s for b in batches for s in parts(b)):
             flat, offsets = _flat_lists(b.column("_pieces"))
-            code = pc.fill_null(pc.index_in(flat, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int32)
-            doc = np.repeat(np.arange(len(b)), np.diff(offsets))
-            other = np.flatnonzero(code < 0)
-            coded = flat.take(pa.array(other)).dictionary_encode()
-            ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) if len(other) else np.empty(0, dtype=np.int64)
-            pair, of = np.unique(doc[other] * (len(coded.dictionary) + 1) + ids, return_inverse=True)
-            of_doc = pair // (len(coded.dictionary) + 1)
-            first = np.searchsorted(of_doc, np.arange(len(b) + 1))
-            code[other] = -1 - (of - first[doc[other]])
-            rare = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), coded.dictionary.take(pa.array(pair % (len(coded.dictionary) + 1))))
-            codes = pa.array([code[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:], strict=True)], type=pa.binary())
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], codes, rare], [*keep, "_codes", "_rare"])
-
-    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, hot_at = _flat_lists(known()["ids"]) if known().num_rows else (pa.array([], type=pa.int32()), np.zeros(1, dtype=np.int64))
-        hot = hot.to_numpy(zero_copy_only=False).astype(np.int32)
-        for b in batches:
-            for s in parts(b, "_codes", 4):
-                n = np.array([len(x.as_py()) // 4 for x in s.column("_codes")], dtype=np.int64)
-                code = np.frombuffer(b"".join(x.as_py() for x in s.column("_codes")), dtype=np.int32).astype(np.int64)
-                inner, per_doc = _flat_lists(s.column("_rare_ids"))
-                rare, rare_at = _flat_lists(inner)
-                rare = rare.to_numpy(zero_copy_only=False).astype(np.int32)
-                doc = np.repeat(np.arange(len(s)), n)
-                row = np.where(code >= 0, code, len(hot_at) - 1 + per_doc[doc] - 1 - code)
-                start, length = np.concatenate([hot_at[:-1], len(hot) + rare_at[:-1]]), np.concatenate([np.diff(hot_at), np.diff(rare_at)])
-                ids = _gather(np.concatenate([hot, rare]), start[row], length[row])
-                end = np.zeros(len(s) + 1, dtype=np.int64)
-                np.add.at(end, doc + 1, length[row])
-                yield pa.RecordBatch.from_arrays([*[s.column(c) for c in keep], pa.ListArray.from_arrays(pa.array(np.cumsum(end).astype(np.int32)), pa.array(ids, type=pa.int32()))], [*keep, "ids"])
+            coded = flat.dictionary_encode()
+            values, at = merge_pieces([x.encode() for x in coded.dictionary.to_pylist()], shared.value)
+            row = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            length = (at[1:] - at[:-1])[row]
+            ids = _gather(values.astype(np.int32), at[:-1][row], length)
+            end = np.concatenate(([0], np.cumsum(length)))[offsets]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.ListArray.from_arrays(pa.array(end.astype(np.int32)), pa.array(ids, type=pa.int32()))], [*keep, "ids"])
 
     kept = docs.select(*keep).schema
-    cut = docs.select(*keep, pieces(F.col(text), pattern).alias("_pieces"))
-    coded = cut.mapInArrow(look_up, StructType([*kept.fields]).add("_codes", BinaryType()).add("_rare", ArrayType(StringType())))
-    folded = coded.select(*keep, "_codes", F.transform("_rare", lambda w: fold_merges(w, literal)).alias("_rare_ids"))
-    return folded.mapInArrow(put_together, StructType([*kept.fields]).add("ids", ArrayType(IntegerType())))
+    return docs.select(*keep, pieces(F.col(text), pattern).alias("_pieces")).mapInArrow(run, StructType([*kept.fields]).add("ids", ArrayType(IntegerType())))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", keep=("doc_id",)) -> DataFrame:
