@@ -27,6 +27,8 @@ from .common import small_batches
 
 #: Pieces put together at once, and bytes above which a piece is merged by itself.
 AT_ONCE, LONG = 400_000, 64
+#: Pieces whose ids a Python worker keeps for its next batches (about 40 MB); the others are merged again. Results do not depend on it.
+KEPT = 200_000
 #: White space as Unicode has it; Java's \s knows ASCII only.
 SPACES = r"\x09-\x0D\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
@@ -50,14 +52,25 @@ NONE = 1 << 40
 
 
 class Merges:
-    """What the merges need: the id of each byte and of each whole token, and the rank of the token that a pair of ids makes, by sorted keys ``left * size + right``."""
+    """What the merges need: the id of each byte and of each whole token, and the rank of the token that a pair of ids makes, in a table hashed by ``left * size + right``."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.size, self.whole = max(ranks.values(), default=0) + 1, ranks
         self.byte = np.array([ranks.get(bytes([x]), -1) for x in range(256)], dtype=np.int64)
         pairs = sorted((ranks[t[:i]] * self.size + ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks) or [(-1, NONE)]
-        self.key, self.rank = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True))
+        key, rank = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True))
+        self.shift = 64 - max(3, int(4 * len(key)).bit_length())
+        self.key, self.rank = np.full(1 << (64 - self.shift), -2, dtype=np.int64), np.full(1 << (64 - self.shift), NONE, dtype=np.int64)
+        at = self._first(key)
+        while len(key):  # a key whose place is taken goes to the next one
+            free = self.key[at] == -2
+            self.key[at[free]] = key[free]
+            self.rank[at[free]] = rank[free]
+            left = self.key[at] != key
+            self.rank[at[~left]] = rank[~left]  # of two that wanted one place, that of the key which has it
+            key, rank, at = key[left], rank[left], (at[left] + 1) & (len(self.key) - 1)
         self._by_key: dict[int, int] = {}
+        self._known: dict[bytes, bytes] = {}
 
     def ids_of(self, data: bytes) -> np.ndarray:
         ids = self.byte[np.frombuffer(data, dtype=np.uint8)]
@@ -65,15 +78,44 @@ class Merges:
             raise ValueError("a byte of the text has no rank")
         return ids
 
+    def _first(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
+
     def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.size + right
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, self.rank[at], NONE)
+        at = self._first(key)
+        found = self.key[at]
+        out = self.rank[at]
+        far = np.flatnonzero((found != key) & (found != -2))  # another key's place: look further
+        out[found != key] = NONE
+        key, at = key[far], at[far]
+        while len(far):
+            at = (at + 1) & (len(self.key) - 1)
+            found = self.key[at]
+            hit = found == key
+            out[far[hit]] = self.rank[at[hit]]
+            more = ~hit & (found != -2)
+            far, key, at = far[more], key[more], at[more]
+        return out
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """:func:`merge_pieces`; what was merged before in this worker is remembered."""
+        told = [self._known.get(p) for p in pieces]
+        new = [i for i, x in enumerate(told) if x is None]
+        values, at = merge_pieces([pieces[i] for i in new], self)
+        data, at = values.astype(np.int32).tobytes(), (at * 4).tolist()
+        room = KEPT - len(self._known)
+        for k, (i, s, e) in enumerate(zip(new, at[:-1], at[1:], strict=True)):
+            told[i] = data[s:e]
+            if k < room and len(pieces[i]) <= LONG:
+                self._known[pieces[i]] = told[i]
+        return np.frombuffer(b"".join(told), dtype=np.int32), np.concatenate(([0], np.cumsum(np.fromiter(map(len, told), dtype=np.int64, count=len(told)) // 4))).astype(np.int64)
 
     def by_key(self) -> dict[int, int]:
         """The pairs as a dict, made when the first long piece comes."""
         if not self._by_key:
-            self._by_key.update(zip(self.key.tolist(), self.rank.tolist(), strict=True))
+            used = self.key >= 0
+            self._by_key.update(zip(self.key[used].tolist(), self.rank[used].tolist(), strict=True))
         return self._by_key
 
 
@@ -159,14 +201,27 @@ def _flat_lists(x) -> tuple[np.ndarray, np.ndarray]:
     return x.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
 
 
+def _values(x: pa.Array) -> list[bytes]:
+    """The bytes of each text of an array without nulls."""
+    x = x.cast(pa.binary())
+    if not len(x):
+        return []
+    _, offsets, data = x.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[x.offset: x.offset + len(x) + 1].tolist()
+    data = data.to_pybytes() if data is not None else b""
+    return [data[s:e] for s, e in zip(at[:-1], at[1:], strict=True)]
+
+
 def _gather(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The runs ``values[start: start + length]`` one after another."""
     end = np.cumsum(length)
     return values[np.repeat(start - (end - length), length) + np.arange(end[-1] if len(end) else 0)]
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep=("doc_id",)) -> DataFrame:
-    """The columns of ``keep`` and ``ids``: array<int> of the whole text, for every row."""
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep=("doc_id",), width: int | None = None) -> DataFrame:
+    """The columns of ``keep`` and ``ids``: array<int> of the whole text, for every row; with a ``width``, binary of so many bytes an id (little-endian)."""
+    if width is not None and max(ranks.values(), default=0) >= 256**width:
+        raise ValueError(f"ids do not fit {width} bytes")
     small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(Merges(ranks))  # the vocabulary
 
@@ -182,15 +237,19 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         for b in (s for b in batches for s in parts(b)):
             flat, offsets = _flat_lists(b.column("_pieces"))
             coded = flat.dictionary_encode()
-            values, at = merge_pieces([x.encode() for x in coded.dictionary.to_pylist()], shared.value)
+            values, at = shared.value.encode(_values(coded.dictionary))
             row = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             length = (at[1:] - at[:-1])[row]
-            ids = _gather(values.astype(np.int32), at[:-1][row], length)
+            ids = _gather(values, at[:-1][row], length)
             end = np.concatenate(([0], np.cumsum(length)))[offsets]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.ListArray.from_arrays(pa.array(end.astype(np.int32)), pa.array(ids, type=pa.int32()))], [*keep, "ids"])
+            if width is None:
+                out = pa.ListArray.from_arrays(pa.array(end.astype(np.int32)), pa.array(ids, type=pa.int32()))
+            else:
+                out = pa.Array.from_buffers(pa.binary(), len(b), [None, pa.py_buffer((end * width).astype(np.int32)), pa.py_buffer(ids.astype(f"<u{width}"))])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], out], [*keep, "ids"])
 
     kept = docs.select(*keep).schema
-    return docs.select(*keep, pieces(F.col(text), pattern).alias("_pieces")).mapInArrow(run, StructType([*kept.fields]).add("ids", ArrayType(IntegerType())))
+    return docs.select(*keep, pieces(F.col(text), pattern).alias("_pieces")).mapInArrow(run, StructType([*kept.fields]).add("ids", ArrayType(IntegerType()) if width is None else BinaryType()))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", keep=("doc_id",)) -> DataFrame:

@@ -22,9 +22,9 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
+def stored(df: DataFrame, compression: str | None = None, level: int | None = None) -> DataFrame:
     """Write to the shared folder of ``spark.checkpoint.dir`` and read back."""
-    return cut_lineage(df, compression)
+    return cut_lineage(df, compression, level)
 
 
 def small_batches(df: DataFrame, rows: int = 1000) -> None:

@@ -86,7 +86,7 @@ def op9_token_id_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of the documents in training order: the shards are written and read back, one row for each sequence."""
     ranks, pattern = tokenizer()
     width, end, pad = token_shards.closing_ids(max(ranks.values()) + 1)
-    ids = stored(token_shards.packed(bpe.encode(_table(spark, sf_dir, "documents"), ranks, pattern, keep=()), width), "zstd")
+    ids = stored(bpe.encode(_table(spark, sf_dir, "documents"), ranks, pattern, keep=(), width=width), "zstd", token_shards.LEVEL)
     folder = token_shards.new_folder(spark)
     manifest, total = token_shards.write_shards(ids, F.col("ids"), folder, SHUFFLE_KEY, width=width, end=end, pad=pad)
     manifest = stored(manifest)

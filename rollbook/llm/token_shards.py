@@ -34,6 +34,8 @@ LENGTH, PER_SHARD, WIDTH = 2048, 4096, 1
 #: Byte-level ids: the bytes of UTF-8 text, in which these two never occur.
 END, PAD = 255, 254
 CODEC = "zstd"
+#: Of zstd, for stored ids and for pieces.
+LEVEL, PIECE_LEVEL = 6, 3
 
 
 def closing_ids(vocabulary: int) -> tuple[int, int, int]:
@@ -103,7 +105,7 @@ def write_shards(docs: DataFrame, ids: Column, folder: str, key: int = 0, length
     closing, padding = int(end).to_bytes(width, "little"), int(pad).to_bytes(width, "little")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, place = None, 0
+        here, place, codec = None, 0, pa.Codec(CODEC, compression_level=PIECE_LEVEL)
         for b in batches:
             if not len(b):
                 continue
@@ -115,7 +117,7 @@ def write_shards(docs: DataFrame, ids: Column, folder: str, key: int = 0, length
             lo, hi = np.maximum(number * stride, place), np.minimum((number + 1) * stride, stop)
             slot = permute(number, total, key)
             yield pa.RecordBatch.from_arrays([pa.array(slot // per_shard), pa.array(slot), pa.array(lo - number * stride), pa.array(hi - lo),
-                                              pa.array([pa.compress(data[s:e], CODEC, asbytes=True) for s, e in zip((lo - place).tolist(), (hi - place).tolist(), strict=True)], pa.binary())], ["shard", "slot", "at", "size", "data"])
+                                              pa.array([codec.compress(data[s:e], asbytes=True) for s, e in zip((lo - place).tolist(), (hi - place).tolist(), strict=True)], pa.binary())], ["shard", "slot", "at", "size", "data"])
             place = stop
         if here is not None and place != first[here] + sizes[here]:
             raise RuntimeError("the scan did not give the same partitions twice")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from rollbook.llm import bpe, queries
@@ -47,3 +48,37 @@ def test_encoding_shuffles_nothing_and_takes_long_pieces(spark, known):
     got = {r.doc_id: r.ids for r in out.collect()}
     assert {i: got[i] for i in (1, 2, 3)} == {i: enc.encode_ordinary(texts[i] or "") for i in (1, 2, 3)}
     assert b"".join(enc.decode_single_token_bytes(x) for x in got[0]) == texts[0].encode()
+
+
+def test_pairs_are_found_where_their_places_clash():
+    """Every pair of a small vocabulary, also those that share a place in the table; any other pair has none."""
+    ranks = {bytes([x]): x for x in range(256)} | {bytes([x, y]): 256 + 60 * x + y for x in range(60) for y in range(60)}
+    merges = bpe.Merges(ranks)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(256), np.arange(256), indexing="ij"))
+    want = np.where((a < 60) & (b < 60), 256 + 60 * a + b, bpe.NONE)
+    assert merges.look_up(a, b).tolist() == want.tolist() and len(merges.by_key()) == 3600
+    assert bpe.Merges({bytes([x]): x for x in range(256)}).look_up(a, b).min() == bpe.NONE
+
+
+def test_pieces_are_remembered(monkeypatch):
+    ranks = {bytes([x]): x for x in range(256)} | {b"ab": 256, b"abc": 257}
+    merges, asked, plain = bpe.Merges(ranks), [], bpe.merge_pieces
+    monkeypatch.setattr(bpe, "merge_pieces", lambda p, m: asked.append(list(p)) or plain(p, m))
+    monkeypatch.setattr(bpe, "KEPT", 2)
+    for pieces in ([b"abd", b"abcab"], [b"zz", b"abcab", b"abd"], [b"zz", b"abd", b"q" * 99], []):
+        ids, at = merges.encode(pieces)
+        want, ends = plain(pieces, merges)
+        assert (ids.tolist(), at.tolist()) == (want.tolist(), ends.tolist())
+    assert asked == [[b"abd", b"abcab"], [b"zz"], [b"zz", b"q" * 99], []]
+
+
+def test_ids_as_bytes(spark):
+    from rollbook.llm import token_shards
+    ranks = {bytes([x]): x for x in range(256)} | {b"ab": 256, b" ab": 300}
+    docs = spark.createDataFrame([(1, "ab ab zé"), (2, None), (3, ""), (4, "ab" * 50)], "doc_id int, text string")
+    made = bpe.encode(docs, ranks, r" ?\p{L}+|\s+", keep=("doc_id",), width=2)
+    want = token_shards.packed(bpe.encode(docs, ranks, r" ?\p{L}+|\s+", keep=()), 2)
+    assert made.dtypes == [("doc_id", "int"), ("ids", "binary")]
+    assert [bytes(r.ids) for r in made.orderBy("doc_id").collect()] == [bytes(r.ids) for r in want.collect()]
+    with pytest.raises(ValueError):
+        bpe.encode(docs, ranks, r" ?\p{L}+|\s+", width=1)
