@@ -38,3 +38,12 @@ def test_a_class_of_very_many_names(spark):
     start = time.time()
     label = names.collapse_names(df, "c", "n", "label").first().label
     assert label.startswith("Course w0 0 / w0 1 / w0 2 ") and label.count(" / ") == 49_999 and time.time() - start < 120
+
+
+def test_names_are_dealt_once(spark):
+    """Keys whose names have the same number of words need no search, and the label takes one exchange of the stored names."""
+    rows = [("a", "red bolt 1"), ("a", "red bolt 2"), ("a", "red ring 10"), ("b", None), ("c", " "), ("d", "hot gear"), (None, "x y"), (None, "x z")]
+    got = names.collapse_names(spark.createDataFrame(rows, "k string, n string"), "k", "n", "label")
+    assert {r["k"]: r["label"] for r in got.collect()} == {"a": "red bolt 1 / bolt 2 / ring 10", "b": None, "c": None, "d": "hot gear", None: "x y / z"}
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") == 1
